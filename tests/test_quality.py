@@ -1,0 +1,23 @@
+"""Data-quality checks report planted faults and pass clean data."""
+
+from snapreel.operators import quality as Q
+
+
+def test_not_null_counts_per_column(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, None)], "tmdb_id int, media_type string")
+    out = {r.column_name: r.failing_rows for r in Q.not_null(df, ["tmdb_id", "media_type"], "m").collect()}
+    assert out == {"tmdb_id": 2, "media_type": 1}
+
+
+def test_unique_groups_nulls_together(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c")],
+                               "tmdb_id int, media_type string")
+    r = Q.unique_combination(df, ["tmdb_id", "media_type"], "m").collect()[0]
+    assert (r.failing_groups, r.failing_rows) == (2, 4)
+    clean = Q.unique_combination(df.distinct(), ["tmdb_id", "media_type"], "m").collect()[0]
+    assert (clean.failing_groups, clean.failing_rows) == (0, 0)
+
+
+def test_declared_instances():
+    assert sum(len(c) for c in Q.NOT_NULL_TESTS.values()) == 31
+    assert len(Q.UNIQUE_TESTS) == 5
