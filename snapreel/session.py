@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -38,7 +39,7 @@ def build_session(master: str | None = None, app_name: str = "snapreel",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in DEFAULT_CONF.items():
-        if k != "spark.ui.enabled":
+        if not k.startswith("spark.ui."):
             spark.conf.set(k, v)
     return spark
 
