@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapreel.functions.variant import STRING, flatten, outer, vget, vnum
-from snapreel.operators.joins import broadcast_if_small
+from snapreel.operators.joins import broadcast_if_small, restrict_to
 
 KEY = ["tmdb_id", "media_type"]
 ENRICHED_TYPES = ("movie", "tv")   # fixed values: people are not enriched
@@ -51,8 +51,15 @@ def existing_keys(raw: DataFrame) -> DataFrame:
 
 
 def missing_keys(source_keys: DataFrame, existing: DataFrame, sort: bool = False) -> DataFrame:
-    """Keys in ``source_keys`` but not in ``existing`` (optionally sorted, O3)."""
-    out = source_keys.join(broadcast_if_small(existing), KEY, "left_anti")
+    """Keys in ``source_keys`` but not in ``existing`` (optionally sorted, O3).
+
+    The source is one snapshot's keys, the existing set every key ever
+    loaded: the existing set is first restricted to the source keys with a
+    size-checked broadcast semi join, then the anti join runs on two small
+    inputs.
+    """
+    present = restrict_to(existing, source_keys, KEY)
+    out = source_keys.join(present, KEY, "left_anti")
     return out.orderBy(*KEY) if sort else out
 
 
@@ -79,8 +86,8 @@ def raw_complete(raw_trending: DataFrame, raw_details: DataFrame,
     credits. Both counts come from one scan of the latest keys.
     """
     keys = latest_trending_keys(raw_trending)
-    d = existing_keys(raw_details).withColumn("_has_details", F.lit(True))
-    c = existing_keys(raw_credits).withColumn("_has_credits", F.lit(True))
+    d = existing_keys(restrict_to(raw_details, keys, KEY)).withColumn("_has_details", F.lit(True))
+    c = existing_keys(restrict_to(raw_credits, keys, KEY)).withColumn("_has_credits", F.lit(True))
     marked = keys.join(d, KEY, "left").join(c, KEY, "left")
     out = marked.agg(
         F.count(F.lit(1)).alias("latest_keys"),

@@ -24,9 +24,23 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when the optimizer's size estimate of ``df`` is at most ``max_bytes``."""
+    size = estimated_size_bytes(df)
+    return size is not None and size <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``F.broadcast(df)`` when its estimated size is at most ``max_bytes``."""
-    size = estimated_size_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_bytes) else df
+
+
+def restrict_to(big: DataFrame, small: DataFrame, keys: list[str],
+                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``small``.
+
+    When ``small`` passes the size check it is broadcast into a semi join,
+    so ``big`` is streamed where it lies instead of being shuffled; beyond
+    the bound the semi join is an ordinary shuffle join.
+    """
+    return big.join(broadcast_if_small(small.select(*keys), max_bytes), keys, "left_semi")

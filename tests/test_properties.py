@@ -1,0 +1,100 @@
+"""Properties: paging invariance, input-order invariance, aggregates vs brute force."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from snapreel.functions.aggregates import first_by_name, ordered_listagg
+from snapreel.plans import intermediate as I
+from snapreel.plans import marts as M
+from snapreel.plans import staging as S
+from snapreel.plans.queries import flat
+from snapreel.sources import adapters as A
+from snapreel.sources.raw_loaders import load_credits_raw, load_trending_raw
+
+
+def _same(a, b):
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_credits_summary_independent_of_paging(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+
+    def summary(page_orders):
+        raw = load_credits_raw(A.credits_documents(li, sup, page_orders=page_orders))
+        return flat(I.credits_summary(S.stg_credits_cast(raw), S.stg_credits_crew(raw)))
+
+    tiny = load_credits_raw(A.credits_documents(li, sup, page_orders=16))
+    assert tiny.count() > 5 * li.select("l_partkey").distinct().count()   # many pages per title
+    _same(summary(16), summary(A.CREDITS_PAGE_ORDERS))
+
+
+def test_trending_models_independent_of_paging(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+
+    def fact(page_ids):
+        return flat(M.fct_trending_daily(S.stg_trending(
+            load_trending_raw(A.trending_documents(ev, page_ids=page_ids)))))
+
+    _same(fact(7), fact(A.TRENDING_PAGE_IDS))
+
+
+def test_hot_key_is_split_and_kept_whole(spark):
+    """One title holding a third of all lines: many bounded pages, no row lost."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    n = li.count()
+    hot = li.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(4242))
+                        .otherwise(F.col("l_partkey")))
+    sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+    raw = load_credits_raw(A.credits_documents(hot, sup, page_orders=64))
+    pages = raw.where(F.col("tmdb_id") == 4242).count()
+    assert pages > 10
+    assert S.stg_credits_cast(raw).count() == n
+    out = I.credits_summary(S.stg_credits_cast(raw), S.stg_credits_crew(raw))
+    assert out.where(F.col("tmdb_id") == 4242).count() == 1
+
+
+def test_output_independent_of_input_order(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+
+    def summary(lines):
+        raw = load_credits_raw(A.credits_documents(lines, sup))
+        return flat(I.credits_summary(S.stg_credits_cast(raw), S.stg_credits_crew(raw)))
+
+    shuffled = li.repartition(5).orderBy(F.rand(7))
+    _same(summary(li), summary(shuffled))
+
+
+names = st.one_of(st.none(), st.sampled_from(["Al", "Bea", "Cy", "al", "Zoë", ""]))
+orders = st.one_of(st.none(), st.integers(min_value=-1, max_value=4))
+groups = st.lists(st.tuples(st.integers(0, 2), orders, names, st.sampled_from(["Director", "Writer"])),
+                  min_size=1, max_size=12)
+
+
+def _key(v):
+    return (v is None, v if v is not None else "")
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(groups)
+def test_aggregates_match_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "g int, o int, name string, job string")
+    got = {r.g: (r.top, r.d) for r in df.groupBy("g").agg(
+        ordered_listagg("name", ["o", "name"], where="o <= 2").alias("top"),
+        first_by_name("name", [], where=F.col("job") == "Director").alias("d")).collect()}
+    for g in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == g]
+        top = [r for r in mine if r[1] is not None and r[1] <= 2]
+        top.sort(key=lambda r: (_key(r[1]), _key(r[2])))
+        want_top = ", ".join(r[2] for r in top if r[2] is not None) if top else None
+        directors = sorted((r[2] for r in mine if r[3] == "Director"), key=_key)
+        top_got, d_got = got[g]
+        assert top_got == want_top
+        if directors:
+            assert d_got is not None and d_got["name"] == directors[0]
+        else:
+            assert d_got is None
