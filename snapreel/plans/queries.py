@@ -16,6 +16,8 @@ from snapreel.operators import quality as Q
 from snapreel.operators import replace as RP
 from snapreel.operators import replay as R
 from snapreel.plans import intermediate as I
+from snapreel.plans import marts as M
+from snapreel.plans import staging as S
 from snapreel.plans.catalog import Catalog
 from snapreel.session import scratch_path
 from snapreel.sources import snapshots as SN
@@ -200,9 +202,8 @@ def snapshot_roundtrip(spark, sf_dir):
 
 
 def _fact_from_raw(raw: DataFrame) -> DataFrame:
-    from snapreel.plans.marts import fct_trending_daily as fct
-    from snapreel.plans.staging import stg_trending as stg
-    return fct(stg(raw.select("media_type", "time_window", "payload", "snapshot_date", "load_ts")))
+    return M.fct_trending_daily(S.stg_trending(
+        raw.select("media_type", "time_window", "payload", "snapshot_date", "load_ts")))
 
 
 def load_once_stream(spark, sf_dir):

@@ -38,13 +38,15 @@ def empty_raw(spark: SparkSession, source: str) -> DataFrame:
 
 
 def create_raw_tables(spark: SparkSession, database: str = "raw",
-                      replace: bool = False) -> list[str]:
+                      replace: bool = False, location: str | None = None) -> list[str]:
     """``CREATE SCHEMA IF NOT EXISTS`` plus the three raw tables.
 
     Existing tables are kept unless ``replace=True`` (which drops their data).
+    ``location`` places the schema's folder (default: the warehouse dir).
     Returns the qualified table names.
     """
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}{where}")
     names = []
     for source, schema in RAW_SCHEMAS.items():
         name = f"{database}.tmdb_{source}_raw"

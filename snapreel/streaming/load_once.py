@@ -1,12 +1,11 @@
 """Load every new snapshot file exactly once into the raw trending table.
 
-The bulk load of the reference skips files it already loaded. The streaming
-file source does the same through its checkpoint (a log of seen files):
-``trigger(availableNow=True)`` processes whatever is new and stops, so a
-daily job can call it and a rerun adds nothing. Each micro-batch is written
-with a dynamic partition overwrite of the slices it carries, so a batch
-replayed after a failure rewrites the same slices instead of appending
-duplicates.
+The bulk load skips files it already loaded. The streaming file source does
+the same through its checkpoint (a log of seen files), and the Parquet file
+sink is exactly-once through its own metadata log: files of a micro-batch
+that failed midway are never listed for readers, and a re-run batch is
+committed once. ``trigger(availableNow=True)`` processes whatever is new
+and stops, so a daily job can call it and a rerun adds nothing.
 """
 
 from __future__ import annotations
@@ -15,20 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapreel.operators.replace import replace_slices
 from snapreel.sources.raw_loaders import load_trending_raw
+from snapreel.sources.schemas import SLICE_KEY
 from snapreel.sources.snapshots import PARTITION_COLUMN, source_path
 
 _TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
                              T.StructField("snapshot_date", T.DateType())])
 
 
-def trending_stream(spark: SparkSession, store_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def trending_stream(spark: SparkSession, store_root: str,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of raw trending rows from the snapshot store."""
-    reader = spark.readStream.schema(_TEXT_SCHEMA).option("basePath", source_path(store_root, "trending"))
+    path = source_path(store_root, "trending")
+    reader = spark.readStream.schema(_TEXT_SCHEMA).option("basePath", path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.text(source_path(store_root, "trending"))
+    lines = reader.text(path)
     docs = (lines.where(F.trim("value") != "")
             .select(F.parse_json(F.make_valid_utf8("value")).alias("doc"),
                     F.col(PARTITION_COLUMN["trending"]).alias("snapshot_date")))
@@ -37,29 +38,17 @@ def trending_stream(spark: SparkSession, store_root: str, max_files_per_trigger:
 
 def load_new_snapshots(spark: SparkSession, store_root: str, raw_table_path: str,
                        checkpoint_path: str) -> int:
-    """Run one available-now pass; returns the number of documents read in it.
-
-    Every micro-batch goes to its own ``batch_id=N`` folder with overwrite,
-    so a batch re-run after a failure (same id, same files) replaces its own
-    output instead of duplicating it.
-    """
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").partitionBy("snapshot_date", "media_type", "time_window")
-         .parquet(f"{raw_table_path}/_batches/batch_id={batch_id}"))
-
+    """Run one available-now pass; returns the number of documents read in it."""
     q = (trending_stream(spark, store_root).writeStream
-         .foreachBatch(_write)
+         .format("parquet")
+         .partitionBy(*SLICE_KEY)
          .option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True)
-         .start())
+         .start(raw_table_path))
     q.awaitTermination()
     return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
 
 
 def read_loaded(spark: SparkSession, raw_table_path: str) -> DataFrame:
-    """All raw rows the stream has loaded so far."""
-    return (spark.read.option("basePath", f"{raw_table_path}/_batches")
-            .parquet(f"{raw_table_path}/_batches").drop("batch_id"))
-
-
-__all__ = ["trending_stream", "load_new_snapshots", "read_loaded", "replace_slices"]
+    """All raw rows the stream has committed so far (read through the sink's log)."""
+    return spark.read.parquet(raw_table_path)
