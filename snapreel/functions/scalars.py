@@ -28,3 +28,21 @@ def iso_timestamp_ntz(text: Column) -> Column:
     that is not a timestamp.
     """
     return text.cast("timestamp_ntz")
+
+
+# Python's isoformat() of an aware UTC datetime (fixed value).
+ISO_UTC_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+
+
+def utc_now_iso() -> Column:
+    """F10 first half: the current UTC time as ISO-8601 text with ``+00:00``.
+
+    Evaluated once per query (``current_timestamp`` is fixed for a query),
+    so every row of one load carries the same stamp. Needs a UTC session.
+    """
+    return F.date_format(F.current_timestamp(), ISO_UTC_TEXT)
+
+
+def utc_today_iso() -> Column:
+    """F10 second half: the current UTC date as ``yyyy-MM-dd`` text."""
+    return F.date_format(F.current_date(), ISO_DATE)
