@@ -45,12 +45,17 @@ def credits_summary(stg_cast: DataFrame, stg_crew: DataFrame) -> DataFrame:
     """M6 ``int_tmdb_credits_summary``: (tmdb_id, media_type, director_name, top_cast, load_ts).
 
     ``load_ts`` is the chosen director row's, so NULL when there is no director.
+    A key with a NULL part is kept but, as with an equality join, gets no
+    director and no top cast.
     """
     agg = (_people(stg_cast, stg_crew)
            .groupBy(*KEY)
            .agg(_director_col().alias("d"), _top_cast_col().alias("top_cast")))
-    return agg.select(*KEY, F.col("d.person_name").alias("director_name"),
-                      "top_cast", F.col("d.load_ts").alias("load_ts"))
+    whole_key = F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull()
+    return agg.select(*KEY,
+                      F.when(whole_key, F.col("d.person_name")).alias("director_name"),
+                      F.when(whole_key, F.col("top_cast")).alias("top_cast"),
+                      F.when(whole_key, F.col("d.load_ts")).alias("load_ts"))
 
 
 def first_director(stg_crew: DataFrame) -> DataFrame:

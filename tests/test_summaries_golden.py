@@ -96,3 +96,12 @@ def test_title_change_gives_two_rows_and_one_duplicate_key(spark):
     assert out.count() == 2
     res = Q.unique_combination(out, ["tmdb_id", "media_type"], "dim_content").collect()[0]
     assert res.failing_groups == 1 and res.failing_rows == 2
+
+
+def test_null_key_is_kept_without_enrichment(spark):
+    out = _summary(spark, keyed_env(None, "movie", {
+        "cast": [{"id": 1, "name": "A", "order": 0}],
+        "crew": [{"id": 2, "name": "B", "job": "Director"}]}))
+    r = out.collect()
+    assert len(r) == 1 and r[0].tmdb_id is None
+    assert (r[0].director_name, r[0].top_cast, r[0].load_ts) == (None, None, None)
