@@ -23,9 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from snapreel.operators import enrich as E  # noqa: E402
 from snapreel.operators import quality as Q  # noqa: E402
 from snapreel.operators.replace import replace_slices, write_keyed  # noqa: E402
-from snapreel.plans import intermediate as I  # noqa: E402
-from snapreel.plans import marts as M  # noqa: E402
-from snapreel.plans import staging as S  # noqa: E402
+from snapreel.plans import daily as D  # noqa: E402
 from snapreel.plans.catalog import Catalog  # noqa: E402
 from snapreel.session import build_session, scratch_path  # noqa: E402
 
@@ -66,32 +64,21 @@ def main() -> None:
     raw = {s: spark.read.parquet(p).select(*RAW_COLUMNS[s]) for s, p in paths.items()}
 
     def models():
-        st_all = S.stg_trending(raw["trending"])
-        st_item = S.stg_trending(raw["trending"], media_type_from="item")
-        det = S.stg_details(raw["details"])
-        gen = S.stg_details_genres(raw["details"])
-        cast = S.stg_credits_cast(raw["credits"])
-        crew = S.stg_credits_crew(raw["credits"])
-        cs = I.credits_summary(cast, crew)
-        gs = I.genres_summary(gen)
-        dim = M.dim_content(st_item, det, cs, gs)
+        m = D.build_models(raw["trending"], raw["details"], raw["credits"])
+        item = D.build_models(raw["trending"], raw["details"], raw["credits"], media_type_from="item")
+        checked = {**m, "dim_content": item["dim_content"],
+                   "tmdb_details_raw": raw["details"].drop("payload"),
+                   "tmdb_credits_raw": raw["credits"].drop("payload")}
         return {
-            "stg_trending": st_all, "stg_details": det, "stg_details_genres": gen,
-            "stg_credits_cast": cast, "stg_credits_crew": crew,
-            "credits_summary": cs, "genres_summary": gs,
-            "dim_content": dim, "fct_trending_daily": M.fct_trending_daily(st_all),
+            "stg_trending": m["stg_tmdb_trending"], "stg_details": m["stg_tmdb_details"],
+            "stg_details_genres": m["stg_tmdb_details_genres"],
+            "stg_credits_cast": m["stg_tmdb_credits_cast"], "stg_credits_crew": m["stg_tmdb_credits_crew"],
+            "credits_summary": m["int_tmdb_credits_summary"], "genres_summary": m["int_tmdb_genres_summary"],
+            "dim_content": item["dim_content"], "fct_trending_daily": m["fct_trending_daily"],
             "missing_keys_details": E.missing_keys(E.latest_trending_keys(raw["trending"]),
                                                    E.existing_keys(raw["details"])),
-            "dq_not_null": Q.run_not_null({
-                "stg_tmdb_trending": st_all, "stg_tmdb_details": det, "stg_tmdb_details_genres": gen,
-                "stg_tmdb_credits_cast": cast, "stg_tmdb_credits_crew": crew,
-                "int_tmdb_credits_summary": cs, "int_tmdb_genres_summary": gs,
-                "dim_content": dim, "fct_trending_daily": M.fct_trending_daily(st_all)}),
-            "dq_unique": Q.run_unique({
-                "stg_tmdb_details": det, "stg_tmdb_details_genres": gen,
-                "int_tmdb_credits_summary": cs, "int_tmdb_genres_summary": gs, "dim_content": dim,
-                "tmdb_details_raw": raw["details"].drop("payload"),
-                "tmdb_credits_raw": raw["credits"].drop("payload")}),
+            "dq_not_null": Q.run_not_null(checked),
+            "dq_unique": Q.run_unique(checked),
         }
 
     timings = {}

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
+from snapreel.plans.daily import build_models
 from snapreel.sources import adapters as A
 from snapreel.sources import raw_loaders as L
 
@@ -91,17 +92,9 @@ class Catalog:
         return M.fct_trending_daily(self.stg_trending(envelope))
 
     def models(self) -> dict[str, DataFrame]:
-        """Every model under its reference name (for the data-quality checks)."""
-        return {
-            "stg_tmdb_trending": self.stg_trending(),
-            "stg_tmdb_details": self.stg_details,
-            "stg_tmdb_details_genres": self.stg_details_genres,
-            "stg_tmdb_credits_cast": self.stg_credits_cast,
-            "stg_tmdb_credits_crew": self.stg_credits_crew,
-            "int_tmdb_credits_summary": self.credits_summary,
-            "int_tmdb_genres_summary": self.genres_summary,
-            "dim_content": self.dim_content(),
-            "fct_trending_daily": self.fct_trending_daily(),
-            "tmdb_details_raw": self.raw_details.drop("payload"),
-            "tmdb_credits_raw": self.raw_credits.drop("payload"),
-        }
+        """Every model under its reference name, plus the raw key columns (for the checks)."""
+        models = build_models(self.raw_trending(), self.raw_details, self.raw_credits,
+                              self.media_type_from)
+        models["tmdb_details_raw"] = self.raw_details.drop("payload")
+        models["tmdb_credits_raw"] = self.raw_credits.drop("payload")
+        return models

@@ -24,6 +24,34 @@ DEFAULT_CONF = {
 }
 
 
+MIB = 1024 * 1024
+
+
+def scale_conf(largest_shuffle_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * MIB) -> dict[str, str]:
+    """Settings sized for a cluster run.
+
+    ``largest_shuffle_bytes`` is the biggest exchange expected (after
+    projection and partial aggregation -- for these jobs the trending
+    distinct and the keyed aggregations, far below the raw input). The
+    initial shuffle width gives ~``partition_bytes`` per task; adaptive
+    execution then coalesces small partitions toward the advisory size and
+    splits skewed ones, so over-estimating is cheap and under-estimating
+    only costs spill. Scans split files at 512 MiB, so a 100 TB scan is
+    ~200k tasks over 1000 executors.
+    """
+    width = max(2 * total_cores, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "snapreel",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict | None = None) -> SparkSession:

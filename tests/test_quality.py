@@ -21,3 +21,10 @@ def test_unique_groups_nulls_together(spark):
 def test_declared_instances():
     assert sum(len(c) for c in Q.NOT_NULL_TESTS.values()) == 31
     assert len(Q.UNIQUE_TESTS) == 5
+
+
+def test_scale_conf_widths():
+    from snapreel.session import scale_conf
+    conf = scale_conf(10 * 1024 ** 4, total_cores=8000)   # 10 TiB largest exchange
+    assert int(conf["spark.sql.shuffle.partitions"]) == 40960
+    assert int(scale_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16
