@@ -8,7 +8,6 @@ strict: a bad ``load_ts`` or ``tmdb_id`` raises, like the bulk load does.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from snapreel.functions.scalars import iso_timestamp_ntz, strict_date
 from snapreel.functions.variant import NUMBER, STRING, VARIANT, vget
