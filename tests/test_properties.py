@@ -98,3 +98,36 @@ def test_aggregates_match_brute_force(spark, rows):
             assert d_got is not None and d_got["name"] == directors[0]
         else:
             assert d_got is None
+
+
+days = st.integers(min_value=0, max_value=9)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(days, max_size=6), st.lists(days, min_size=1, max_size=6), days)
+def test_routing_matches_brute_force(spark, stored, requested, today):
+    import datetime as dt
+    from snapreel.operators.replay import route_snapshots
+    base = dt.date(2024, 1, 1)
+    d = lambda i: base + dt.timedelta(days=i)
+    inv = spark.createDataFrame([(d(i),) for i in stored], "snapshot_date date")
+    req = spark.createDataFrame([(d(i),) for i in requested], "snapshot_date date")
+    got = sorted((r.requested_date, r.action) for r in route_snapshots(req, inv, d(today)).collect())
+    want = sorted((d(i), "replay" if i in stored else "fetch" if i == today else "fail") for i in requested)
+    assert got == want
+
+
+keys = st.tuples(st.integers(0, 6), st.sampled_from(["movie", "tv"]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(keys, max_size=8, unique=True), st.lists(keys, max_size=5, unique=True))
+def test_upsert_matches_brute_force(spark, old, new):
+    from snapreel.operators.replace import upsert_by_key
+    schema = "tmdb_id int, media_type string, v string"
+    o = spark.createDataFrame([(k, m, "old") for k, m in old], schema)
+    n = spark.createDataFrame([(k, m, "new") for k, m in new], schema)
+    got = sorted(tuple(r) for r in upsert_by_key(o, n).collect())
+    merged = {(k, m): "old" for k, m in old}
+    merged.update({(k, m): "new" for k, m in new})
+    assert got == sorted((k, m, v) for (k, m), v in merged.items())
