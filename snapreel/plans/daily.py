@@ -85,17 +85,32 @@ def register_views(models: dict[str, DataFrame]) -> None:
 MART_MODELS = ("dim_content", "fct_trending_daily")
 
 
-def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_root: str) -> dict[str, DataFrame]:
-    """Fully rebuild the mart tables; returns them read back from storage.
-
-    Each mart is written to a new folder and then read from there, so later
-    steps (checks, users) work on the stored table, not on the plan.
+def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_root: str,
+                      fact_dates: list[str] | None = None) -> dict[str, DataFrame]:
+    """Rebuild the mart tables; returns them read back from storage.
+
+    ``dim_content`` is fully rebuilt (every row can change when details or
+    credits arrive). ``fct_trending_daily`` is partitioned by
+    ``trending_date``; each fact row depends only on its own snapshot slice,
+    so with ``fact_dates`` only those dates are recomputed (the filter
+    prunes the raw trending partitions) and overwritten dynamically -- the
+    same table a full rebuild gives, without rewriting the history.
     """
+    root = mart_root.rstrip("/")
     out = dict(models)
-    for name in MART_MODELS:
-        path = f"{mart_root.rstrip('/')}/{name}"
-        models[name].write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+    dim_path = f"{root}/dim_content"
+    models["dim_content"].write.mode("overwrite").parquet(dim_path)
+    out["dim_content"] = spark.read.parquet(dim_path)
+
+    fact_path = f"{root}/fct_trending_daily"
+    fact = models["fct_trending_daily"]
+    mode = "static"                      # full rebuild: dates gone from raw disappear too
+    if fact_dates is not None and SN._exists(spark, fact_path):
+        fact = fact.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in fact_dates]))
+        mode = "dynamic"                 # only the given dates are replaced
+    (fact.hint("rebalance", "trending_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", mode).partitionBy("trending_date").parquet(fact_path))
+    out["fct_trending_daily"] = spark.read.parquet(fact_path).select(*M.FACT_COLUMNS)
     return out
 
 
@@ -125,7 +140,7 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
     gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"])
     models = materialize_marts(spark, build_models(raw["trending"], raw["details"], raw["credits"],
-                                                   media_type_from), mart_root)
+                                                   media_type_from), mart_root, fact_dates=[run_date])
     checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
                "tmdb_credits_raw": raw["credits"].drop("payload")}
     return DailyResult(routes, gate, Q.run_not_null(checked), Q.run_unique(checked), models)

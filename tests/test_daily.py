@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import docs, keyed_env, trending_env
+from conftest import docs, keyed_env, trending_env  # noqa: F401
 from snapreel.plans import daily as D
 from snapreel.session import shared_dir
 
@@ -41,3 +41,33 @@ def test_daily_run_enriches_missing_keys_once(spark):
     fails = {x.model: x.failing_groups for x in r2.unique.collect()}
     assert fails["dim_content"] == 0 and fails["tmdb_details_raw"] == 0
     assert r2.not_null.where(F.col("failing_rows") > 0).count() == 0
+
+
+def test_fact_rebuilds_only_given_dates(spark):
+    base = tempfile.mkdtemp(prefix="snapreel-fact-")
+    from snapreel.sources.raw_loaders import load_trending_raw
+    day = lambda d, ids: load_trending_raw(docs(spark, trending_env([{"id": i} for i in ids], date=d)))
+    first = day("2024-03-01", [1, 2]).unionByName(day("2024-03-02", [3]))
+    m = D.materialize_marts(spark, D.build_models(first, _empty_keyed(spark), _empty_keyed(spark)), base)
+    assert m["fct_trending_daily"].count() == 3
+    # the 2024-03-02 slice is replaced; only that date is recomputed and rewritten
+    second = day("2024-03-01", [1, 2]).unionByName(day("2024-03-02", [4, 5]))
+    m = D.materialize_marts(spark, D.build_models(second, _empty_keyed(spark), _empty_keyed(spark)), base,
+                            fact_dates=["2024-03-02"])
+    got = sorted((r.trending_date.isoformat(), int(r.tmdb_id)) for r in m["fct_trending_daily"].collect())
+    assert got == [("2024-03-01", 1), ("2024-03-01", 2), ("2024-03-02", 4), ("2024-03-02", 5)]
+
+
+def _empty_keyed(spark):
+    return D.read_raw(spark, "/nonexistent-snapreel", "details")
+
+
+def test_full_fact_rebuild_drops_vanished_dates(spark):
+    from snapreel.sources.raw_loaders import load_trending_raw
+    base = tempfile.mkdtemp(prefix="snapreel-fact-")
+    day = lambda d, ids: load_trending_raw(docs(spark, trending_env([{"id": i} for i in ids], date=d)))
+    D.materialize_marts(spark, D.build_models(day("2024-03-01", [1]).unionByName(day("2024-03-02", [2])),
+                                              _empty_keyed(spark), _empty_keyed(spark)), base)
+    m = D.materialize_marts(spark, D.build_models(day("2024-03-02", [2]), _empty_keyed(spark),
+                                                  _empty_keyed(spark)), base)
+    assert [r.trending_date.isoformat() for r in m["fct_trending_daily"].collect()] == ["2024-03-02"]
