@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from snapreel.operators import enrich as E
 from snapreel.operators import quality as Q
 from snapreel.operators.ingest import ingest_trending
+from snapreel.operators.joins import broadcast_if_small
 from snapreel.operators.replace import upsert_keyed_table, write_keyed
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
@@ -114,6 +115,38 @@ def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_ro
     return out
 
 
+def _null_safe_match(left: DataFrame, right: DataFrame, cols: list[str]):
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(right[c])
+        cond = e if cond is None else cond & e
+    return cond
+
+
+def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
+                        dates: list[str] | None = None) -> DataFrame:
+    """Maintain the distinct trending descriptions incrementally.
+
+    Snapshots are immutable, so a date's descriptions never change once
+    stored: each run adds only the descriptions of its own dates that were
+    never seen (matched null-safely on all six columns), and a rerun adds
+    nothing. Without a table yet, or with ``dates=None``, the table is
+    rebuilt from all of ``stg_trending``. Returns the table read back.
+    """
+    if dates is None or not SN._exists(spark, path):
+        M.trending_descriptions(stg_trending).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
+    new = M.trending_descriptions(day)
+    seen_all = spark.read.parquet(path)
+    keys = broadcast_if_small(new.select(*M.KEY).distinct())
+    # only descriptions of today's keys can match; the rest of the table is not shuffled
+    seen = seen_all.join(keys, _null_safe_match(seen_all, keys, M.KEY), "left_semi")
+    fresh = new.join(seen, _null_safe_match(new, seen, M.DESCRIPTION_COLUMNS), "left_anti")
+    fresh.hint("rebalance").write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 @dataclass
 class DailyResult:
     routes: DataFrame
@@ -139,8 +172,14 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
         enrich_source(spark, store_root, raw_root, "credits", credits_landing)
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
     gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"])
-    models = materialize_marts(spark, build_models(raw["trending"], raw["details"], raw["credits"],
-                                                   media_type_from), mart_root, fact_dates=[run_date])
+    models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
+    descriptions = update_descriptions(
+        spark, f"{mart_root.rstrip('/')}/_trending_descriptions_{media_type_from}",
+        models["stg_tmdb_trending"], dates=[run_date])
+    models["dim_content"] = M.dim_from_descriptions(
+        descriptions, models["stg_tmdb_details"], models["int_tmdb_credits_summary"],
+        models["int_tmdb_genres_summary"])
+    models = materialize_marts(spark, models, mart_root, fact_dates=[run_date])
     checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
                "tmdb_credits_raw": raw["credits"].drop("payload")}
     return DailyResult(routes, gate, Q.run_not_null(checked), Q.run_unique(checked), models)

@@ -71,3 +71,21 @@ def test_full_fact_rebuild_drops_vanished_dates(spark):
     m = D.materialize_marts(spark, D.build_models(day("2024-03-02", [2]), _empty_keyed(spark),
                                                   _empty_keyed(spark)), base)
     assert [r.trending_date.isoformat() for r in m["fct_trending_daily"].collect()] == ["2024-03-02"]
+
+
+def test_incremental_descriptions_equal_full_rebuild(spark):
+    from snapreel.plans import marts as M
+    from snapreel.plans import staging as S
+    from snapreel.sources.raw_loaders import load_trending_raw
+    base = tempfile.mkdtemp(prefix="snapreel-desc-")
+    day = lambda d, items: load_trending_raw(docs(spark, trending_env(items, date=d)))
+    d1 = day("2024-03-01", [{"id": 1, "title": "A"}, {"id": 2, "name": "B"}])          # NULL columns
+    d2 = day("2024-03-02", [{"id": 1, "title": "A"}, {"id": 1, "title": "A2"}, {"id": 2, "name": "B"}])
+    path = f"{base}/desc"
+    D.update_descriptions(spark, path, S.stg_trending(d1), dates=["2024-03-01"])
+    both = S.stg_trending(d1.unionByName(d2))
+    for _ in range(2):  # rerun adds nothing
+        got = D.update_descriptions(spark, path, both, dates=["2024-03-02"])
+    want = M.trending_descriptions(both)
+    assert got.count() == want.count() == 3
+    assert got.exceptAll(want).count() == 0
