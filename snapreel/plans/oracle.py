@@ -115,10 +115,10 @@ DIM = """dim AS (
 
 LATEST = """latest AS (SELECT max(snapshot_date) AS d FROM ev),
 lk AS (SELECT DISTINCT e.tmdb_id, e.item_type AS media_type
-       FROM ev e, latest WHERE e.snapshot_date = latest.d AND e.item_type IN ('movie', 'tv'))"""
+       FROM ev e WHERE e.snapshot_date = (SELECT d FROM latest) AND e.item_type IN ('movie', 'tv'))"""
 
-ASOF = """det_asof AS (SELECT * FROM det, latest WHERE det.load_ts < CAST(latest.d AS TIMESTAMP)),
-li_asof AS (SELECT * FROM li, latest WHERE li.load_ts < CAST(latest.d AS TIMESTAMP))"""
+ASOF = """det_asof AS (SELECT * FROM det WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest)),
+li_asof AS (SELECT * FROM li WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest))"""
 
 _CREDIT_MODELS = [LINES, CAST, CREW, DIRECTOR, TOPCAST, CREDITS_SUMMARY]
 _DETAIL_MODELS = [DETAILS, GENRES, GENRES_SUMMARY]
@@ -225,8 +225,8 @@ ORACLE_SQL = {
                                                  INTERSECT SELECT tmdb_id, media_type FROM det)
              UNION ALL
              SELECT d.tmdb_id, d.media_type, d.title,
-                    CAST(latest.d AS TIMESTAMP) + INTERVAL 6 HOUR AS load_ts
-             FROM det d, latest
+                    (SELECT CAST(d AS TIMESTAMP) FROM latest) + INTERVAL 6 HOUR AS load_ts
+             FROM det d
              WHERE (d.tmdb_id, d.media_type) IN (SELECT tmdb_id, media_type FROM lk)""",
     "replay_routing": """WITH inv AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
 bounds AS (SELECT min(d) AS lo, max(d) AS hi FROM inv),
