@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from snapreel.operators import enrich as E
 from snapreel.operators import quality as Q
 from snapreel.operators.ingest import ingest_trending
-from snapreel.operators.joins import broadcast_if_small
-from snapreel.operators.replace import upsert_keyed_table, write_keyed
+from snapreel.operators.joins import broadcast_if_small, restrict_to
+from snapreel.operators.replace import read_keyed, upsert_keyed_table, write_keyed
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
@@ -34,16 +34,19 @@ def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
     path = f"{raw_root.rstrip('/')}/{source}"
     if not SN._exists(spark, path):
         return spark.createDataFrame([], RAW_SCHEMAS[source])
-    return spark.read.parquet(path).select(*RAW_COLUMNS[source])
+    if source == "trending":
+        return spark.read.schema(RAW_SCHEMAS[source]).parquet(path).select(*RAW_COLUMNS[source])
+    return read_keyed(spark, path, RAW_SCHEMAS[source]).select(*RAW_COLUMNS[source])
 
 
 def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: str,
-                  landing: DataFrame) -> DataFrame:
+                  landing: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """R2-R9 for one source: missing keys -> their landing documents -> store + raw.
 
     ``landing`` holds fetched envelopes (column ``doc``). Only documents of
     keys missing from the raw table are stored (S2) and upserted (S13).
-    Returns the missing keys (lazy; recomputing it later reflects the new state).
+    Returns ``(missing keys, keys loaded)``; the second is None when nothing
+    was loaded. The missing set is checkpointed, so both stay fixed.
     """
     raw_t = read_raw(spark, raw_root, "trending")
     existing = E.existing_keys(read_raw(spark, raw_root, source))
@@ -51,7 +54,7 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
     keyed = landing.select("doc", *SN._key_cols("doc"))
     todo = E.select_documents(keyed, missing).select("doc")
     if todo.first() is None:
-        return missing
+        return missing, None
     SN.write_snapshots(todo, store_root, source)
     rows = load_keyed_raw(todo)
     path = f"{raw_root.rstrip('/')}/{source}"
@@ -59,7 +62,7 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
         upsert_keyed_table(spark, path, rows)
     else:
         write_keyed(rows, path)
-    return missing
+    return missing, rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct()
 
 
 def build_models(raw_trending: DataFrame, raw_details: DataFrame, raw_credits: DataFrame,
@@ -147,6 +150,39 @@ def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
     return spark.read.parquet(path)
 
 
+KEY = ["tmdb_id", "media_type"]
+SUMMARY_SOURCES = {"int_tmdb_credits_summary": "credits", "int_tmdb_genres_summary": "details"}
+
+
+def _summary(name: str, raw: DataFrame) -> DataFrame:
+    if name == "int_tmdb_credits_summary":
+        return I.credits_summary(S.stg_credits_cast(raw), S.stg_credits_crew(raw))
+    return I.genres_summary(S.stg_details_genres(raw))
+
+
+def refresh_summaries(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
+                      touched: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
+    """Keep M6/M7 as key-bucketed tables, recomputing only touched keys.
+
+    A key's summary depends only on its own raw rows, and a run adds or
+    replaces raw rows of the keys it loaded: those keys' rows are taken
+    from the raw table (size-checked broadcast semi join), summarised and
+    upserted; every other key's summary is untouched. Without a table yet
+    the summary is built in full. Returns the tables read back.
+    """
+    out = {}
+    for name, source in SUMMARY_SOURCES.items():
+        path = f"{mart_root.rstrip('/')}/_{name}"
+        keys = touched.get(source)
+        full = _summary(name, raw[source])
+        if not SN._exists(spark, path):
+            write_keyed(full, path)
+        elif keys is not None:
+            upsert_keyed_table(spark, path, _summary(name, restrict_to(raw[source], keys, KEY)))
+        out[name] = read_keyed(spark, path, full.schema).drop("key_bucket")
+    return out
+
+
 @dataclass
 class DailyResult:
     routes: DataFrame
@@ -166,13 +202,14 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     requested = spark.range(1).select(F.to_date(F.lit(run_date)).alias("snapshot_date"))
     routes = ingest_trending(spark, store_root, f"{raw_root.rstrip('/')}/trending", requested,
                              today or run_date, trending_landing)
-    if details_landing is not None:
-        enrich_source(spark, store_root, raw_root, "details", details_landing)
-    if credits_landing is not None:
-        enrich_source(spark, store_root, raw_root, "credits", credits_landing)
+    touched = {}
+    for source, landing in (("details", details_landing), ("credits", credits_landing)):
+        if landing is not None:
+            touched[source] = enrich_source(spark, store_root, raw_root, source, landing)[1]
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
     gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"])
     models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
+    models.update(refresh_summaries(spark, raw, mart_root, touched))
     descriptions = update_descriptions(
         spark, f"{mart_root.rstrip('/')}/_trending_descriptions_{media_type_from}",
         models["stg_tmdb_trending"], dates=[run_date])

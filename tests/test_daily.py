@@ -89,3 +89,31 @@ def test_incremental_descriptions_equal_full_rebuild(spark):
     want = M.trending_descriptions(both)
     assert got.count() == want.count() == 3
     assert got.exceptAll(want).count() == 0
+
+
+def test_incremental_summaries_equal_full_recompute(spark):
+    from snapreel.plans import intermediate as I
+    from snapreel.plans import staging as S
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-inc-")
+    store, raw, marts = f"{base}/store", f"{base}/raw", f"{base}/marts"
+    credits = docs(spark,
+                   keyed_env(1, "movie", {"cast": [{"id": 1, "name": "A", "order": 0}],
+                                          "crew": [{"id": 2, "name": "D1", "job": "Director"}]}),
+                   keyed_env(4, "movie", {"cast": [{"id": 3, "name": "C", "order": 1}, {"id": 4, "name": "B", "order": 0}],
+                                          "crew": [{"id": 5, "name": "D4", "job": "Director"}]}))
+    details = docs(spark, keyed_env(1, "movie", {"title": "One", "genres": [{"id": 1, "name": "Drama"}]}),
+                   keyed_env(4, "movie", {"title": "Four", "genres": [{"id": 2, "name": "War"}, {"id": 1, "name": "Drama"}]}))
+    for day, ids in (("2024-03-01", [1]), ("2024-03-02", [1, 4])):
+        trending = docs(spark, trending_env([{"id": i, "media_type": "movie", "title": f"T{i}"} for i in ids], date=day))
+        r = D.run_daily(spark, store, raw, marts, day, today=day, trending_landing=trending,
+                        details_landing=details, credits_landing=credits, media_type_from="item")
+    raw_c, raw_d = D.read_raw(spark, raw, "credits"), D.read_raw(spark, raw, "details")
+    full_c = I.credits_summary(S.stg_credits_cast(raw_c), S.stg_credits_crew(raw_c))
+    full_g = I.genres_summary(S.stg_details_genres(raw_d))
+    inc_c, inc_g = r.models["int_tmdb_credits_summary"], r.models["int_tmdb_genres_summary"]
+    assert inc_c.count() == full_c.count() == 2
+    assert inc_c.select(full_c.columns).exceptAll(full_c).count() == 0
+    assert inc_g.select(full_g.columns).exceptAll(full_g).count() == 0
+    dim = {int(x.tmdb_id): x for x in r.models["dim_content"].collect()}
+    assert (dim[4].title, dim[4].director_name, dim[4].top_cast, dim[4].genres) == ("Four", "D4", "B, C", "Drama, War")
