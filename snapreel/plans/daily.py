@@ -27,6 +27,7 @@ from snapreel.sources.raw_loaders import load_keyed_raw
 from snapreel.sources.schemas import RAW_SCHEMAS
 
 RAW_COLUMNS = {s: [f.name for f in schema.fields] for s, schema in RAW_SCHEMAS.items()}
+KEY = ["tmdb_id", "media_type"]
 
 
 def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
@@ -136,21 +137,21 @@ def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
     nothing. Without a table yet, or with ``dates=None``, the table is
     rebuilt from all of ``stg_trending``. Returns the table read back.
     """
+    schema = M.trending_descriptions(stg_trending).schema
     if dates is None or not SN._exists(spark, path):
         M.trending_descriptions(stg_trending).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
     new = M.trending_descriptions(day)
-    seen_all = spark.read.parquet(path)
+    seen_all = spark.read.schema(schema).parquet(path)
     keys = broadcast_if_small(new.select(*M.KEY).distinct())
     # only descriptions of today's keys can match; the rest of the table is not shuffled
     seen = seen_all.join(keys, _null_safe_match(seen_all, keys, M.KEY), "left_semi")
     fresh = new.join(seen, _null_safe_match(new, seen, M.DESCRIPTION_COLUMNS), "left_anti")
     fresh.hint("rebalance").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
-KEY = ["tmdb_id", "media_type"]
 SUMMARY_SOURCES = {"int_tmdb_credits_summary": "credits", "int_tmdb_genres_summary": "details"}
 
 
