@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapreel.functions.variant import STRING, flatten, outer, vget, vnum
-from snapreel.operators.joins import broadcast_if_small, restrict_to
+from snapreel.operators.joins import broadcast_if_small, is_small
 
 KEY = ["tmdb_id", "media_type"]
 ENRICHED_TYPES = ("movie", "tv")   # fixed values: people are not enriched
@@ -58,8 +58,11 @@ def missing_keys(source_keys: DataFrame, existing: DataFrame, sort: bool = False
     size-checked broadcast semi join, then the anti join runs on two small
     inputs.
     """
-    present = restrict_to(existing, source_keys, KEY)
-    out = source_keys.join(present, KEY, "left_anti")
+    if is_small(source_keys):
+        present = existing.join(F.broadcast(source_keys), KEY, "left_semi")
+        out = source_keys.join(present, KEY, "left_anti")
+    else:
+        out = source_keys.join(existing, KEY, "left_anti")
     return out.orderBy(*KEY) if sort else out
 
 
@@ -86,8 +89,11 @@ def raw_complete(raw_trending: DataFrame, raw_details: DataFrame,
     credits. Both counts come from one scan of the latest keys.
     """
     keys = latest_trending_keys(raw_trending)
-    d = existing_keys(restrict_to(raw_details, keys, KEY)).withColumn("_has_details", F.lit(True))
-    c = existing_keys(restrict_to(raw_credits, keys, KEY)).withColumn("_has_credits", F.lit(True))
+    if is_small(keys):   # scan the big raw tables against a broadcast key set
+        raw_details = raw_details.join(F.broadcast(keys), KEY, "left_semi")
+        raw_credits = raw_credits.join(F.broadcast(keys), KEY, "left_semi")
+    d = existing_keys(raw_details).withColumn("_has_details", F.lit(True))
+    c = existing_keys(raw_credits).withColumn("_has_credits", F.lit(True))
     marked = keys.join(d, KEY, "left").join(c, KEY, "left")
     out = marked.agg(
         F.count(F.lit(1)).alias("latest_keys"),
