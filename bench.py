@@ -7,7 +7,8 @@ of ``BENCH_RUNS`` runs, each written to the ``noop`` sink so the full plan
 executes without collecting to the driver.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 5). Prints ONE JSON line on stdout.
+BENCH_RUNS (default 5), BENCH_EVENT_LOG_DIR (optional: write Spark's event log
+there for stage and task times). Prints ONE JSON line on stdout.
 """
 
 from __future__ import annotations
@@ -42,9 +43,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = build_session(f"local[{cpus}]", app_name="snapreel-bench",
-                          shuffle_partitions=max(cpus, 8),
-                          extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
+                          shuffle_partitions=max(cpus, 8), extra_conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     cat = Catalog(spark, sf_dir)
