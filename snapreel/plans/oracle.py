@@ -79,39 +79,54 @@ CREW = """crw AS (
          load_ts
   FROM li)"""
 
+# People of a title: crew and cast rows side by side, one aggregation per title.
+PEOPLE = """ppl AS (
+  SELECT tmdb_id, media_type, person_name, load_ts, job, NULL::BIGINT AS cast_order, FALSE AS is_cast FROM crw
+  UNION ALL
+  SELECT tmdb_id, media_type, person_name, load_ts, NULL, cast_order, TRUE FROM cst)"""
+
 DIRECTOR = """dir AS (
-  SELECT tmdb_id, media_type, person_name AS director_name, load_ts,
-         row_number() OVER (PARTITION BY tmdb_id, media_type
-                            ORDER BY person_name NULLS LAST, load_ts NULLS LAST) AS rn
-  FROM crw WHERE job = 'Director')"""
+  SELECT tmdb_id, media_type,
+         (list(person_name ORDER BY person_name NULLS LAST, load_ts NULLS LAST))[1] AS director_name,
+         (list(load_ts ORDER BY person_name NULLS LAST, load_ts NULLS LAST))[1] AS load_ts
+  FROM crw WHERE job = 'Director' GROUP BY ALL)"""
 
 TOPCAST = """tc AS (
   SELECT tmdb_id, media_type,
          coalesce(string_agg(person_name, ', ' ORDER BY cast_order NULLS LAST, person_name NULLS LAST), '') AS top_cast
-  FROM cst WHERE cast_order <= 2 GROUP BY tmdb_id, media_type)"""
+  FROM cst WHERE cast_order <= 2 GROUP BY ALL)"""
 
 CREDITS_SUMMARY = """cs AS (
-  SELECT b.tmdb_id, b.media_type, d.director_name, t.top_cast, d.load_ts
-  FROM (SELECT tmdb_id, media_type FROM crw UNION SELECT tmdb_id, media_type FROM cst) b
-  LEFT JOIN dir d ON b.tmdb_id = d.tmdb_id AND b.media_type = d.media_type AND d.rn = 1
-  LEFT JOIN tc t ON b.tmdb_id = t.tmdb_id AND b.media_type = t.media_type)"""
+  SELECT tmdb_id, media_type,
+         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL THEN
+           (list(person_name ORDER BY person_name NULLS LAST, load_ts NULLS LAST) FILTER (WHERE job = 'Director'))[1] END AS director_name,
+         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL AND count(*) FILTER (WHERE is_cast AND cast_order <= 2) > 0 THEN
+           coalesce(string_agg(person_name, ', ' ORDER BY cast_order NULLS LAST, person_name NULLS LAST)
+                    FILTER (WHERE is_cast AND cast_order <= 2), '') END AS top_cast,
+         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL THEN
+           (list(load_ts ORDER BY person_name NULLS LAST, load_ts NULLS LAST) FILTER (WHERE job = 'Director'))[1] END AS load_ts
+  FROM ppl GROUP BY tmdb_id, media_type)"""
 
 GENRES_SUMMARY = """gs AS (
   SELECT tmdb_id, media_type, string_agg(genre_name, ', ' ORDER BY genre_name) AS genres
-  FROM gen GROUP BY tmdb_id, media_type)"""
-
-DIM = """dim AS (
+  FROM gen GROUP BY ALL)"""
+
+# One lookup row per title (details, credits summary, genres), then one left join.
+DIM = """lookup AS (
+  SELECT * FROM (SELECT tmdb_id, media_type, title AS l_title, original_title AS l_original_title,
+                        original_language AS l_language, release_date AS l_release, runtime, imdb_id FROM det)
+  FULL JOIN (SELECT tmdb_id, media_type, director_name, top_cast FROM cs) USING (tmdb_id, media_type)
+  FULL JOIN gs USING (tmdb_id, media_type)),
+dim AS (
   SELECT t.tmdb_id, t.media_type,
-         coalesce(d.title, t.title) AS title,
-         coalesce(d.original_title, t.original_title) AS original_title,
-         coalesce(d.original_language, t.original_language) AS original_language,
-         coalesce(d.release_date, t.release_date) AS release_date,
-         d.runtime, d.imdb_id, c.director_name, c.top_cast, g.genres
+         coalesce(l.l_title, t.title) AS title,
+         coalesce(l.l_original_title, t.original_title) AS original_title,
+         coalesce(l.l_language, t.original_language) AS original_language,
+         coalesce(l.l_release, t.release_date) AS release_date,
+         l.runtime, l.imdb_id, l.director_name, l.top_cast, l.genres
   FROM (SELECT DISTINCT tmdb_id, media_type, title, original_title, original_language, release_date
         FROM st WHERE tmdb_id IS NOT NULL) t
-  LEFT JOIN det d ON t.tmdb_id = d.tmdb_id AND t.media_type = d.media_type
-  LEFT JOIN cs c ON t.tmdb_id = c.tmdb_id AND t.media_type = c.media_type
-  LEFT JOIN gs g ON t.tmdb_id = g.tmdb_id AND t.media_type = g.media_type)"""
+  LEFT JOIN lookup l ON t.tmdb_id = l.tmdb_id AND t.media_type = l.media_type)"""
 
 LATEST = """latest AS (SELECT max(snapshot_date) AS d FROM ev),
 lk AS (SELECT DISTINCT e.tmdb_id, e.item_type AS media_type
@@ -120,7 +135,7 @@ lk AS (SELECT DISTINCT e.tmdb_id, e.item_type AS media_type
 ASOF = """det_asof AS (SELECT * FROM det WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest)),
 li_asof AS (SELECT * FROM li WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest))"""
 
-_CREDIT_MODELS = [LINES, CAST, CREW, DIRECTOR, TOPCAST, CREDITS_SUMMARY]
+_CREDIT_MODELS = [LINES, CAST, CREW, PEOPLE, CREDITS_SUMMARY]
 _DETAIL_MODELS = [DETAILS, GENRES, GENRES_SUMMARY]
 
 
@@ -191,7 +206,7 @@ ORACLE_SQL = {
     "genres_summary": _with(*_DETAIL_MODELS) + "SELECT * FROM gs",
     "credits_summary": _with(*_CREDIT_MODELS) + "SELECT * FROM cs",
     "top_cast": _with(LINES, CAST, TOPCAST) + "SELECT * FROM tc",
-    "first_director": _with(LINES, CREW, DIRECTOR) + "SELECT tmdb_id, media_type, director_name, load_ts FROM dir WHERE rn = 1",
+    "first_director": _with(LINES, CREW, DIRECTOR) + "SELECT * FROM dir",
     "credits_keys": _with(LINES, CAST, CREW) + "SELECT tmdb_id, media_type FROM crw UNION SELECT tmdb_id, media_type FROM cst",
     "dim_content_envelope": _dim(STG_TRENDING_ITEM),
     "dim_content_all": _dim(STG_TRENDING_ALL),
