@@ -4,6 +4,9 @@
   ``--date``, enrich missing details and credits from landing folders,
   rebuild the marts and run all checks.
 * ``build`` -- rebuild the marts from the raw tables and run the checks.
+* ``test`` -- run all checks against the stored marts (no rebuild).
+* ``sql`` -- run a SQL statement with every raw table and model registered
+  as a view under its name (``dim_content``, ``stg_tmdb_trending``, ...).
 * ``route`` -- print the replay/fetch/fail routing for a range of dates.
 
 Exit status 1 when a data-quality check fails (or a date cannot be routed).
@@ -51,6 +54,16 @@ def main(argv=None) -> int:
     b.add_argument("--raw", required=True)
     b.add_argument("--marts", required=True)
     b.add_argument("--media-type-from", default="envelope", choices=["envelope", "item"])
+    t = sub.add_parser("test")
+    t.add_argument("--raw", required=True)
+    t.add_argument("--marts", required=True)
+    t.add_argument("--media-type-from", default="envelope", choices=["envelope", "item"])
+    q = sub.add_parser("sql")
+    q.add_argument("--raw", required=True)
+    q.add_argument("--marts", default=None)
+    q.add_argument("--media-type-from", default="envelope", choices=["envelope", "item"])
+    q.add_argument("--rows", type=int, default=20, help="rows to print")
+    q.add_argument("statement")
     r = sub.add_parser("route")
     r.add_argument("--store", required=True)
     r.add_argument("--from", dest="start", required=True)
@@ -65,6 +78,22 @@ def main(argv=None) -> int:
         routes = route_snapshots(req, inv, args.today or utc_today()).orderBy("requested_date")
         routes.show(routes.count(), truncate=False)
         return 1 if routes.where(F.col("action") == "fail").first() else 0
+    if args.cmd in ("test", "sql"):
+        raw = {s: D.read_raw(spark, args.raw, s) for s in ("trending", "details", "credits")}
+        models = D.build_models(raw["trending"], raw["details"], raw["credits"], args.media_type_from)
+        if args.marts:
+            for name in D.MART_MODELS:
+                path = f"{args.marts.rstrip('/')}/{name}"
+                if SN._exists(spark, path):
+                    models[name] = spark.read.parquet(path)
+        models.update({f"tmdb_{s}_raw": df for s, df in raw.items()})
+        if args.cmd == "sql":
+            D.register_views(models)
+            spark.sql(args.statement).show(args.rows, truncate=False)
+            return 0
+        checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
+                   "tmdb_credits_raw": raw["credits"].drop("payload")}
+        return _report(Q.run_not_null(checked), Q.run_unique(checked))
     if args.cmd == "build":
         raw = {s: D.read_raw(spark, args.raw, s) for s in ("trending", "details", "credits")}
         models = D.materialize_marts(spark, D.build_models(raw["trending"], raw["details"], raw["credits"],

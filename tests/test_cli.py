@@ -36,3 +36,16 @@ def test_cli_daily_then_route(spark):
     assert main(["route", "--store", f"{base}/store", "--from", "2024-03-01", "--to", "2024-03-02",
                  "--today", "2024-03-05"]) == 1
     assert main(["build", "--raw", f"{base}/raw", "--marts", f"{base}/marts2"]) == 0
+
+
+def test_cli_test_and_sql(spark, capsys):
+    base = tempfile.mkdtemp(prefix="snapreel-cli2-")
+    _write(f"{base}/land/trending", {"media_type": "all", "time_window": "day", "snapshot_date": "2024-03-02",
+                                     "load_ts": "2024-03-02T05:00:00+00:00",
+                                     "results": [{"id": 1, "media_type": "movie", "title": "One"}]})
+    common = ["--raw", f"{base}/raw", "--marts", f"{base}/marts"]
+    assert main(["daily", "--store", f"{base}/store", *common, "--date", "2024-03-02",
+                 "--today", "2024-03-02", "--trending-landing", f"{base}/land/trending"]) == 0
+    assert main(["test", *common]) == 0
+    assert main(["sql", *common, "SELECT count(*) AS n FROM dim_content JOIN fct_trending_daily USING (tmdb_id)"]) == 0
+    assert "|1  |" in capsys.readouterr().out
