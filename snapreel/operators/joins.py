@@ -16,10 +16,15 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (no job is run); None if unknown."""
+    """Optimizer's size estimate of ``df`` (no job is run); None if unknown.
+
+    The estimate is an upper bound built from file sizes and row widths;
+    where Spark cannot estimate (e.g. after a generator over a VARIANT) it
+    grows huge, which every caller treats as "not small".
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else str(size))
     except Exception:  # pragma: no cover - estimate unavailable (e.g. Connect)
         return None
 

@@ -53,3 +53,12 @@ def test_fact_has_no_shuffle(spark):
     raw.write.parquet(path)
     fct = M.fct_trending_daily(S.stg_trending(spark.read.parquet(path)))
     assert "Exchange" not in _plan(fct)
+
+
+def test_size_check_broadcasts_small_and_not_unknown(spark):
+    from pyspark.sql import functions as F
+    from snapreel.operators.joins import estimated_size_bytes, is_small
+    small = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+    assert 0 < estimated_size_bytes(small) < 10 * 1024 * 1024 and is_small(small)
+    unknown = small.select(F.explode(F.sequence(F.lit(1), F.lit(10 ** 6))))  # generator: size unknown
+    assert is_small(unknown, max_bytes=1) is False

@@ -98,3 +98,20 @@ def test_upsert_keyed_table_rewrites_only_touched_buckets(spark):
     got = dict((int(r.tmdb_id), r.t) for r in t.collect())
     assert len(got) == 21 and t.count() == 21
     assert got[3] == "v2-3" and got[100] == "v2-100" and got[4] == "v1-4"
+
+
+def test_bucket_count_is_recorded_and_reused(spark):
+    path = tempfile.mkdtemp(prefix="snapreel-layout-") + "/credits"
+    rows = load_details_raw(docs(spark, *[keyed_env(i, "movie", {"title": f"t{i}"}) for i in range(10)]))
+    RP.write_keyed(rows, path)
+    assert RP.table_buckets(spark, path) == RP.choose_buckets(rows)   # recorded as chosen
+    sup = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")
+    assert RP.choose_buckets(sup) == RP.MIN_BUCKETS   # a small, well-estimated input
+    RP.write_keyed(rows, path, buckets=32)           # a full rewrite replaces every bucket
+    assert RP.table_buckets(spark, path) == 32
+    assert spark.read.parquet(path).select("key_bucket").distinct().count() <= 32
+    new = load_details_raw(docs(spark, keyed_env(3, "movie", {"title": "new"})))
+    RP.upsert_keyed_table(spark, path, new)          # uses the recorded 32 buckets
+    t = spark.read.parquet(path)
+    assert t.count() == 10
+    assert t.where("tmdb_id = 3").select("key_bucket").distinct().count() == 1
