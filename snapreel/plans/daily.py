@@ -24,6 +24,7 @@ from snapreel.plans import marts as M
 from snapreel.plans import staging as S
 from snapreel.sources import snapshots as SN
 from snapreel.sources.raw_loaders import load_keyed_raw
+from snapreel.session import stage
 from snapreel.sources.schemas import RAW_SCHEMAS
 
 RAW_COLUMNS = {s: [f.name for f in schema.fields] for s, schema in RAW_SCHEMAS.items()}
@@ -51,7 +52,7 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
     """
     raw_t = read_raw(spark, raw_root, "trending")
     existing = E.existing_keys(read_raw(spark, raw_root, source))
-    missing = E.missing_keys(E.latest_trending_keys(raw_t), existing).checkpoint()
+    missing = stage(E.missing_keys(E.latest_trending_keys(raw_t), existing), f"missing-{source}")
     keyed = landing.select("doc", *SN._key_cols("doc"))
     todo = E.select_documents(keyed, missing).select("doc")
     if todo.first() is None:
@@ -63,7 +64,8 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
         upsert_keyed_table(spark, path, rows)
     else:
         write_keyed(rows, path)
-    return missing, rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct()
+    return missing, stage(rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct(),
+                          f"touched-{source}")
 
 
 def build_models(raw_trending: DataFrame, raw_details: DataFrame, raw_credits: DataFrame,
@@ -142,7 +144,7 @@ def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
         M.trending_descriptions(stg_trending).write.mode("overwrite").parquet(path)
         return spark.read.schema(schema).parquet(path)
     day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
-    new = M.trending_descriptions(day)
+    new = stage(M.trending_descriptions(day), "descriptions-delta")
     seen_all = spark.read.schema(schema).parquet(path)
     keys = broadcast_if_small(new.select(*M.KEY).distinct())
     # only descriptions of today's keys can match; the rest of the table is not shuffled

@@ -96,3 +96,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under :func:`shared_dir`."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` as Parquet under :func:`shared_dir` and return it read back.
+
+    Used for the small per-run sets (missing keys, a day's new rows, touched
+    titles): it cuts their lineage (a lost executor re-reads the files
+    instead of recomputing), they are computed once instead of once per use,
+    and the optimizer then knows their real size, so the size-checked
+    broadcast of a small side into a big table's semi join can fire at
+    planning time -- before the big side would be shuffled.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -62,3 +62,16 @@ def test_size_check_broadcasts_small_and_not_unknown(spark):
     assert 0 < estimated_size_bytes(small) < 10 * 1024 * 1024 and is_small(small)
     unknown = small.select(F.explode(F.sequence(F.lit(1), F.lit(10 ** 6))))  # generator: size unknown
     assert is_small(unknown, max_bytes=1) is False
+
+
+def test_staged_small_keys_are_broadcast_into_big_semi_join(spark):
+    from pyspark.sql import functions as F
+    from snapreel.operators.joins import restrict_to
+    from snapreel.session import stage
+    big = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        F.col("l_partkey").alias("tmdb_id"), F.lit("movie").alias("media_type"), "l_quantity")
+    derived = big.select("tmdb_id", "media_type").where("tmdb_id < 5").distinct()
+    staged = stage(derived, "test-keys")
+    plan = _plan(restrict_to(big, staged, ["tmdb_id", "media_type"]))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
