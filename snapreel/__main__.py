@@ -50,6 +50,8 @@ def main(argv=None) -> int:
     for s in ("trending", "details", "credits"):
         d.add_argument(f"--{s}-landing", default=None)
     d.add_argument("--media-type-from", default="envelope", choices=["envelope", "item"])
+    d.add_argument("--full-checks", action="store_true",
+                   help="re-check every stored row, not only what this run changed")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--marts", required=True)
@@ -106,7 +108,8 @@ def main(argv=None) -> int:
     run_date = args.date or utc_today()
     try:
         res = D.run_daily(spark, args.store, args.raw, args.marts, run_date, args.today or utc_today(),
-                          land["trending"], land["details"], land["credits"], args.media_type_from)
+                          land["trending"], land["details"], land["credits"], args.media_type_from,
+                          full_checks=args.full_checks)
     except SnapshotMissingError as e:
         print(str(e), file=sys.stderr)
         return 1

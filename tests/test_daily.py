@@ -153,3 +153,19 @@ def test_daily_run_on_driver_data_equals_one_shot_models(spark):
     got_fct = flat(r.models["fct_trending_daily"]).select(*want_fct.columns)
     assert got_fct.count() == want_fct.count()
     assert got_fct.exceptAll(want_fct).count() == 0 and want_fct.exceptAll(got_fct).count() == 0
+
+
+def test_scoped_checks_find_new_faults_and_skip_old_data(spark):
+    from snapreel.operators import quality as Q
+    bad_old = docs(spark, trending_env([{"id": None, "title": "old fault"}], date="2024-03-01"))
+    new = docs(spark, trending_env([{"id": 5}], date="2024-03-02"))          # NULL title: new fault
+    from snapreel.sources.raw_loaders import load_trending_raw
+    raw_t = load_trending_raw(bad_old).unionByName(load_trending_raw(new))
+    models = D.build_models(raw_t, _empty_keyed(spark), _empty_keyed(spark))
+    checked = {**models, "tmdb_details_raw": _empty_keyed(spark).drop("payload"),
+               "tmdb_credits_raw": _empty_keyed(spark).drop("payload")}
+    scoped = D.scope_checks(checked, ["2024-03-02"], {})
+    nn = {(r.model, r.column_name): r.failing_rows for r in Q.run_not_null(scoped).collect()}
+    assert nn[("stg_tmdb_trending", "title")] == 1 and nn[("stg_tmdb_trending", "tmdb_id")] == 0
+    full = {(r.model, r.column_name): r.failing_rows for r in Q.run_not_null(checked).collect()}
+    assert full[("stg_tmdb_trending", "tmdb_id")] == 1
