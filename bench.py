@@ -38,6 +38,14 @@ RAW_COLUMNS = {
 }
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def _noop(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -143,7 +151,7 @@ def main() -> None:
     out = {"metric": "models_total_median", "value": total, "unit": "sec",
            "queries": {**timings, "build_raw": round(build_raw, 4),
                        "e2e_dim_content": round(statistics.median(samples), 4), **daily},
-           "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus, "runs": runs}
+           "sf": _sf_value(sf_dir), "cpus": cpus, "runs": runs}
     print(json.dumps(out))
     spark.stop()
 
