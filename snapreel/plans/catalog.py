@@ -78,7 +78,7 @@ class Catalog:
 
     @property
     def credits_summary(self) -> DataFrame:
-        return I.credits_summary(self.stg_credits_cast, self.stg_credits_crew)
+        return I.credits_summary_from_raw(self.raw_credits)
 
     @property
     def genres_summary(self) -> DataFrame:

@@ -74,7 +74,7 @@ def build_models(raw_trending: DataFrame, raw_details: DataFrame, raw_credits: D
     st = S.stg_trending(raw_trending, media_type_from)
     det, gen = S.stg_details(raw_details), S.stg_details_genres(raw_details)
     cast, crew = S.stg_credits_cast(raw_credits), S.stg_credits_crew(raw_credits)
-    cs, gs = I.credits_summary(cast, crew), I.genres_summary(gen)
+    cs, gs = I.credits_summary_from_raw(raw_credits), I.genres_summary(gen)
     return {
         "stg_tmdb_trending": st, "stg_tmdb_details": det, "stg_tmdb_details_genres": gen,
         "stg_tmdb_credits_cast": cast, "stg_tmdb_credits_crew": crew,
@@ -159,7 +159,7 @@ SUMMARY_SOURCES = {"int_tmdb_credits_summary": "credits", "int_tmdb_genres_summa
 
 def _summary(name: str, raw: DataFrame) -> DataFrame:
     if name == "int_tmdb_credits_summary":
-        return I.credits_summary(S.stg_credits_cast(raw), S.stg_credits_crew(raw))
+        return I.credits_summary_from_raw(raw)
     return I.genres_summary(S.stg_details_genres(raw))
 
 

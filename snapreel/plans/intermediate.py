@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapreel.functions.aggregates import first_by_name, ordered_listagg
+from snapreel.functions.variant import flatten, outer, vget, vnum, vstr
 
 KEY = ["tmdb_id", "media_type"]
 DIRECTOR_JOB = "Director"   # fixed value, case-sensitive
@@ -41,6 +42,25 @@ def _top_cast_col():
     return ordered_listagg("person_name", ["cast_order", "person_name"], where=_TOP_CAST_ROW)
 
 
+def people_from_raw(raw_credits: DataFrame) -> DataFrame:
+    """Cast and crew rows of every credits document from ONE scan.
+
+    Same rows as ``stg_credits_cast`` and ``stg_credits_crew`` together (each
+    list flattened with the same semantics), but the raw table is read and
+    its payload decoded once instead of twice.
+    """
+    p = F.col("payload")
+    lists = F.array(F.struct(F.lit(True).alias("is_cast"), vget(p, "cast").alias("members")),
+                    F.struct(F.lit(False).alias("is_cast"), vget(p, "crew").alias("members")))
+    both = raw_credits.select(*KEY, "load_ts", F.inline(lists))
+    flat = flatten(both, outer("members"), [*KEY, "load_ts", "is_cast"], "m")
+    m = F.col("m")
+    return flat.select(*KEY, vstr(m, "name").alias("person_name"), "load_ts",
+                       F.when(~F.col("is_cast"), vstr(m, "job")).alias("job"),
+                       F.when(F.col("is_cast"), vnum(m, "order")).alias("cast_order"),
+                       "is_cast")
+
+
 def credits_summary(stg_cast: DataFrame, stg_crew: DataFrame) -> DataFrame:
     """M6 ``int_tmdb_credits_summary``: (tmdb_id, media_type, director_name, top_cast, load_ts).
 
@@ -48,7 +68,17 @@ def credits_summary(stg_cast: DataFrame, stg_crew: DataFrame) -> DataFrame:
     A key with a NULL part is kept but, as with an equality join, gets no
     director and no top cast.
     """
-    agg = (_people(stg_cast, stg_crew)
+    return summarise_people(_people(stg_cast, stg_crew))
+
+
+def credits_summary_from_raw(raw_credits: DataFrame) -> DataFrame:
+    """M6 straight from the raw credits table with a single scan (see :func:`people_from_raw`)."""
+    return summarise_people(people_from_raw(raw_credits))
+
+
+def summarise_people(people: DataFrame) -> DataFrame:
+    """The M6 aggregation over cast-and-crew rows: one shuffle on the key."""
+    agg = (people
            .groupBy(*KEY)
            .agg(_director_col().alias("d"), _top_cast_col().alias("top_cast")))
     whole_key = F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull()

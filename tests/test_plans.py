@@ -41,6 +41,12 @@ def test_credits_summary_is_one_shuffle(spark):
     assert "Window" not in plan and "Join" not in plan
 
 
+def test_credits_summary_from_raw_is_one_scan_one_shuffle(spark):
+    plan = _plan(I.credits_summary_from_raw(_stored_credits(spark)))
+    assert plan.count("FileScan parquet") == 1, plan
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
 def test_variant_path_pushed_into_scan(spark):
     raw = _stored_credits(spark)
     plan = _plan(S.stg_credits_cast(raw))

@@ -105,3 +105,18 @@ def test_null_key_is_kept_without_enrichment(spark):
     r = out.collect()
     assert len(r) == 1 and r[0].tmdb_id is None
     assert (r[0].director_name, r[0].top_cast, r[0].load_ts) == (None, None, None)
+
+
+def test_single_scan_summary_equals_two_scan_form(spark):
+    from conftest import SF_SMALL
+    from snapreel.plans.catalog import Catalog
+    raw = load_credits_raw(docs(spark,
+        keyed_env(1, "movie", {"cast": [{"id": 1, "name": "A", "order": 0}, {"id": 2, "name": None, "order": 1}],
+                               "crew": [{"id": 3, "name": "D", "job": "Director"}]}),
+        keyed_env(2, "tv", {"cast": None, "crew": {"k": {"id": 4, "name": "O", "job": "Director"}}}),
+        keyed_env(3, "movie", {})))
+    for r in (raw, Catalog(spark, SF_SMALL).raw_credits):
+        a = I.credits_summary(S.stg_credits_cast(r), S.stg_credits_crew(r))
+        b = I.credits_summary_from_raw(r)
+        assert a.count() == b.count()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
