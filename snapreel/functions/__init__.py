@@ -3,7 +3,7 @@
 from snapreel.functions.variant import (  # noqa: F401
     BOOLEAN, FLOAT, NUMBER, STRING, flatten, vget, vnum, vstr,
 )
-from snapreel.functions.scalars import iso_timestamp_ntz, strict_date, try_iso_date  # noqa: F401
-from snapreel.functions.aggregates import (  # noqa: F401
-    first_by_name, ordered_listagg, to_flat_ids,
+from snapreel.functions.scalars import (  # noqa: F401
+    iso_timestamp_ntz, strict_date, try_iso_date, utc_now_iso, utc_today_iso,
 )
+from snapreel.functions.aggregates import first_by_name, ordered_listagg  # noqa: F401

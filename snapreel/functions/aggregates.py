@@ -50,11 +50,3 @@ def first_by_name(name: str, payload: list[str], where: Column | None = None) ->
     if where is not None:
         s = F.when(where, s)
     return F.min(s)
-
-
-def to_flat_ids(df, columns: list[str]):
-    """Narrow ``decimal(38,0)`` ids and counts to ``bigint`` at a query boundary."""
-    out = df
-    for c in columns:
-        out = out.withColumn(c, F.col(c).cast("bigint"))
-    return out
