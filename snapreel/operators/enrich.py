@@ -54,9 +54,11 @@ def missing_keys(source_keys: DataFrame, existing: DataFrame, sort: bool = False
     """Keys in ``source_keys`` but not in ``existing`` (optionally sorted, O3).
 
     The source is one snapshot's keys, the existing set every key ever
-    loaded: the existing set is first restricted to the source keys with a
-    size-checked broadcast semi join, then the anti join runs on two small
-    inputs.
+    loaded. When the source passes the size check (e.g. it was staged), the
+    existing set is first restricted to it by a broadcast semi join -- the
+    big side is streamed, and Catalyst pushes the semi join below the
+    distinct, so the loaded keys are never shuffled -- and the anti join runs
+    on two small inputs. Otherwise it is one shuffled anti join.
     """
     if is_small(source_keys):
         present = existing.join(F.broadcast(source_keys), KEY, "left_semi")
@@ -82,13 +84,13 @@ def as_of(raw: DataFrame, cutoff) -> DataFrame:
 
 
 def raw_complete(raw_trending: DataFrame, raw_details: DataFrame,
-                 raw_credits: DataFrame) -> DataFrame:
+                 raw_credits: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """R11 as a data check: one row with missing counts and ``raw_complete``.
 
     Transformations may start when no latest trending key lacks details or
-    credits. Both counts come from one scan of the latest keys.
+    credits. ``keys`` may pass the latest keys already computed (staged).
     """
-    keys = latest_trending_keys(raw_trending)
+    keys = keys if keys is not None else latest_trending_keys(raw_trending)
     if is_small(keys):   # scan the big raw tables against a broadcast key set
         raw_details = raw_details.join(F.broadcast(keys), KEY, "left_semi")
         raw_credits = raw_credits.join(F.broadcast(keys), KEY, "left_semi")

@@ -42,7 +42,7 @@ def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
 
 
 def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: str,
-                  landing: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+                  landing: DataFrame, latest: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """R2-R9 for one source: missing keys -> their landing documents -> store + raw.
 
     ``landing`` holds fetched envelopes (column ``doc``). Only documents of
@@ -239,12 +239,14 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     requested = spark.range(1).select(F.to_date(F.lit(run_date)).alias("snapshot_date"))
     routes = ingest_trending(spark, store_root, f"{raw_root.rstrip('/')}/trending", requested,
                              today or run_date, trending_landing)
+    # one snapshot's keys: staged once, so its real (small) size drives the broadcasts
+    latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending")), "latest-keys")
     touched = {}
     for source, landing in (("details", details_landing), ("credits", credits_landing)):
         if landing is not None:
-            touched[source] = enrich_source(spark, store_root, raw_root, source, landing)[1]
+            touched[source] = enrich_source(spark, store_root, raw_root, source, landing, latest)[1]
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
-    gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"])
+    gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"], keys=latest)
     models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
     models.update(refresh_summaries(spark, raw, mart_root, touched))
     descriptions = update_descriptions(
