@@ -81,3 +81,18 @@ def test_staged_small_keys_are_broadcast_into_big_semi_join(spark):
     plan = _plan(restrict_to(big, staged, ["tmdb_id", "media_type"]))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
+
+
+def test_missing_keys_filters_loaded_keys_before_shuffling(spark):
+    from snapreel.operators import enrich as E
+    from snapreel.session import stage
+    c = Catalog(spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="snapreel-plan-") + "/details"
+    write_keyed(c.raw_details, path)
+    existing = E.existing_keys(spark.read.parquet(path))
+    latest = stage(E.latest_trending_keys(c.raw_trending()), "test-latest")
+    plan = _plan(E.missing_keys(latest, existing))
+    lines = [l.strip() for l in plan.splitlines()]
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    # below the only shuffle, the loaded keys already went through the broadcast semi join
+    assert any("BroadcastHashJoin" in l and "LeftSemi" in l for l in lines[exchange:]), plan
