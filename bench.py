@@ -86,7 +86,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")}
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "4g")}
     if os.environ.get("BENCH_EVENT_LOG_DIR"):
         extra.update({"spark.eventLog.enabled": "true",
                       "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
