@@ -228,12 +228,18 @@ ORACLE_SQL = {
              WHERE (tmdb_id, media_type) IN (
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM li_asof)""",
     "raw_complete_gate": _with(EV, LATEST, DETAILS, LINES)
-        + """SELECT count(*) AS latest_keys,
-                    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM det d WHERE d.tmdb_id = lk.tmdb_id AND d.media_type = lk.media_type)) AS missing_details,
-                    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM li c WHERE c.tmdb_id = lk.tmdb_id AND c.media_type = lk.media_type)) AS missing_credits,
-                    (count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM det d WHERE d.tmdb_id = lk.tmdb_id AND d.media_type = lk.media_type)) = 0
-                     AND count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM li c WHERE c.tmdb_id = lk.tmdb_id AND c.media_type = lk.media_type)) = 0) AS raw_complete
-             FROM lk""",
+        + """, flags AS (
+               SELECT EXISTS (SELECT 1 FROM det d
+                              WHERE d.tmdb_id = lk.tmdb_id AND d.media_type = lk.media_type) AS has_details,
+                      EXISTS (SELECT 1 FROM li c
+                              WHERE c.tmdb_id = lk.tmdb_id AND c.media_type = lk.media_type) AS has_credits
+               FROM lk)
+             SELECT count(*) AS latest_keys,
+                    count(*) FILTER (WHERE NOT has_details) AS missing_details,
+                    count(*) FILTER (WHERE NOT has_credits) AS missing_credits,
+                    count(*) FILTER (WHERE NOT has_details) = 0
+                      AND count(*) FILTER (WHERE NOT has_credits) = 0 AS raw_complete
+             FROM flags""",
     "keyed_replace": _with(EV, LATEST, DETAILS, LINES, ASOF)
         + """SELECT tmdb_id, media_type, title, load_ts FROM det_asof
              WHERE (tmdb_id, media_type) NOT IN (SELECT tmdb_id, media_type FROM lk

@@ -76,7 +76,8 @@ def trending_documents(events: DataFrame, envelope: str = "all",
         F.col("user_id").alias("vote_count"),
         F.col("value").alias("vote_average"),
         (F.col("value") >= 400).alias("adult"),
-        F.concat(F.lit("/poster/"), F.col("event_id").cast("string"), F.lit(".jpg")).alias("poster_path"),
+        F.concat(F.lit("/poster/"), F.col("event_id").cast("string"),
+                 F.lit(".jpg")).alias("poster_path"),
         F.when(~is_person, F.concat(F.lit("/backdrop/"), k.cast("string"), F.lit(".jpg"))).alias("backdrop_path"),
     )
     env = mt if envelope == "per_type" else F.lit(envelope)
