@@ -57,7 +57,7 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
     todo = stage(E.select_documents(keyed, missing).select("doc"), f"todo-{source}")
     if todo.first() is None:
         return missing, None
-    SN.write_snapshots(todo, store_root, source)
+    SN.write_snapshots(todo, store_root, source, skip_stored=True)   # a rerun stores only the rest
     rows = load_keyed_raw(todo)
     path = f"{raw_root.rstrip('/')}/{source}"
     if SN._exists(spark, path):

@@ -169,3 +169,21 @@ def test_scoped_checks_find_new_faults_and_skip_old_data(spark):
     assert nn[("stg_tmdb_trending", "title")] == 1 and nn[("stg_tmdb_trending", "tmdb_id")] == 0
     full = {(r.model, r.column_name): r.failing_rows for r in Q.run_not_null(checked).collect()}
     assert full[("stg_tmdb_trending", "tmdb_id")] == 1
+
+
+def test_enrichment_rerun_after_crash_between_store_and_load(spark):
+    """Documents stored but not loaded (a crash): the rerun loads them without failing."""
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.sources import snapshots as SN
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-crash-")
+    store, raw = f"{base}/store", f"{base}/raw"
+    trending = docs(spark, trending_env([{"id": 1, "media_type": "movie", "title": "One"}], date="2024-03-02"))
+    dates = spark.createDataFrame([(__import__("datetime").date(2024, 3, 2),)], "snapshot_date date")
+    ingest_trending(spark, store, f"{raw}/trending", dates, "2024-03-02", SN.with_partition(trending, "trending"))
+    details = docs(spark, keyed_env(1, "movie", {"title": "One (details)"}))
+    SN.write_snapshots(details, store, "details")            # stored, then the job died
+    missing, touched = D.enrich_source(spark, store, raw, "details", details)
+    assert touched.count() == 1
+    assert D.read_raw(spark, raw, "details").count() == 1
+    assert SN.scan_snapshots(spark, store, "details").count() == 1   # not stored twice
