@@ -112,7 +112,7 @@ def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_ro
     fact_path = f"{root}/fct_trending_daily"
     fact = models["fct_trending_daily"]
     mode = "static"                      # full rebuild: dates gone from raw disappear too
-    if fact_dates is not None and SN._exists(spark, fact_path):
+    if fact_dates is not None and SN.committed(spark, fact_path):
         fact = fact.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in fact_dates]))
         mode = "dynamic"                 # only the given dates are replaced
     (fact.hint("rebalance", "trending_date").write.mode("overwrite")
@@ -140,7 +140,7 @@ def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
     rebuilt from all of ``stg_trending``. Returns the table read back.
     """
     schema = M.trending_descriptions(stg_trending).schema
-    if dates is None or not SN._exists(spark, path):
+    if dates is None or not SN.committed(spark, path):
         M.trending_descriptions(stg_trending).write.mode("overwrite").parquet(path)
         return spark.read.schema(schema).parquet(path)
     day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
@@ -178,7 +178,7 @@ def refresh_summaries(spark: SparkSession, raw: dict[str, DataFrame], mart_root:
         path = f"{mart_root.rstrip('/')}/_{name}"
         keys = touched.get(source)
         full = _summary(name, raw[source])
-        if not SN._exists(spark, path):
+        if not SN.committed(spark, path):
             write_keyed(full, path)
         elif keys is not None:
             upsert_keyed_table(spark, path, _summary(name, restrict_to(raw[source], keys, KEY)))

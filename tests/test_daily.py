@@ -187,3 +187,17 @@ def test_enrichment_rerun_after_crash_between_store_and_load(spark):
     assert touched.count() == 1
     assert D.read_raw(spark, raw, "details").count() == 1
     assert SN.scan_snapshots(spark, store, "details").count() == 1   # not stored twice
+
+
+def test_uncommitted_first_build_is_rebuilt(spark):
+    """A descriptions folder left by a crashed first build is rebuilt in full, not appended to."""
+    import os
+    from snapreel.plans import staging as S
+    from snapreel.sources.raw_loaders import load_trending_raw
+    base = tempfile.mkdtemp(prefix="snapreel-uncommitted-")
+    path = f"{base}/desc"
+    os.makedirs(f"{path}/_temporary/0")                       # what a dead job leaves behind
+    day = lambda d, ids: load_trending_raw(docs(spark, trending_env([{"id": i} for i in ids], date=d)))
+    st = S.stg_trending(day("2024-03-01", [1]).unionByName(day("2024-03-02", [2])))
+    got = D.update_descriptions(spark, path, st, dates=["2024-03-02"])
+    assert sorted(int(r.tmdb_id) for r in got.collect()) == [1, 2]   # history included
