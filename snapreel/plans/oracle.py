@@ -259,6 +259,8 @@ SELECT r.requested_date, inv.d IS NOT NULL AS snapshot_exists,
 FROM req r LEFT JOIN inv ON r.requested_date = inv.d""",
     "snapshot_roundtrip": _with(EV, STG_TRENDING_ALL) + _FACT,
     "load_once_stream": _with(EV, STG_TRENDING_ALL) + _FACT,
+    "daily_dim_content": _dim(STG_TRENDING_ITEM),
+    "daily_fct_trending": _with(EV, STG_TRENDING_ITEM) + _FACT,
     "dq_not_null": _dq_not_null(),
     "dq_unique": _dq_unique(),
 }

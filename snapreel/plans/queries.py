@@ -219,6 +219,45 @@ def load_once_stream(spark, sf_dir):
     return flat(_fact_from_raw(X.read_loaded(spark, table)))
 
 
+# --- the daily job over the driver data ---------------------------------------
+def _daily_marts(spark, sf_dir) -> dict:
+    """Store every trending snapshot, replay the history up to two days before
+    the end, preload details and credits, then run the daily job for the last
+    two days (the second run takes the incremental paths). Returns its marts."""
+    import datetime as dt
+
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.operators.replace import write_keyed
+    from snapreel.plans import daily as D
+
+    c = _cat(spark, sf_dir)
+    base = scratch_path(spark, "daily-run")
+    store, raw, marts = f"{base}/store", f"{base}/raw", f"{base}/marts"
+    SN.write_snapshots(c.trending_documents(), store, "trending")
+    dates = sorted(r.snapshot_date for r in SN.snapshot_inventory(spark, store, "trending").collect())
+    today = (dates[-1] + dt.timedelta(days=1)).isoformat()
+    history = spark.createDataFrame([(d,) for d in dates[:-2]], "snapshot_date date")
+    ingest_trending(spark, store, f"{raw}/trending", history, today)
+    write_keyed(c.raw_details, f"{raw}/details")
+    write_keyed(c.raw_credits, f"{raw}/credits")
+    for day in dates[-2:]:
+        result = D.run_daily(spark, store, raw, marts, day.isoformat(), today=today,
+                             details_landing=c.details_documents(),
+                             credits_landing=c.credits_documents(), media_type_from="item")
+    return result.models
+
+
+def daily_dim_content(spark, sf_dir):
+    """``dim_content`` as stored by the daily job (incremental descriptions and
+    summaries); equals the one-shot item-mode dimension."""
+    return flat(_daily_marts(spark, sf_dir)["dim_content"])
+
+
+def daily_fct_trending(spark, sf_dir):
+    """``fct_trending_daily`` as stored by the daily job (date partitions)."""
+    return flat(_daily_marts(spark, sf_dir)["fct_trending_daily"])
+
+
 # --- data quality ------------------------------------------------------------
 def dq_not_null(spark, sf_dir):
     return Q.run_not_null(_cat(spark, sf_dir).models())
@@ -258,4 +297,6 @@ QUERIES = {
     "load_once_stream": load_once_stream,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
+    "daily_dim_content": daily_dim_content,
+    "daily_fct_trending": daily_fct_trending,
 }

@@ -14,7 +14,7 @@ from snapreel.plans.catalog import Catalog
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF")
-SIDE_EFFECT_QUERIES = {"snapshot_roundtrip", "load_once_stream"}
+SIDE_EFFECT_QUERIES = {"snapshot_roundtrip", "load_once_stream", "daily_dim_content", "daily_fct_trending"}
 
 
 def _plan(df) -> str:
