@@ -201,3 +201,46 @@ def test_uncommitted_first_build_is_rebuilt(spark):
     st = S.stg_trending(day("2024-03-01", [1]).unionByName(day("2024-03-02", [2])))
     got = D.update_descriptions(spark, path, st, dates=["2024-03-02"])
     assert sorted(int(r.tmdb_id) for r in got.collect()) == [1, 2]   # history included
+
+
+def test_daily_enrichment_on_driver_data_equals_one_shot_over_final_raw(spark):
+    """Preload details/credits as of an earlier cut; two daily runs enrich the missing
+    titles through the upsert paths; stored summaries and dim equal one-shot models."""
+    import datetime as dt
+    from conftest import SF_SMALL
+    from snapreel.operators import enrich as E
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.operators.replace import write_keyed
+    from snapreel.plans import intermediate as I
+    from snapreel.plans import marts as M
+    from snapreel.plans import staging as S
+    from snapreel.plans.catalog import Catalog
+    from snapreel.sources import snapshots as SN
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-enrich-")
+    store, raw, marts = f"{base}/store", f"{base}/raw", f"{base}/marts"
+    cat = Catalog(spark, SF_SMALL)
+    SN.write_snapshots(cat.trending_documents(), store, "trending")
+    dates = sorted(r.snapshot_date for r in SN.snapshot_inventory(spark, store, "trending").collect())
+    today = (dates[-1] + dt.timedelta(days=1)).isoformat()
+    ingest_trending(spark, store, f"{raw}/trending",
+                    spark.createDataFrame([(d,) for d in dates[:-2]], "snapshot_date date"), today)
+    cut = F.lit(dates[0].isoformat()).cast("timestamp_ntz") + F.expr("INTERVAL 10 DAYS")
+    write_keyed(E.as_of(cat.raw_details, cut), f"{raw}/details")
+    write_keyed(E.as_of(cat.raw_credits, cut), f"{raw}/credits")
+    before = D.read_raw(spark, raw, "credits").count()
+    for day in dates[-2:]:
+        r = D.run_daily(spark, store, raw, marts, day.isoformat(), today=today,
+                        details_landing=cat.details_documents(), credits_landing=cat.credits_documents(),
+                        media_type_from="item")
+    raw_d, raw_c = D.read_raw(spark, raw, "details"), D.read_raw(spark, raw, "credits")
+    assert raw_c.count() > before                                  # titles were enriched
+    want_cs = I.credits_summary_from_raw(raw_c)
+    want_gs = I.genres_summary(S.stg_details_genres(raw_d))
+    got_cs, got_gs = r.models["int_tmdb_credits_summary"], r.models["int_tmdb_genres_summary"]
+    assert got_cs.count() == want_cs.count() and got_cs.select(want_cs.columns).exceptAll(want_cs).count() == 0
+    assert got_gs.count() == want_gs.count() and got_gs.select(want_gs.columns).exceptAll(want_gs).count() == 0
+    st = S.stg_trending(D.read_raw(spark, raw, "trending"), "item")
+    want_dim = M.dim_content(st, S.stg_details(raw_d), want_cs, want_gs)
+    got_dim = r.models["dim_content"].select(want_dim.columns)
+    assert got_dim.count() == want_dim.count() and got_dim.exceptAll(want_dim).count() == 0
