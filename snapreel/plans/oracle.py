@@ -171,7 +171,7 @@ _UNIQUE = {
     "tmdb_credits_raw": ("craw", ["tmdb_id", "media_type"]),
 }
 
-CREDITS_RAW = """craw AS (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 262144 AS page, load_ts FROM li)"""
+CREDITS_RAW = """craw AS (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 16384 AS page, load_ts FROM li)"""
 
 
 def _dq_not_null() -> str:
@@ -224,7 +224,7 @@ ORACLE_SQL = {
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM det_asof)""",
     "enrich_credits": _with(EV, LATEST, DETAILS, LINES, ASOF)
         + """SELECT tmdb_id, media_type, load_ts
-             FROM (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 262144 AS page, load_ts FROM li)
+             FROM (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 16384 AS page, load_ts FROM li)
              WHERE (tmdb_id, media_type) IN (
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM li_asof)""",
     "raw_complete_gate": _with(EV, LATEST, DETAILS, LINES)
