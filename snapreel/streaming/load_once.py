@@ -37,9 +37,14 @@ def trending_stream(spark: SparkSession, store_root: str,
 
 
 def load_new_snapshots(spark: SparkSession, store_root: str, raw_table_path: str,
-                       checkpoint_path: str) -> int:
-    """Run one available-now pass; returns the number of documents read in it."""
-    q = (trending_stream(spark, store_root).writeStream
+                       checkpoint_path: str, max_files_per_trigger: int | None = None) -> int:
+    """Run one available-now pass; returns the number of documents read in it.
+
+    ``max_files_per_trigger`` splits a large backlog (e.g. the first pass over
+    years of snapshots) into several bounded micro-batches; available-now
+    still processes all of it before stopping.
+    """
+    q = (trending_stream(spark, store_root, max_files_per_trigger).writeStream
          .format("parquet")
          .partitionBy(*SLICE_KEY)
          .option("checkpointLocation", checkpoint_path)
