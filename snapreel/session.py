@@ -20,7 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # The vectorized Parquet reader buffers a whole batch of rows per column:
     # for raw tables that is batch rows x document size. 128 rows keep a
-    # batch of the largest pages (~2.6 MB) near 330 MB per task.
+    # batch of the largest pages (~3 MB) near 400 MB per task.
     "spark.sql.parquet.columnarReaderBatchSize": "128",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
