@@ -38,7 +38,8 @@ def _report(not_null, unique) -> int:
 
 
 def main(argv=None) -> int:
-    ap = argparse.ArgumentParser(prog="snapreel")
+    ap = argparse.ArgumentParser(prog="snapreel", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
     d = sub.add_parser("daily")
