@@ -1,8 +1,9 @@
-"""Command line: ``python -m snapreel {daily,build,route} ...``.
+"""Command line: ``python -m snapreel {daily,build,test,sql,route} ...``.
 
 * ``daily`` -- one daily run: route/fetch/replay the trending snapshot of
   ``--date``, enrich missing details and credits from landing folders,
-  rebuild the marts and run all checks.
+  refresh the marts and run the checks on what the run changed
+  (``--full-checks`` re-checks everything).
 * ``build`` -- rebuild the marts from the raw tables and run the checks.
 * ``test`` -- run all checks against the stored marts (no rebuild).
 * ``sql`` -- run a SQL statement with every raw table and model registered
