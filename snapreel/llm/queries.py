@@ -6,8 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import packing, shards
+from snapreel.llm import packing, shards, tokenfile
 from snapreel.llm.common import table
+from snapreel.session import scratch_path
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenfile.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return tokenfile.read_ids(spark, path)
 
 
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,4 +27,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op9_shards, op10_packing)}
