@@ -17,4 +17,23 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS
 FROM placed
 """
 
-ORACLE_SQL = {"op9_shards": SHARDS}
+# every 10-word window (or shorter whole item) joined as text, hit words by position
+DECONTAMINATION = r"""
+WITH dw AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+bw AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bx AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM bw WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS t FROM bx),
+sizes AS (SELECT DISTINCT n FROM windows),
+dx AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM dw),
+dwin AS (SELECT r, p, n, array_to_string(w[p:p + n - 1], ' ') AS t FROM dx, sizes WHERE p + n - 1 <= len(w)),
+met AS (SELECT r, p, n, item_id FROM dwin JOIN windows USING (n, t)),
+hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM met) GROUP BY r),
+own AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM met) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN own USING (r)
+"""
+
+ORACLE_SQL = {"op7_decontamination": DECONTAMINATION, "op9_shards": SHARDS}

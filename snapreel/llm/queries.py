@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import packing, shards, tokenfile
+from snapreel.llm import decontam, packing, shards, tokenfile
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -17,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(spark, path)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.interleave(table(spark, sf_dir, "documents"), n_shards=40)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -27,4 +31,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op7_decontamination, op9_shards, op10_packing)}
