@@ -10,7 +10,13 @@ from snapreel.session import stage
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Texts can be long: few of them at a time go to a Python worker or a column batch.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.parquet.columnarReaderBatchSize": "1024"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

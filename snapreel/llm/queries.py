@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import decontam, packing, shards, tokenfile
+from snapreel.llm import decontam, neardup, packing, shards, tokenfile
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -17,6 +17,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(spark, path)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.groups(table(spark, sf_dir, "documents"), words=4, similarity=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,4 +36,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op7_decontamination, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op7_decontamination, op9_shards, op10_packing)}
