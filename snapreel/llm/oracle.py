@@ -36,4 +36,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM dw LEFT JOIN hit USING (r) LEFT JOIN own USING (r)
 """
 
-ORACLE_SQL = {"op7_decontamination": DECONTAMINATION, "op9_shards": SHARDS}
+# lines' token sets, prefix join on tokens in (count, word) order, exact Jaccard, any earlier match removes
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS s, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p FROM documents),
+t AS (SELECT doc_id, p, list_distinct(list_filter(regexp_split_to_array(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w FROM l),
+u AS (SELECT doc_id, p, len(w) AS n, unnest(w) AS x, w FROM t WHERE len(w) >= 5),
+f AS (SELECT x, count(*) AS c FROM u GROUP BY x),
+o AS (SELECT doc_id, p, n, w, x, row_number() OVER (PARTITION BY doc_id, p ORDER BY c, x) AS k FROM u JOIN f USING (x)),
+pre AS (SELECT * FROM o WHERE k <= n - (80 * n + 99) // 100 + 1),
+cand AS (SELECT DISTINCT a.doc_id, a.p, a.w, a.n, b.w AS v, b.n AS m FROM pre a JOIN pre b USING (x)
+  WHERE (b.doc_id, b.p) < (a.doc_id, a.p) AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT doc_id, p FROM cand WHERE 100 * len(list_intersect(w, v)) >= 80 * (n + m - len(list_intersect(w, v))))
+SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.p)::BIGINT AS n_removed,
+  coalesce(string_agg(s, chr(10) ORDER BY l.p) FILTER (WHERE g.p IS NULL), '') AS text
+FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.p = g.p GROUP BY l.doc_id
+"""
+
+ORACLE_SQL = {"op4_line_dedup": LINE_DEDUP, "op7_decontamination": DECONTAMINATION, "op9_shards": SHARDS}

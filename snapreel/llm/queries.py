@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import decontam, neardup, packing, shards, tokenfile
+from snapreel.llm import decontam, linedup, neardup, packing, shards, tokenfile
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -22,6 +22,12 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linedup.deduplicate_lines(table(spark, sf_dir, "documents"), similarity=80, min_tokens=5)
+    return out.select("doc_id", F.col("_ld_lines").cast("bigint").alias("n_lines"),
+                      F.col("_ld_removed").cast("bigint").alias("n_removed"), "text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,4 +42,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op7_decontamination, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op7_decontamination, op9_shards, op10_packing)}
