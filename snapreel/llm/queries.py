@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import decontam, linedup, neardup, packing, shards, tokenfile
+from snapreel.llm import decontam, labelled, linedup, neardup, packing, shards, tokenfile, toxicity
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -28,6 +28,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("_ld_removed").cast("bigint").alias("n_removed"), "text")
 
 
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", labelled.held_out().alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(toxicity.scored(docs.select("doc_id", "text"), model), 0.7)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,4 +53,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op7_decontamination, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op7_decontamination, op9_shards, op10_packing)}
