@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import decontam, labelled, linedup, neardup, packing, shards, tokenfile, toxicity
+from snapreel.llm import decontam, labelled, linedup, neardup, packing, quality, shards, tokenfile, toxicity
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -43,6 +43,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(quality.scored(docs.select("doc_id", "text"), model), 0.5)
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.interleave(table(spark, sf_dir, "documents"), n_shards=40)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -53,4 +59,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op7_decontamination, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op7_decontamination, op8_quality, op9_shards, op10_packing)}
