@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import decontam, labelled, linedup, neardup, packing, quality, shards, tokenfile, toxicity
+from snapreel.llm import ann, decontam, labelled, linedup, neardup, packing, quality, shards, tokenfile, toxicity
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.scored(docs.select("doc_id", "text"), model), 0.7)
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,4 +63,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op7_decontamination, op8_quality, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op6_nearest, op7_decontamination, op8_quality, op9_shards, op10_packing)}
