@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import ann, decontam, labelled, linedup, neardup, packing, quality, shards, tokenfile, toxicity
+from snapreel.llm import ann, decontam, labelled, linedup, neardup, packing, pii, quality, shards, tokenfile, toxicity
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -22,6 +22,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_pii_found").alias("n_entities"), "text")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linedup.deduplicate_lines(table(spark, sf_dir, "documents"), similarity=80, min_tokens=5)
     return out.select("doc_id", F.col("_ld_lines").cast("bigint").alias("n_lines"),
@@ -63,4 +68,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op4_line_dedup, op5_toxicity, op6_nearest, op7_decontamination, op8_quality, op9_shards, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op3_surrogates, op4_line_dedup, op5_toxicity, op6_nearest, op7_decontamination, op8_quality, op9_shards, op10_packing)}
