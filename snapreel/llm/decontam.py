@@ -55,31 +55,32 @@ def _context(at: Column) -> Column:
     return F.array(*[F.when(at + i >= 0, F.get("h", at + i)) for i in [*range(-reach, 0), *range(K, K + reach)]])
 
 
-def fingerprints(rows: DataFrame, short_lengths: list[int], keep: list[str]) -> DataFrame:
-    """Explode ``h`` (word hashes): ``keep``, ``pos`` and ``probe(length, hash)``.
-
-    ``length`` 0 marks a winnowed k-gram, kept when it is the first window's
-    smallest or differs in value or place from the window before; otherwise it
-    is the number of words of a short window.
-    """
-    pos, n = F.col("pos"), F.size("h")
+def _winnowed(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Explode ``h`` (word hashes) into ``keep, h, length (0), hash, at``: the smallest
+    k-gram hash of each window and its first place, where it differs in value or
+    place from the window before."""
+    pos = F.col("pos")
     grams = F.transform("h", lambda w, i: F.xxhash64(w, *[F.get("h", i + j) for j in range(1, K)]))
-    # the outer form: the inner one makes the optimizer test size(g) > 0 below, hashing all grams once more per word
-    spread = rows.select(*keep, "h", grams.alias("g")).select(*keep, "h", "g", F.posexplode_outer("g").alias("pos", "_w"))
-    window = [F.get("g", pos + i) for i in range(WINDOW)]
-    before = F.get("g", F.greatest(pos - 1, F.lit(0)))
-    smallest, previous = F.least(*window), F.least(before, *window[:-1])
-    chosen = (pos + SPAN <= n) & ((pos == 0) | (smallest != previous) | (before == smallest))
-    # the first place in the window that holds the smallest hash
-    place = reduce(lambda rest, i: F.when(window[i] == smallest, F.lit(i)).otherwise(rest), range(WINDOW - 2, -1, -1), F.lit(WINDOW - 1))
-    probes = [F.when(chosen, F.struct(F.lit(0).alias("length"), smallest.alias("hash"), (pos + place).alias("at")))]
-    probes += [F.when(pos + s <= n, F.struct(F.lit(s).alias("length"), _gram(pos, s).alias("hash"), pos.alias("at")))
-               for s in short_lengths]
-    if len(probes) == 1:
-        found = spread.where(chosen).select(*keep, "h", probes[0].alias("probe"))
-    else:
-        found = spread.select(*keep, "h", F.explode(F.array_compact(F.array(*probes))).alias("probe"))
-    return found.select(*keep, "h", "probe.length", "probe.hash", "probe.at")
+    minima = F.transform("g", lambda x, i: F.least(x, *[F.get("g", i + j) for j in range(1, WINDOW)]))
+    hashed = rows.select(*keep, "h", grams.alias("g")).select(*keep, "h", "g", minima.alias("m"))
+    # the outer form: the inner one makes the optimizer test size(m) > 0 below, hashing all words once more
+    spread = hashed.select(*keep, "h", "g", "m", F.posexplode_outer("m").alias("pos", "hash"))
+    moved = (pos == 0) | (F.col("hash") != F.get("m", pos - 1)) | (F.get("g", pos - 1) == F.col("hash"))
+    return spread.where((pos + SPAN <= F.size("h")) & moved).select(*keep, "h", "g", F.lit(0).alias("length"), "hash", "pos")
+
+
+def _place() -> Column:
+    """Where in the window at ``pos`` its smallest hash first stands."""
+    window = F.slice("g", F.col("pos") + 1, F.lit(WINDOW))
+    return F.col("pos") + F.array_position(window, F.col("hash")).cast("int") - 1
+
+
+def _short(rows: DataFrame, lengths: list[int], keep: list[str]) -> DataFrame:
+    """All word windows of the given lengths as ``keep, h, length, hash, at``."""
+    spread = rows.select(*keep, "h", F.posexplode_outer("h").alias("at", "_w"))
+    windows = F.array(*[F.struct(F.lit(s).alias("length"), _gram(F.col("at"), s).alias("hash")) for s in lengths])
+    found = spread.select(*keep, "h", "at", F.explode(windows).alias("window"))
+    return found.where(F.col("at") + F.col("window.length") <= F.size("h")).select(*keep, "h", "window.length", "window.hash", "at")
 
 
 def benchmark_side(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[int], bool]:
@@ -88,7 +89,7 @@ def benchmark_side(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFr
                                word_hashes(F.col(text_col)).alias("h")), "decontam-items")
     short = held.where(F.size("h").between(1, SPAN - 1)).select(F.size("h").alias("n")).distinct()
     lengths = sorted(r["n"] for r in short.collect())                   # at most SPAN - 1 numbers
-    prints = fingerprints(held.where(F.size("h") >= SPAN), [], ["item_id"])
+    prints = _winnowed(held, ["item_id"]).withColumn("at", _place())
     prints = prints.select("item_id", "length", "hash", _context(F.col("at")).alias("item_context"))
     whole = held.where(F.size("h").between(1, SPAN - 1))
     hashes = reduce(lambda rest, s: F.when(F.size("h") == s, _gram(0, s)).otherwise(rest), lengths, F.lit(None).cast("bigint"))
@@ -111,11 +112,13 @@ def hits(docs: DataFrame, items: DataFrame, keys: list[str], item_id: str = "ite
 
     ``docs`` holds ``keys`` and ``h``, the word hashes."""
     side, lengths, few = benchmark_side(items, item_id, item_text)
-    found = fingerprints(docs, lengths, keys)
-    met = found.join(F.broadcast(side) if few else side, ["length", "hash"])
+    side = F.broadcast(side) if few else side
     reach = SPAN - K
-    met = met.select(*keys, "item_id", "length", "at", "item_context",
-                     F.when(F.col("length") == 0, _context(F.col("at"))).alias("doc_context"))
+    met = _winnowed(docs, keys).join(side, ["length", "hash"]).withColumn("at", _place())
+    met = met.select(*keys, "item_id", "length", "at", "item_context", _context(F.col("at")).alias("doc_context"))
+    if lengths:
+        short = _short(docs, lengths, keys).join(side, ["length", "hash"])
+        met = met.union(short.select(*keys, "item_id", "length", "at", "item_context", F.lit(None).cast("array<bigint>")))
     left = _run("doc_context", "item_context", list(range(reach - 1, -1, -1)))
     right = _run("doc_context", "item_context", list(range(reach, 2 * reach)))
     winnowed = F.col("length") == 0
@@ -126,12 +129,24 @@ def hits(docs: DataFrame, items: DataFrame, keys: list[str], item_id: str = "ite
     return met.select(*keys, "item_id", first.alias("first"), (first + F.col("words")).alias("last")).distinct()
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return own.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), word_hashes(F.col("text")).alias("h"))
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the documents that share a window with an item; all columns kept."""
+    found = hits(_keyed(docs, id_col, text_col), items, ["doc_id", "text_key"], item_id, item_text)
+    found = staged(found.select(F.col("doc_id").alias("_k_id"), F.col("text_key").alias("_k_text")).distinct(), "decontam-found")
+    on = F.col(id_col).eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_k_text"))
+    return docs.join(found, on, "left_anti")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document: ``n_words, n_hit, n_items, items_sha256, contaminated``."""
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    words = own.select("doc_id", key.alias("text_key"), word_hashes(F.col("text")).alias("h"))
+    words = _keyed(docs, id_col, text_col)
     # repeated rows (same id and text) are answered once and joined back to each
     found = hits(words, items, ["doc_id", "text_key"], item_id, item_text)
     spans = F.sort_array(F.collect_set(F.struct("first", "last")))
