@@ -158,3 +158,10 @@ def deduplicate_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = M
     return joined.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns],
                          F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).alias("_ld_lines"),
                          F.when(F.col("_ld_gone").isNull(), 0).otherwise(F.size("_ld_gone")).alias("_ld_removed"))
+
+
+def cut_lines(docs: DataFrame, text_col: str = "text", **parameters) -> DataFrame:
+    """``docs`` with its own columns and cleaned text, without documents that lost their last word."""
+    out = deduplicate_lines(docs, text_col=text_col, **parameters)
+    left = F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]"))
+    return out.where((F.col("_ld_removed") == 0) | (left > 0)).select(*docs.columns)
