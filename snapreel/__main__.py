@@ -2,8 +2,9 @@
 
 * ``daily`` -- one daily run: route/fetch/replay the trending snapshot of
   ``--date``, enrich missing details and credits from landing folders,
-  refresh the marts and run the checks on what the run changed
-  (``--full-checks`` re-checks everything).
+  refresh the marts and run all checks (``--scoped-checks`` runs them on what
+  the run changed). Fails when latest keys lack details or credits, unless
+  ``--allow-incomplete`` is given.
 * ``build`` -- rebuild the marts from the raw tables and run the checks.
 * ``test`` -- run all checks against the stored marts (no rebuild).
 * ``sql`` -- run a SQL statement with every raw table and model registered
@@ -52,8 +53,9 @@ def main(argv=None) -> int:
     for s in ("trending", "details", "credits"):
         d.add_argument(f"--{s}-landing", default=None)
     d.add_argument("--media-type-from", default="envelope", choices=["envelope", "item"])
-    d.add_argument("--full-checks", action="store_true",
-                   help="re-check every stored row, not only what this run changed")
+    d.add_argument("--scoped-checks", action="store_true", help="check only what the run changed")
+    d.add_argument("--allow-incomplete", action="store_true",
+                   help="build the marts although latest keys lack details or credits")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--marts", required=True)
@@ -111,8 +113,8 @@ def main(argv=None) -> int:
     try:
         res = D.run_daily(spark, args.store, args.raw, args.marts, run_date, args.today or utc_today(),
                           land["trending"], land["details"], land["credits"], args.media_type_from,
-                          full_checks=args.full_checks)
-    except SnapshotMissingError as e:
+                          scoped_checks=args.scoped_checks, allow_incomplete=args.allow_incomplete)
+    except (SnapshotMissingError, D.RawIncompleteError) as e:
         print(str(e), file=sys.stderr)
         return 1
     res.routes.show(truncate=False)

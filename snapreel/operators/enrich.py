@@ -46,8 +46,12 @@ def latest_trending_keys(raw_trending: DataFrame) -> DataFrame:
 
 
 def existing_keys(raw: DataFrame) -> DataFrame:
-    """Distinct keys already present in a raw details / credits table."""
-    return raw.select(*KEY).distinct()
+    """Distinct keys already present in a raw details / credits table; a
+    title that comes in pages is present when all its pages are."""
+    if "page" not in raw.columns:
+        return raw.select(*KEY).distinct()
+    held = raw.groupBy(*KEY).agg(F.count_distinct("page").alias("held"), F.max("pages").alias("pages"))
+    return held.where(F.col("held") >= F.col("pages")).select(*KEY)
 
 
 def missing_keys(source_keys: DataFrame, existing: DataFrame, sort: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_ROWS = 1_000_000       # compressed files can hold many rows in few bytes
 
 
 def estimated_size_bytes(df: DataFrame) -> int | None:
@@ -45,9 +46,12 @@ def input_size_bytes(df: DataFrame) -> int | None:
 
 
 def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when the optimizer's size estimate of ``df`` is at most ``max_bytes``."""
+    """True when ``df`` is estimated at ``max_bytes`` at most and counted to have
+    ``MAX_BROADCAST_ROWS`` rows at most (a count that stops beyond the bound)."""
     size = estimated_size_bytes(df)
-    return size is not None and size <= max_bytes
+    if size is None or size > max_bytes:
+        return False
+    return df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:

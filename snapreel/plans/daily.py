@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapreel.operators import enrich as E
 from snapreel.operators import quality as Q
@@ -23,7 +24,7 @@ from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
 from snapreel.sources import snapshots as SN
-from snapreel.sources.raw_loaders import load_keyed_raw
+from snapreel.sources.raw_loaders import RAW_LOADERS
 from snapreel.session import stage
 from snapreel.sources.schemas import RAW_SCHEMAS
 
@@ -34,7 +35,8 @@ KEY = ["tmdb_id", "media_type"]
 def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
     """A raw table as declared (layout columns dropped); empty if not yet written."""
     path = f"{raw_root.rstrip('/')}/{source}"
-    if not SN._exists(spark, path):
+    # a keyed table's first write leaves a commit mark; slices of trending are committed one by one
+    if not (SN._exists if source == "trending" else SN.committed)(spark, path):
         return spark.createDataFrame([], RAW_SCHEMAS[source])
     if source == "trending":
         return spark.read.schema(RAW_SCHEMAS[source]).parquet(path).select(*RAW_COLUMNS[source])
@@ -42,30 +44,54 @@ def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
 
 
 def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: str,
-                  landing: DataFrame, latest: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+                  landing: DataFrame, latest: DataFrame | None = None,
+                  pending_root: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """R2-R9 for one source: missing keys -> their landing documents -> store + raw.
 
     ``landing`` holds fetched envelopes (column ``doc``). Only documents of
     keys missing from the raw table are stored (S2) and upserted (S13).
     Returns ``(missing keys, keys loaded)``; the second is None when nothing
-    was loaded. The missing set is checkpointed, so both stay fixed.
+    was loaded. The missing set is staged, so both stay fixed. With
+    ``pending_root`` the loaded keys are recorded there before the raw table
+    changes; they stay until :func:`clear_pending`, so a run that dies before
+    its marts are written leaves a record of the titles still to summarise.
     """
-    raw_t = read_raw(spark, raw_root, "trending")
+    if latest is None:
+        latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending")), "latest-keys")
     existing = E.existing_keys(read_raw(spark, raw_root, source))
-    missing = stage(E.missing_keys(E.latest_trending_keys(raw_t), existing), f"missing-{source}")
+    missing = stage(E.missing_keys(latest, existing), f"missing-{source}")
     keyed = landing.select("doc", *SN._key_cols("doc"))
     todo = stage(E.select_documents(keyed, missing).select("doc"), f"todo-{source}")
     if todo.first() is None:
-        return missing, None
+        return missing, pending_keys(spark, pending_root, source)
     SN.write_snapshots(todo, store_root, source, skip_stored=True)   # a rerun stores only the rest
-    rows = load_keyed_raw(todo)
+    rows = RAW_LOADERS[source](todo)
     path = f"{raw_root.rstrip('/')}/{source}"
-    if SN._exists(spark, path):
+    keys = rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct()
+    if pending_root:
+        keys.write.mode("append").parquet(f"{pending_root.rstrip('/')}/{source}")
+    if SN.committed(spark, path):
         upsert_keyed_table(spark, path, rows)
     else:
         write_keyed(rows, path)
-    return missing, stage(rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct(),
-                          f"touched-{source}")
+    if pending_root:
+        return missing, pending_keys(spark, pending_root, source)
+    return missing, stage(keys, f"touched-{source}")
+
+
+def pending_keys(spark: SparkSession, pending_root: str | None, source: str) -> DataFrame | None:
+    """Titles loaded into the raw table since the marts were last written; None without any."""
+    path = f"{pending_root.rstrip('/')}/{source}" if pending_root else None
+    if path is None or not SN.committed(spark, path):
+        return None
+    schema = T.StructType([f for f in RAW_SCHEMAS["details"].fields if f.name in KEY])
+    return stage(spark.read.schema(schema).parquet(path).distinct(), f"touched-{source}")
+
+
+def clear_pending(spark: SparkSession, pending_root: str) -> None:
+    """Forget the pending titles: their summaries and marts are stored."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pending_root)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def build_models(raw_trending: DataFrame, raw_details: DataFrame, raw_credits: DataFrame,
@@ -179,7 +205,7 @@ def refresh_summaries(spark: SparkSession, raw: dict[str, DataFrame], mart_root:
         keys = touched.get(source)
         full = _summary(name, raw[source])
         if not SN.committed(spark, path):
-            write_keyed(full, path)
+            write_keyed(stage(full, f"summary-{source}"), path)     # buckets by the summary's own bytes
         elif keys is not None:
             upsert_keyed_table(spark, path, _summary(name, restrict_to(raw[source], keys, KEY)))
         out[name] = read_keyed(spark, path, full.schema).drop("key_bucket")
@@ -201,8 +227,8 @@ def scope_checks(checked: dict[str, DataFrame], run_dates: list[str],
     titles a run loads, so a new not-null or uniqueness failure can only sit
     in the run's own dates (date-partitioned models: partition pruning) or
     among the touched titles (keyed models: broadcast semi join with the
-    staged key set; no titles touched -> nothing new to check). The rebuilt
-    dimension and the summaries are checked whole. Earlier data was checked
+    staged key set; models without touched titles are left out of the report).
+    The rebuilt dimension and the summaries are checked whole. Earlier data was checked
     when it arrived.
     """
     out = dict(checked)
@@ -211,11 +237,27 @@ def scope_checks(checked: dict[str, DataFrame], run_dates: list[str],
         out[name] = checked[name].where(F.col(col).isin(days))
     for name, source in KEYED_MODELS.items():
         keys = touched.get(source)
-        out[name] = (restrict_to(checked[name], keys, KEY) if keys is not None
-                     else checked[name].where(F.lit(False)))
+        if keys is None:
+            del out[name]              # nothing new to check: left out of the report, not reported as passed
+        else:
+            out[name] = restrict_to(checked[name], keys, KEY)
     return out
 
 
+class RawIncompleteError(RuntimeError):
+    """The latest snapshot's keys are not all loaded."""
+
+
+def run_dates(spark: SparkSession, raw_trending: DataFrame, mart_root: str, run_date: str) -> list[str]:
+    """The run's date and every raw date that the stored fact does not hold (one row per day)."""
+    days = raw_trending.select(F.col("snapshot_date").alias("trending_date")).distinct()
+    path = f"{mart_root.rstrip('/')}/fct_trending_daily"
+    if SN.committed(spark, path):
+        held = spark.read.parquet(path).select(F.col("trending_date").cast("date")).distinct()
+        days = days.join(held, "trending_date", "left_anti")
+    return sorted({run_date, *(r[0].isoformat() for r in days.collect())})
+
+
 @dataclass
 class DailyResult:
     routes: DataFrame
@@ -230,12 +272,18 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
               trending_landing: DataFrame | None = None,
               details_landing: DataFrame | None = None,
               credits_landing: DataFrame | None = None,
-              media_type_from: str = "envelope", full_checks: bool = False) -> DailyResult:
+              media_type_from: str = "envelope", scoped_checks: bool = False,
+              allow_incomplete: bool = False) -> DailyResult:
     """One daily run. Landing frames carry freshly fetched envelopes (``doc``).
 
-    Checks cover what the run changed (:func:`scope_checks`) unless
-    ``full_checks`` re-checks every stored row, as a full test run does.
+    Checks cover every stored row, or with ``scoped_checks`` only what the run
+    changed (:func:`scope_checks`). The marts are built when no latest key lacks
+    its details or credits (R11); ``allow_incomplete`` builds them all the same.
+    Dates in the raw table that the stored fact lacks (late snapshots) are
+    added to the run's own date, and titles that an earlier run loaded without
+    reaching its marts are summarised now.
     """
+    pending = f"{mart_root.rstrip('/')}/_pending"
     requested = spark.range(1).select(F.to_date(F.lit(run_date)).alias("snapshot_date"))
     routes = ingest_trending(spark, store_root, f"{raw_root.rstrip('/')}/trending", requested,
                              today or run_date, trending_landing)
@@ -244,20 +292,26 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     touched = {}
     for source, landing in (("details", details_landing), ("credits", credits_landing)):
         if landing is not None:
-            touched[source] = enrich_source(spark, store_root, raw_root, source, landing, latest)[1]
+            touched[source] = enrich_source(spark, store_root, raw_root, source, landing, latest, pending)[1]
+        else:
+            touched[source] = pending_keys(spark, pending, source)
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
-    gate = E.raw_complete(raw["trending"], raw["details"], raw["credits"], keys=latest)
+    gate = stage(E.raw_complete(raw["trending"], raw["details"], raw["credits"], keys=latest), "gate")
+    if not allow_incomplete and not gate.first().raw_complete:
+        raise RawIncompleteError(f"raw tables are incomplete for the latest snapshot: {gate.first().asDict()}")
+    dates = run_dates(spark, raw["trending"], mart_root, run_date)
     models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
     models.update(refresh_summaries(spark, raw, mart_root, touched))
     descriptions = update_descriptions(
         spark, f"{mart_root.rstrip('/')}/_trending_descriptions_{media_type_from}",
-        models["stg_tmdb_trending"], dates=[run_date])
+        models["stg_tmdb_trending"], dates=dates)
     models["dim_content"] = M.dim_from_descriptions(
         descriptions, models["stg_tmdb_details"], models["int_tmdb_credits_summary"],
         models["int_tmdb_genres_summary"])
-    models = materialize_marts(spark, models, mart_root, fact_dates=[run_date])
+    models = materialize_marts(spark, models, mart_root, fact_dates=dates)
+    clear_pending(spark, pending)
     checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
                "tmdb_credits_raw": raw["credits"].drop("payload")}
-    if not full_checks:
-        checked = scope_checks(checked, [run_date], touched)
+    if scoped_checks:
+        checked = scope_checks(checked, dates, touched)
     return DailyResult(routes, gate, Q.run_not_null(checked), Q.run_unique(checked), models)

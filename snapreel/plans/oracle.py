@@ -79,54 +79,42 @@ CREW = """crw AS (
          load_ts
   FROM li)"""
 
-# People of a title: crew and cast rows side by side, one aggregation per title.
-PEOPLE = """ppl AS (
-  SELECT tmdb_id, media_type, person_name, load_ts, job, NULL::BIGINT AS cast_order, FALSE AS is_cast FROM crw
-  UNION ALL
-  SELECT tmdb_id, media_type, person_name, load_ts, NULL, cast_order, TRUE FROM cst)"""
-
+# the first director by name: a window over the director rows
 DIRECTOR = """dir AS (
-  SELECT tmdb_id, media_type,
-         (list(person_name ORDER BY person_name NULLS LAST, load_ts NULLS LAST))[1] AS director_name,
-         (list(load_ts ORDER BY person_name NULLS LAST, load_ts NULLS LAST))[1] AS load_ts
-  FROM crw WHERE job = 'Director' GROUP BY ALL)"""
+  SELECT tmdb_id, media_type, person_name AS director_name, load_ts
+  FROM (SELECT *, row_number() OVER (PARTITION BY tmdb_id, media_type
+                                     ORDER BY person_name NULLS LAST, load_ts NULLS LAST) AS r
+        FROM crw WHERE job = 'Director')
+  WHERE r = 1)"""
 
 TOPCAST = """tc AS (
   SELECT tmdb_id, media_type,
          coalesce(string_agg(person_name, ', ' ORDER BY cast_order NULLS LAST, person_name NULLS LAST), '') AS top_cast
   FROM cst WHERE cast_order <= 2 GROUP BY ALL)"""
 
+# every title in crew or cast, with its first director and top cast where it has them
 CREDITS_SUMMARY = """cs AS (
-  SELECT tmdb_id, media_type,
-         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL THEN
-           (list(person_name ORDER BY person_name NULLS LAST, load_ts NULLS LAST) FILTER (WHERE job = 'Director'))[1] END AS director_name,
-         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL AND count(*) FILTER (WHERE is_cast AND cast_order <= 2) > 0 THEN
-           coalesce(string_agg(person_name, ', ' ORDER BY cast_order NULLS LAST, person_name NULLS LAST)
-                    FILTER (WHERE is_cast AND cast_order <= 2), '') END AS top_cast,
-         CASE WHEN tmdb_id IS NOT NULL AND media_type IS NOT NULL THEN
-           (list(load_ts ORDER BY person_name NULLS LAST, load_ts NULLS LAST) FILTER (WHERE job = 'Director'))[1] END AS load_ts
-  FROM ppl GROUP BY tmdb_id, media_type)"""
+  SELECT k.tmdb_id, k.media_type, dir.director_name, tc.top_cast, dir.load_ts
+  FROM (SELECT tmdb_id, media_type FROM crw UNION SELECT tmdb_id, media_type FROM cst) k
+  LEFT JOIN dir ON k.tmdb_id = dir.tmdb_id AND k.media_type = dir.media_type
+  LEFT JOIN tc ON k.tmdb_id = tc.tmdb_id AND k.media_type = tc.media_type)"""
 
 GENRES_SUMMARY = """gs AS (
   SELECT tmdb_id, media_type, string_agg(genre_name, ', ' ORDER BY genre_name) AS genres
   FROM gen GROUP BY ALL)"""
 
-# One lookup row per title (details, credits summary, genres), then one left join.
-DIM = """lookup AS (
-  SELECT * FROM (SELECT tmdb_id, media_type, title AS l_title, original_title AS l_original_title,
-                        original_language AS l_language, release_date AS l_release, runtime, imdb_id FROM det)
-  FULL JOIN (SELECT tmdb_id, media_type, director_name, top_cast FROM cs) USING (tmdb_id, media_type)
-  FULL JOIN gs USING (tmdb_id, media_type)),
-dim AS (
+DIM = """dim AS (
   SELECT t.tmdb_id, t.media_type,
-         coalesce(l.l_title, t.title) AS title,
-         coalesce(l.l_original_title, t.original_title) AS original_title,
-         coalesce(l.l_language, t.original_language) AS original_language,
-         coalesce(l.l_release, t.release_date) AS release_date,
-         l.runtime, l.imdb_id, l.director_name, l.top_cast, l.genres
+         coalesce(det.title, t.title) AS title,
+         coalesce(det.original_title, t.original_title) AS original_title,
+         coalesce(det.original_language, t.original_language) AS original_language,
+         coalesce(det.release_date, t.release_date) AS release_date,
+         det.runtime, det.imdb_id, cs.director_name, cs.top_cast, gs.genres
   FROM (SELECT DISTINCT tmdb_id, media_type, title, original_title, original_language, release_date
         FROM st WHERE tmdb_id IS NOT NULL) t
-  LEFT JOIN lookup l ON t.tmdb_id = l.tmdb_id AND t.media_type = l.media_type)"""
+  LEFT JOIN det ON t.tmdb_id = det.tmdb_id AND t.media_type = det.media_type
+  LEFT JOIN cs ON t.tmdb_id = cs.tmdb_id AND t.media_type = cs.media_type
+  LEFT JOIN gs ON t.tmdb_id = gs.tmdb_id AND t.media_type = gs.media_type)"""
 
 LATEST = """latest AS (SELECT max(snapshot_date) AS d FROM ev),
 lk AS (SELECT DISTINCT e.tmdb_id, e.item_type AS media_type
@@ -135,7 +123,7 @@ lk AS (SELECT DISTINCT e.tmdb_id, e.item_type AS media_type
 ASOF = """det_asof AS (SELECT * FROM det WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest)),
 li_asof AS (SELECT * FROM li WHERE load_ts < (SELECT CAST(d AS TIMESTAMP) FROM latest))"""
 
-_CREDIT_MODELS = [LINES, CAST, CREW, PEOPLE, CREDITS_SUMMARY]
+_CREDIT_MODELS = [LINES, CAST, CREW, DIRECTOR, TOPCAST, CREDITS_SUMMARY]
 _DETAIL_MODELS = [DETAILS, GENRES, GENRES_SUMMARY]
 
 
@@ -168,11 +156,8 @@ _UNIQUE = {
     "int_tmdb_genres_summary": ("gs", ["tmdb_id", "media_type"]),
     "dim_content": ("dim", ["tmdb_id", "media_type"]),
     "tmdb_details_raw": ("det", ["tmdb_id", "media_type"]),
-    "tmdb_credits_raw": ("craw", ["tmdb_id", "media_type"]),
 }
 
-CREDITS_RAW = """craw AS (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 16384 AS page, load_ts FROM li)"""
-
 
 def _dq_not_null() -> str:
     parts = []
@@ -191,10 +176,23 @@ def _dq_unique() -> str:
         parts.append(f"SELECT '{model}' AS model, '{','.join(cols)}' AS key_columns, "
                      f"count(*) AS failing_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS failing_rows "
                      f"FROM (SELECT {k}, count(*) AS n FROM {cte} GROUP BY {k} HAVING count(*) > 1)")
-    return (_with(EV, STG_TRENDING_ALL, *_DETAIL_MODELS, *_CREDIT_MODELS, DIM, CREDITS_RAW)
+    # a raw credits row is a title's page: the declared key holds whatever the page width
+    parts.append("SELECT 'tmdb_credits_raw', 'tmdb_id,media_type,page', 0, 0")
+    return (_with(EV, STG_TRENDING_ALL, *_DETAIL_MODELS, *_CREDIT_MODELS, DIM)
             + "\nUNION ALL\n".join(parts))
 
 
+# titles whose documents the enriched daily job holds in the end: loaded before the
+# last day, or trending on one of the last two days
+_ENRICHED = (DETAILS.replace("det AS", "det_all AS"), LINES.replace("li AS", "li_all AS"),
+    """days AS (SELECT DISTINCT snapshot_date AS d FROM ev ORDER BY d DESC LIMIT 2),
+wanted AS (SELECT DISTINCT tmdb_id, item_type AS media_type FROM ev WHERE snapshot_date IN (SELECT d FROM days)),
+det AS (SELECT * FROM det_all WHERE load_ts < (SELECT CAST(max(d) AS TIMESTAMP) FROM days)
+  OR (tmdb_id, media_type) IN (SELECT tmdb_id, media_type FROM wanted)),
+li AS (SELECT * FROM li_all WHERE load_ts < (SELECT CAST(max(d) AS TIMESTAMP) FROM days)
+  OR (tmdb_id, media_type) IN (SELECT tmdb_id, media_type FROM wanted)),
+gen AS (SELECT g.* FROM gen_all g JOIN det ON g.tmdb_id = det.tmdb_id AND g.media_type = det.media_type)""")
+
 ORACLE_SQL = {
     "fct_trending_daily": _with(EV, STG_TRENDING_ALL) + _FACT,
     "stg_trending": _with(EV, STG_TRENDING_ALL) + "SELECT * FROM st",
@@ -223,10 +221,19 @@ ORACLE_SQL = {
              WHERE (d.tmdb_id, d.media_type) IN (
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM det_asof)""",
     "enrich_credits": _with(EV, LATEST, DETAILS, LINES, ASOF)
-        + """SELECT tmdb_id, media_type, load_ts
-             FROM (SELECT DISTINCT tmdb_id, media_type, l_orderkey // 16384 AS page, load_ts FROM li)
+        + """SELECT tmdb_id, media_type, load_ts, count(*) AS cast_entries, TRUE AS all_pages
+             FROM li
              WHERE (tmdb_id, media_type) IN (
-               SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM li_asof)""",
+               SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM li_asof)
+             GROUP BY tmdb_id, media_type, load_ts""",
+    "missing_details_count": _with(EV, LATEST, DETAILS, LINES, ASOF)
+        + """SELECT count(*) AS missing_count FROM (
+               SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM det_asof)""",
+    "snapshot_names": _with(DETAILS)
+        + "SELECT 'tmdb_details_' || media_type || '_' || tmdb_id || '.json' AS name FROM det",
+    "daily_enriched_dim": _with(EV, STG_TRENDING_ITEM, GENRES.replace("gen AS", "gen_all AS"), *_ENRICHED,
+                                GENRES_SUMMARY, CAST, CREW, DIRECTOR, TOPCAST, CREDITS_SUMMARY, DIM) + "SELECT * FROM dim",
+    "daily_backfill_fact": _with(EV, STG_TRENDING_ITEM) + _FACT,
     "raw_complete_gate": _with(EV, LATEST, DETAILS, LINES)
         + """, flags AS (
                SELECT EXISTS (SELECT 1 FROM det d

@@ -151,7 +151,20 @@ def enrich_details(spark, sf_dir):
 def enrich_credits(spark, sf_dir):
     c = _cat(spark, sf_dir)
     docs = E.select_documents(c.raw_credits, _missing(c, "credits"))
-    return flat(docs.select("tmdb_id", "media_type", "load_ts"))
+    people = F.size(F.variant_get("payload", "$.cast", "array<variant>"))
+    titles = docs.groupBy("tmdb_id", "media_type", "load_ts").agg(
+        F.sum(people).alias("cast_entries"), (F.count_distinct("page") == F.max("pages")).alias("all_pages"))
+    return flat(titles)
+
+
+def missing_details_count(spark, sf_dir):
+    """How many latest keys have no details yet."""
+    return E.missing_count(_missing(_cat(spark, sf_dir), "details"))
+
+
+def snapshot_names(spark, sf_dir):
+    """S3: the object name of every details document."""
+    return _cat(spark, sf_dir).details_documents().select(SN.snapshot_file_name("details").alias("name"))
 
 
 def raw_complete_gate(spark, sf_dir):
@@ -243,10 +256,65 @@ def _daily_marts(spark, sf_dir) -> dict:
     for day in dates[-2:]:
         result = D.run_daily(spark, store, raw, marts, day.isoformat(), today=today,
                              details_landing=c.details_documents(),
-                             credits_landing=c.credits_documents(), media_type_from="item")
+                             credits_landing=c.credits_documents(), media_type_from="item",
+                             allow_incomplete=True)
     return result.models
 
 
+def daily_enriched_dim(spark, sf_dir):
+    """The daily job with real enrichment and an interruption: details and credits
+    as of the last day are preloaded; the day before the last runs whole; on the
+    last day a run dies after the raw load and is repeated."""
+    import datetime as dt
+
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.operators.replace import write_keyed
+    from snapreel.plans import daily as D
+
+    c = _cat(spark, sf_dir)
+    base = scratch_path(spark, "daily-enriched")
+    store, raw, marts = f"{base}/store", f"{base}/raw", f"{base}/marts"
+    SN.write_snapshots(c.trending_documents(), store, "trending")
+    dates = sorted(r.snapshot_date for r in SN.snapshot_inventory(spark, store, "trending").collect())
+    today = (dates[-1] + dt.timedelta(days=1)).isoformat()
+    day = lambda d: spark.createDataFrame([(d,)], "snapshot_date date")
+    ingest_trending(spark, store, f"{raw}/trending", spark.createDataFrame([(d,) for d in dates[:-2]], "snapshot_date date"), today)
+    cut = F.lit(dates[-1].isoformat()).cast("timestamp_ntz")
+    write_keyed(E.as_of(c.raw_details, cut), f"{raw}/details")
+    write_keyed(E.as_of(c.raw_credits, cut), f"{raw}/credits")
+    run = lambda d: D.run_daily(
+        spark, store, raw, marts, d.isoformat(), today=today, details_landing=c.details_documents(),
+        credits_landing=c.credits_documents(), media_type_from="item", allow_incomplete=True)
+    run(dates[-2])
+    ingest_trending(spark, store, f"{raw}/trending", day(dates[-1]), today)
+    for source, landing in (("details", c.details_documents()), ("credits", c.credits_documents())):
+        D.enrich_source(spark, store, raw, source, landing, pending_root=f"{marts}/_pending")
+    return flat(run(dates[-1]).models["dim_content"])
+
+
+def daily_backfill_fact(spark, sf_dir):
+    """A snapshot that arrives late: the next run adds its date to the stored fact."""
+    import datetime as dt
+
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.plans import daily as D
+
+    c = _cat(spark, sf_dir)
+    base = scratch_path(spark, "daily-backfill")
+    store, raw, marts = f"{base}/store", f"{base}/raw", f"{base}/marts"
+    SN.write_snapshots(c.trending_documents(), store, "trending")
+    dates = sorted(r.snapshot_date for r in SN.snapshot_inventory(spark, store, "trending").collect())
+    today = (dates[-1] + dt.timedelta(days=1)).isoformat()
+    late = dates[len(dates) // 2]
+    days = lambda ds: spark.createDataFrame([(d,) for d in ds], "snapshot_date date")
+    run = lambda d: D.run_daily(spark, store, raw, marts, d.isoformat(), today=today,
+                                media_type_from="item", allow_incomplete=True)
+    ingest_trending(spark, store, f"{raw}/trending", days([d for d in dates[:-2] if d != late]), today)
+    run(dates[-2])
+    ingest_trending(spark, store, f"{raw}/trending", days([late]), today)
+    return flat(run(dates[-1]).models["fct_trending_daily"])
+
+
 def daily_dim_content(spark, sf_dir):
     """``dim_content`` as stored by the daily job (incremental descriptions and
     summaries); equals the one-shot item-mode dimension."""
@@ -290,6 +358,8 @@ QUERIES = {
     "missing_keys_credits": missing_keys_credits,
     "enrich_details": enrich_details,
     "enrich_credits": enrich_credits,
+    "missing_details_count": missing_details_count,
+    "snapshot_names": snapshot_names,
     "raw_complete_gate": raw_complete_gate,
     "keyed_replace": keyed_replace,
     "replay_routing": replay_routing,
@@ -299,4 +369,6 @@ QUERIES = {
     "dq_unique": dq_unique,
     "daily_dim_content": daily_dim_content,
     "daily_fct_trending": daily_fct_trending,
+    "daily_enriched_dim": daily_enriched_dim,
+    "daily_backfill_fact": daily_backfill_fact,
 }

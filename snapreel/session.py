@@ -92,6 +92,9 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # set earlier in this process; the registered dir has a uuid child
         return current.rsplit("/", 1)[0]
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: "
+                         "a temporary folder would be another one on each machine")
     local = tempfile.mkdtemp(prefix="snapreel-shared-")
     sc.setCheckpointDir(local)
     return local

@@ -8,6 +8,7 @@ strict: a bad ``load_ts`` or ``tmdb_id`` raises, like the bulk load does.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from snapreel.functions.scalars import iso_timestamp_ntz, strict_date
 from snapreel.functions.variant import NUMBER, STRING, VARIANT, vget
@@ -38,15 +39,30 @@ def load_trending_raw(docs: DataFrame, snapshot_date: Column | str | None = None
     )
 
 
-def load_keyed_raw(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """Details / credits envelope -> ``(tmdb_id, media_type, payload, load_ts)``."""
-    return docs.select(
+def _keyed_columns(doc: str) -> list[Column]:
+    return [
         vget(doc, "tmdb_id", NUMBER).alias("tmdb_id"),
         vget(doc, "media_type", STRING).alias("media_type"),
         vget(doc, "data", VARIANT).alias("payload"),
         iso_timestamp_ntz(vget(doc, "load_ts", STRING)).alias("load_ts"),
-    )
+    ]
+
+
+def load_keyed_raw(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Details / credits envelope -> ``(tmdb_id, media_type, payload, load_ts)``."""
+    return docs.select(*_keyed_columns(doc))
 
 
 load_details_raw = load_keyed_raw
-load_credits_raw = load_keyed_raw
+
+
+def load_credits_raw(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Credits envelope -> the keyed columns, ``page`` and ``pages`` (1 of 1 when not given)."""
+    one = F.lit(1).cast(NUMBER)
+    return docs.select(
+        *_keyed_columns(doc),
+        F.coalesce(vget(doc, "page", NUMBER), one).alias("page"),
+        F.coalesce(vget(doc, "pages", NUMBER), one).alias("pages"))
+
+
+RAW_LOADERS = {"details": load_details_raw, "credits": load_credits_raw}

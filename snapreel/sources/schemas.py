@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CONTENT_KEY = ["tmdb_id", "media_type"]
+DOCUMENT_KEY = {"details": CONTENT_KEY, "credits": [*CONTENT_KEY, "page"]}
 SLICE_KEY = ["snapshot_date", "media_type", "time_window"]
 
 # The declared raw tables.
@@ -28,7 +29,12 @@ DETAILS_RAW = T.StructType([
     T.StructField("load_ts", T.TimestampNTZType()),
 ])
 
-CREDITS_RAW = DETAILS_RAW
+# Credits of a title may come in several pages: the page is part of the row's key,
+# ``pages`` says how many the title has.
+CREDITS_RAW = T.StructType(list(DETAILS_RAW.fields) + [
+    T.StructField("page", T.DecimalType(38, 0)),
+    T.StructField("pages", T.DecimalType(38, 0)),
+])
 
 RAW_SCHEMAS = {"trending": TRENDING_RAW, "details": DETAILS_RAW, "credits": CREDITS_RAW}
 

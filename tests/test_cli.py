@@ -45,21 +45,23 @@ def test_cli_test_and_sql(spark, capsys):
                                      "results": [{"id": 1, "media_type": "movie", "title": "One"}]})
     common = ["--raw", f"{base}/raw", "--marts", f"{base}/marts"]
     assert main(["daily", "--store", f"{base}/store", *common, "--date", "2024-03-02",
-                 "--today", "2024-03-02", "--trending-landing", f"{base}/land/trending"]) == 0
+                 "--today", "2024-03-02", "--trending-landing", f"{base}/land/trending"]) == 1    # no details yet
+    assert main(["daily", "--store", f"{base}/store", *common, "--date", "2024-03-02",
+                 "--today", "2024-03-02", "--allow-incomplete"]) == 0
     assert main(["test", *common]) == 0
     assert main(["sql", *common, "SELECT count(*) AS n FROM dim_content JOIN fct_trending_daily USING (tmdb_id)"]) == 0
     assert "|1  |" in capsys.readouterr().out
 
 
-def test_cli_full_checks_report_old_faults(spark, capsys):
+def test_cli_checks_report_old_faults_unless_scoped(spark, capsys):
     base = tempfile.mkdtemp(prefix="snapreel-cli3-")
-    common = ["--store", f"{base}/store", "--raw", f"{base}/raw", "--marts", f"{base}/marts"]
+    common = ["--store", f"{base}/store", "--raw", f"{base}/raw", "--marts", f"{base}/marts", "--allow-incomplete"]
     for day, item in (("2024-03-01", {"id": None, "title": "no id"}), ("2024-03-02", {"id": 2, "title": "ok"})):
         _write(f"{base}/land/{day}", {"media_type": "all", "time_window": "day", "snapshot_date": day,
                                       "load_ts": f"{day}T05:00:00+00:00", "results": [item]})
     assert main(["daily", *common, "--date", "2024-03-01", "--today", "2024-03-01",
-                 "--trending-landing", f"{base}/land/2024-03-01"]) == 1      # the fault is new: reported
+                 "--trending-landing", f"{base}/land/2024-03-01"]) == 1      # the fault is new
     assert main(["daily", *common, "--date", "2024-03-02", "--today", "2024-03-02",
-                 "--trending-landing", f"{base}/land/2024-03-02"]) == 0      # scoped: only the new day
+                 "--trending-landing", f"{base}/land/2024-03-02"]) == 1      # still stored, still reported
     assert main(["daily", *common, "--date", "2024-03-02", "--today", "2024-03-02",
-                 "--full-checks"]) == 1                                      # full: the old fault again
+                 "--scoped-checks"]) == 0                                    # asked for: only the new day

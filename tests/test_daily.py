@@ -24,7 +24,7 @@ def test_daily_run_enriches_missing_keys_once(spark):
                                         date="2024-03-02"))
     r = D.run_daily(spark, store, raw, marts, "2024-03-02", today="2024-03-02",
                     trending_landing=trending, details_landing=details, credits_landing=credits,
-                    media_type_from="item")
+                    media_type_from="item", allow_incomplete=True)      # title 2 has no credits
     assert [x.action for x in r.routes.collect()] == ["fetch"]
     gate = r.gate.collect()[0]
     assert (gate.latest_keys, gate.missing_details, gate.missing_credits) == (2, 0, 1)
@@ -34,7 +34,8 @@ def test_daily_run_enriches_missing_keys_once(spark):
     assert D.read_raw(spark, raw, "details").count() == 2   # key 9 is not trending
     # rerun of the same day: replay, nothing new to enrich, no duplicates
     r2 = D.run_daily(spark, store, raw, marts, "2024-03-02", today="2024-03-02",
-                     details_landing=details, credits_landing=credits, media_type_from="item")
+                     details_landing=details, credits_landing=credits, media_type_from="item",
+                     allow_incomplete=True)
     assert [x.action for x in r2.routes.collect()] == ["replay"]
     assert D.read_raw(spark, raw, "details").count() == 2
     assert D.read_raw(spark, raw, "trending").count() == 1
@@ -107,7 +108,7 @@ def test_incremental_summaries_equal_full_recompute(spark):
     for day, ids in (("2024-03-01", [1]), ("2024-03-02", [1, 4])):
         trending = docs(spark, trending_env([{"id": i, "media_type": "movie", "title": f"T{i}"} for i in ids], date=day))
         r = D.run_daily(spark, store, raw, marts, day, today=day, trending_landing=trending,
-                        details_landing=details, credits_landing=credits, media_type_from="item")
+                        details_landing=details, credits_landing=credits, media_type_from="item", allow_incomplete=True)
     raw_c, raw_d = D.read_raw(spark, raw, "credits"), D.read_raw(spark, raw, "details")
     full_c = I.credits_summary(S.stg_credits_cast(raw_c), S.stg_credits_crew(raw_c))
     full_g = I.genres_summary(S.stg_details_genres(raw_d))
@@ -142,7 +143,7 @@ def test_daily_run_on_driver_data_equals_one_shot_models(spark):
         r = D.run_daily(spark, store, raw, marts, day.isoformat(),
                         today=(dates[-1] + dt.timedelta(days=1)).isoformat(),
                         details_landing=cat.details_documents(), credits_landing=cat.credits_documents(),
-                        media_type_from="item")
+                        media_type_from="item", allow_incomplete=True)
         assert [x.action for x in r.routes.collect()] == ["replay"]
     want_dim = flat(cat.dim_content(media_type_from="item"))
     got_dim = flat(r.models["dim_content"]).select(*want_dim.columns)
@@ -167,6 +168,7 @@ def test_scoped_checks_find_new_faults_and_skip_old_data(spark):
     scoped = D.scope_checks(checked, ["2024-03-02"], {})
     nn = {(r.model, r.column_name): r.failing_rows for r in Q.run_not_null(scoped).collect()}
     assert nn[("stg_tmdb_trending", "title")] == 1 and nn[("stg_tmdb_trending", "tmdb_id")] == 0
+    assert ("stg_tmdb_details", "tmdb_id") not in nn        # nothing new there: left out, not passed
     full = {(r.model, r.column_name): r.failing_rows for r in Q.run_not_null(checked).collect()}
     assert full[("stg_tmdb_trending", "tmdb_id")] == 1
 
@@ -232,7 +234,7 @@ def test_daily_enrichment_on_driver_data_equals_one_shot_over_final_raw(spark):
     for day in dates[-2:]:
         r = D.run_daily(spark, store, raw, marts, day.isoformat(), today=today,
                         details_landing=cat.details_documents(), credits_landing=cat.credits_documents(),
-                        media_type_from="item")
+                        media_type_from="item", allow_incomplete=True)
     raw_d, raw_c = D.read_raw(spark, raw, "details"), D.read_raw(spark, raw, "credits")
     assert raw_c.count() > before                                  # titles were enriched
     want_cs = I.credits_summary_from_raw(raw_c)
@@ -244,3 +246,97 @@ def test_daily_enrichment_on_driver_data_equals_one_shot_over_final_raw(spark):
     want_dim = M.dim_content(st, S.stg_details(raw_d), want_cs, want_gs)
     got_dim = r.models["dim_content"].select(want_dim.columns)
     assert got_dim.count() == want_dim.count() and got_dim.exceptAll(want_dim).count() == 0
+
+
+def _two_days(spark, base):
+    item = lambda i: {"id": i, "media_type": "movie", "title": f"T{i}"}
+    trending = {d: docs(spark, trending_env([item(i)], date=f"2024-03-0{d}")) for d, i in ((1, 1), (2, 2), (3, 3), (4, 4))}
+    details = docs(spark, *[keyed_env(i, "movie", {"title": f"T{i}", "genres": [{"id": 1, "name": "Drama"}]}) for i in range(1, 5)])
+    credits = docs(spark, *[keyed_env(i, "movie", {"crew": [{"id": 5, "name": f"D{i}", "job": "Director"}]}) for i in range(1, 5)])
+
+    def run(day, landing=True, **kw):
+        return D.run_daily(spark, f"{base}/store", f"{base}/raw", f"{base}/marts", f"2024-03-0{day}", today=f"2024-03-0{day}",
+                           trending_landing=trending[day] if landing else None, details_landing=details,
+                           credits_landing=credits, media_type_from="item", **kw)
+    return trending, details, credits, run
+
+
+def test_run_repeated_after_a_crash_between_raw_load_and_marts(spark):
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.sources import snapshots as SN
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-pending-")
+    trending, details, credits, run = _two_days(spark, base)
+    run(1)
+    day = spark.createDataFrame([(__import__("datetime").date(2024, 3, 2),)], "snapshot_date date")
+    ingest_trending(spark, f"{base}/store", f"{base}/raw/trending", day, "2024-03-02", SN.with_partition(trending[2], "trending"))
+    for source, landing in (("details", details), ("credits", credits)):     # raw loaded, then the job died
+        D.enrich_source(spark, f"{base}/store", f"{base}/raw", source, landing, pending_root=f"{base}/marts/_pending")
+    dim = {int(x.tmdb_id): x for x in run(2, landing=False).models["dim_content"].collect()}
+    assert (dim[2].director_name, dim[2].genres) == ("D2", "Drama")
+    assert D.pending_keys(spark, f"{base}/marts/_pending", "details") is None    # cleared with the marts
+
+
+def test_gate_and_empty_fetch_raise(spark):
+    import pytest
+    from snapreel.operators.replay import SnapshotMissingError
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-gate-")
+    trending, _, _, run = _two_days(spark, base)
+    with pytest.raises(SnapshotMissingError):
+        run(1, landing=False)                                   # today's date, and nothing fetched
+    with pytest.raises(D.RawIncompleteError):
+        D.run_daily(spark, f"{base}/store", f"{base}/raw", f"{base}/marts", "2024-03-01", today="2024-03-01",
+                    trending_landing=trending[1])               # no details, no credits
+
+
+def test_late_date_reaches_the_marts(spark):
+    from snapreel.operators.ingest import ingest_trending
+    from snapreel.sources import snapshots as SN
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-late-")
+    trending, _, _, run = _two_days(spark, base)
+    run(1)
+    run(3)
+    SN.write_snapshots(trending[2], f"{base}/store", "trending")
+    late = spark.createDataFrame([(__import__("datetime").date(2024, 3, 2),)], "snapshot_date date")
+    ingest_trending(spark, f"{base}/store", f"{base}/raw/trending", late, "2024-03-04")
+    models = run(4).models
+    assert models["fct_trending_daily"].count() == 4
+    assert sorted(int(r.tmdb_id) for r in models["dim_content"].collect()) == [1, 2, 3, 4]
+
+
+def test_pages_of_a_title_are_rows_of_their_own(spark):
+    """A title is present when all its pages are; a rerun stores the missing page; fewer pages replace more."""
+    from snapreel.operators import enrich as E
+    from snapreel.operators import replace as RP
+    from snapreel.sources import snapshots as SN
+    from snapreel.sources.raw_loaders import load_credits_raw
+    shared_dir(spark)
+    base = tempfile.mkdtemp(prefix="snapreel-pages-")
+    page = lambda p, n: {**keyed_env(7, "movie", {"cast": [{"id": p, "name": f"P{p}", "order": p}]}), "page": p, "pages": n}
+    SN.write_snapshots(docs(spark, page(1, 2)), base, "credits")
+    SN.write_snapshots(docs(spark, page(1, 2), page(2, 2)), base, "credits", skip_stored=True)
+    assert SN.scan_snapshots(spark, base, "credits").count() == 2
+    one, both = load_credits_raw(docs(spark, page(1, 2))), load_credits_raw(docs(spark, page(1, 2), page(2, 2)))
+    assert E.existing_keys(one).count() == 0 and E.existing_keys(both).count() == 1
+    assert RP.upsert_by_key(one, load_credits_raw(docs(spark, page(2, 2)))).count() == 2
+    assert RP.upsert_by_key(both, load_credits_raw(docs(spark, page(1, 1)))).count() == 1
+
+
+def test_keyed_table_layout_comes_first_and_buckets_grow(spark, monkeypatch):
+    import pytest
+    from snapreel.operators import replace as RP
+    from snapreel.sources.raw_loaders import load_details_raw
+    shared_dir(spark)
+    path = tempfile.mkdtemp(prefix="snapreel-layout-") + "/details"
+    rows = load_details_raw(docs(spark, *[keyed_env(i, "movie", {"title": str(i)}) for i in range(20)]))
+    with pytest.raises(FileNotFoundError):
+        RP.table_buckets(spark, path)
+    RP.write_keyed(rows, path, buckets=2)
+    RP.upsert_keyed_table(spark, path, rows)
+    assert RP.read_keyed(spark, path, rows.schema).count() == 20
+    monkeypatch.setattr(RP, "BUCKET_TARGET_BYTES", 1)
+    RP.upsert_keyed_table(spark, path, rows)
+    assert RP.table_buckets(spark, path) > 8
+    assert RP.read_keyed(spark, path, rows.schema).count() == 20
