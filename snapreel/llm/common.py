@@ -26,6 +26,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, f"llm-{name}")
 
 
+BROADCAST_ROWS = 500_000      # rows of a few numbers each that go to every task at most
+
+
+def counted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it is counted to have ``rows`` rows or fewer of
+    bounded width (a stored table: the count reads little); else as it is, to be shuffled."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, every other character as it is."""
     plain = F.octet_length(text) == F.char_length(text)

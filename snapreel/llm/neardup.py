@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import staged
+from snapreel.llm.common import counted, staged
 from snapreel.llm.components import components
 
 COORDINATES, MATCHES = 48, 24
-CHUNK_ROWS, CHUNK_SHINGLES = 256, 400_000     # aimed-at size of half a piece of work
+CHUNK_ROWS, CHUNK_SHINGLES = 384, 400_000     # aimed-at size of half a piece of work
 ODD = 0x9E3779B97F4A7C15
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -160,9 +160,20 @@ def _forest(keys, groups, sets, signs, similarity: int, matches: int) -> list[tu
 
 def _links(members: DataFrame, sets: DataFrame, similarity: int, matches: int) -> DataFrame:
     """Edges ``a, b`` between groups; ``members``: ``posting, n, weight, key, grp``."""
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK_ROWS), F.ceil(F.col("weight") / CHUNK_SHINGLES)).cast("int")
-    own = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
-    spread = own.select("posting", "key", "grp", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    sizes = members.groupBy("posting", "grp").agg(F.count(F.lit(1)).alias("m"))
+    # pairs inside one group need no work: the largest group of a list is cut apart from
+    # the rest, and its chunks meet the chunks of the rest but not each other
+    tops = sizes.groupBy("posting").agg(F.max(F.struct("m", "grp")).alias("top"))
+    own = members.join(tops, "posting").withColumn("big", F.when(F.col("top.m") > 1, F.col("top.m")).otherwise(0))
+    chunks = lambda rows: F.ceil(rows * F.greatest(F.lit(1 / CHUNK_ROWS), F.col("weight") / F.col("n") / CHUNK_SHINGLES)).cast("int")
+    own = own.withColumn("rest", chunks(F.col("n") - F.col("big"))).withColumn("most", chunks(F.col("big")))
+    inside = (F.col("big") > 0) & (F.col("grp") == F.col("top.grp"))
+    mix = F.xxhash64("key")
+    own = own.withColumn("chunk", F.when(inside, F.col("rest") + F.pmod(mix, F.greatest("most", F.lit(1))))
+                         .otherwise(F.pmod(mix, F.greatest("rest", F.lit(1)))).cast("int"))
+    last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("most")) - 1
+    own = own.where(last >= 0)                # a list of one group has no rest to meet
+    spread = own.select("posting", "key", "grp", "chunk", F.explode(F.sequence(F.lit(0), last)).alias("other"))
     pieces = spread.select("posting", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "key", "grp")
     full = pieces.join(sets, "key").select("posting", "i", "j", "grp", "key", "signature", "shingles")
 
@@ -225,7 +236,8 @@ def _components(docs, classes, words, similarity, coordinates, matches) -> DataF
     shared = staged(shared.select("key", prefix.alias("lists")), "dedup-prefixes")
     # full sets of the classes that are left, from one row of each
     wanted = classes.join(shared.select("key"), "key").select("key", "doc_id", "mark", "signature")
-    rows = docs.join(wanted.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct(),
+    first_rows = staged(wanted.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct(), "dedup-wanted")
+    rows = docs.join(counted(first_rows),
                      F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
     sets = shingle_sets(rows.select("doc_id", "mark", "text"), words).dropDuplicates(["key"])
     sets = staged(sets.join(wanted.select("key", "signature"), "key"), "dedup-sets")
