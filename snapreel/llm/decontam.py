@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import ascii_lower, staged
+from snapreel.llm.common import ascii_lower, counted, staged
 
 K = 5                    # words in a k-gram
 WINDOW = 6               # k-grams in a winnowing window
@@ -140,7 +140,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     found = hits(_keyed(docs, id_col, text_col), items, ["doc_id", "text_key"], item_id, item_text)
     found = staged(found.select(F.col("doc_id").alias("_k_id"), F.col("text_key").alias("_k_text")).distinct(), "decontam-found")
     on = F.col(id_col).eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_k_text"))
-    return docs.join(found, on, "left_anti")
+    return docs.join(counted(found), on, "left_anti")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

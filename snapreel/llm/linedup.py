@@ -18,7 +18,8 @@ fewer than ``min_tokens`` tokens are left alone.
    The meeting is a semi join: it tells which classes have a candidate and
    makes no pairs, however many classes share a token.
 4. Only those classes fetch their lines' full tokens and meet again, now with
-   the exact similarity and the order in the semi join's condition.
+   the exact similarity and the order in the semi join's condition. Tokens on
+   which the same classes met are one meeting.
 
 Defined cases: a null text stays null and has no lines to remove; an empty text
 or line stays; lines of one document count against each other; rows equal in
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import ascii_lower, staged
+from snapreel.llm.common import BROADCAST_ROWS, ascii_lower, counted, staged
 
 RANK_BITS = 14
 HASH_BITS = 63 - RANK_BITS
@@ -43,7 +44,10 @@ ORDER = ["none", "doc_id", "mark", "line"]
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(line), SPACES), "")
+    plain = ~(F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+              | F.contains(line, F.lit("\n")))
+    # a split at one character needs no pattern
+    return F.array_remove(F.when(plain, F.split(ascii_lower(line), " ")).otherwise(F.split(ascii_lower(line), SPACES)), "")
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -84,20 +88,31 @@ def _prefix(n: Column, similarity: int) -> Column:
     return n - F.expr(f"({similarity} * n + 99) div 100") + 1
 
 
-def _parity(tokens: Column) -> Column:
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda bits, t: bits.bitwiseXOR(
-        F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))))
+def _parity(tokens: Column, half: int) -> Column:
+    """One half of a map of 128 bits in which every token flips one."""
+    def flip(bits, t):
+        mine = F.shiftright(t, 6).bitwiseAND(1)
+        return bits.bitwiseXOR(F.call_function("shiftleft", mine if half else 1 - mine, t.bitwiseAND(63).cast("int")))
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
 
 
 def _meet(similarity: int) -> Column:
-    """The filters on two postings ``x`` and ``y`` of one token."""
+    """The filters on two postings ``x`` and ``y`` of one token (``pos`` 0 tests no position)."""
     need = _need(similarity)
     length = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * similarity)
     after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
-    return (F.col("x.token") == F.col("y.token")) & length & (after >= need) & (
-        differ <= F.col("x.n") + F.col("y.n") - 2 * need)
+    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
+    return length & (after >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
+
+
+def _meet_packed(similarity: int) -> Column:
+    """:func:`_meet` on postings whose size and place are one number."""
+    n = {s: f"shiftright({s}.np, 32)" for s in "xy"}
+    need = f"(({similarity} * ({n['x']} + {n['y']}) + {99 + similarity}) div {100 + similarity})"
+    after = {s: f"{n[s]} - ({s}.np & 4294967295L)" for s in "xy"}
+    return F.expr(
+        f"least({n['x']}, {n['y']}) * 100 >= greatest({n['x']}, {n['y']}) * {similarity} AND least({after['x']}, {after['y']}) >= {need}"
+        f" AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {n['x']} + {n['y']} - 2 * {need}")
 
 
 def _need(similarity: int) -> Column:
@@ -112,30 +127,46 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     ranks = token_ranks(documents)
     lines = _lines(documents).select("doc_id", "mark", "line", _tokens(F.col("words"), ranks).alias("tokens"))
     lines = lines.select("doc_id", "mark", "line", F.size("tokens").alias("n"), "tokens",
-                         F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"), _parity(F.col("tokens")).alias("bits"))
-    lines = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "bits",
+                         F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"),
+                         _parity(F.col("tokens"), 0).alias("low"), _parity(F.col("tokens"), 1).alias("high"))
+    lines = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "low", "high",
                                 F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity)).alias("prefix")), "lines")
     lines = lines.where(F.col("n") >= min_tokens).withColumn("none", F.col("doc_id").isNull())
-    first = F.min(F.struct(*ORDER, "n", "bits", "prefix")).alias("first")
+    first = F.min(F.struct(*ORDER, "n", "low", "high", "prefix")).alias("first")
     classes = staged(lines.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), "line-classes")
-    postings = classes.select("k1", "k2", "n", "bits", F.posexplode_outer("prefix").alias("pos", "token"))
-    postings = postings.select("k1", "k2", "n", "bits", "pos", "token")
+    postings = classes.select("k1", "low", "high", "n", F.posexplode_outer("prefix").alias("pos", "token"))
+    # size and place in one number: the postings are the widest thing this operator shuffles
+    postings = postings.select("token", "k1", "low", "high", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("np"))
     x, y = postings.alias("x"), postings.alias("y")
-    other = (F.col("x.k1") != F.col("y.k1")) | (F.col("x.k2") != F.col("y.k2"))
-    meeting = x.join(y, _meet(similarity) & other, "left_semi").select("k1", "k2").distinct()
-    chosen = staged(classes.drop("prefix").join(meeting, ["k1", "k2"]), "line-candidates")
+    meet = _meet_packed(similarity)
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k1") != F.col("y.k1")) & meet, "left_semi").select("token", "k1")
+    met = staged(met, "line-meetings")
+    # tokens on which the same classes meet are one meeting: it is named by its members
+    names = met.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.expr("bit_xor(xxhash64(k1))").alias("n1"),
+                                     F.expr("bit_xor(xxhash64(k1, 1))").alias("n2"))
+    meetings = staged(met.join(names, "token").select("k1", "m", "n1", "n2").distinct(), "line-named-meetings")
+    chosen = staged(classes.drop("prefix").join(meetings.select("k1").distinct(), "k1"), "line-candidates")
 
     wanted = chosen.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct()
+    wanted = counted(staged(wanted, "line-wanted"))
     texts = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
-    texts = texts.dropDuplicates(["doc_id", "mark"])
-    own = chosen.select("k1", "k2", "none", "n", "bits", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
+    own = chosen.select("k1", "k2", "none", "n", "low", "high", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
+    own = counted(own)
     full = _lines(texts).join(own, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark")) & (F.col("line") == F.col("c_line")))
-    full = staged(full.select("k1", "k2", *ORDER, "n", "bits", _tokens(F.col("words"), ranks).alias("tokens")), "line-tokens")
-    slim = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "bits", "tokens",
-                       F.posexplode_outer(F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity))).alias("pos", "token"))
-    x, y = slim.alias("x"), slim.alias("y")
+    full = staged(full.select("k1", "k2", *ORDER, "n", "low", "high", _tokens(F.col("words"), ranks).alias("tokens"))
+                  .dropDuplicates(["k1", "k2"]), "line-tokens")       # repeated rows bring their line again
+    # in a meeting, the first line has no earlier one to match and the last is earlier than none
+    placed = meetings.join(full.select("k1", F.struct(*ORDER).alias("at")), "k1")
+    ends = placed.groupBy("m", "n1", "n2").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    placed = placed.join(ends, ["m", "n1", "n2"]).select("k1", "m", "n1", "n2", (F.col("at") > F.col("lo")).alias("later"),
+                                                         (F.col("at") < F.col("hi")).alias("earlier"))
+    placed = staged(placed, "line-places")
+    body = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "low", "high", "tokens", F.lit(0).alias("pos"))
+    x = body.join(placed.where("later"), "k1").alias("x")
+    y = body.join(placed.where("earlier"), "k1").alias("y")
+    one = (F.col("x.n1") == F.col("y.n1")) & (F.col("x.n2") == F.col("y.n2")) & (F.col("x.m") == F.col("y.m"))
     same = F.size(F.array_intersect("x.tokens", "y.tokens")) >= _need(similarity)
-    matched = x.join(y, _meet(similarity) & (F.col("y.at") < F.col("x.at")) & same, "left_semi").select("k1", "k2").distinct()
+    matched = x.join(y, one & _meet(similarity) & (F.col("y.at") < F.col("x.at")) & same, "left_semi").select("k1", "k2").distinct()
 
     heads = classes.select("k1", "k2", *[F.col(c).alias(f"h_{c}") for c in ORDER])
     heads = heads.join(matched.withColumn("matched", F.lit(True)), ["k1", "k2"], "left")
@@ -150,6 +181,8 @@ def deduplicate_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = M
     gone = staged(removed_lines(docs, similarity, min_tokens, id_col, text_col), "line-removals")
     gone = gone.select(F.col("doc_id").alias("_ld_id"), F.col("mark").alias("_ld_mark"), F.col("removed").alias("_ld_gone"))
     text = F.coalesce(F.col(text_col), F.lit(""))
+    if gone.agg(F.coalesce(F.sum(F.size("_ld_gone")), F.lit(0))).first()[0] <= 4 * BROADCAST_ROWS:
+        gone = counted(gone)
     on = F.col(id_col).cast("bigint").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_mark"))
     joined = docs.join(gone, on, "left")
     lines = F.split(F.col(text_col), "\n")
