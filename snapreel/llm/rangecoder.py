@@ -26,7 +26,7 @@ import numpy as np
 HEADER = "<4sBxxxIQIIII"                       # magic, version, vocabulary, n, steps, lanes, crc of ids, crc of body
 MAGIC, VERSION = b"CMRC", 1
 STEPS = 512                                   # aimed-at ids in a lane
-MAX_LANES = 4096
+MAX_LANES = 8192
 HASH_BITS = 18
 WEIGHT_BITS = 12                              # mixing weights add up to 1 << 12
 REBUILD = 8                                   # order 0 is renewed after 1, 2, 4, 8, 16, 24, ... steps

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from snapreel.llm import rangecoder
 from snapreel.llm.tokens import IdEncoder
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 22
 VOCABULARY = 50257
 BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("body", pa.binary())])

@@ -1,9 +1,11 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a bounded piece cache.
 
 A byte-level or word-level BPE first cuts a text into pieces and then encodes
-each piece on its own, so a piece's ids never depend on its neighbours. The
-encoder cuts a text with the file's own pattern, looks every piece up in a
-cache and sends only unseen pieces to the library. This is done for texts
+each piece on its own, so a piece's ids never depend on its neighbours. Pieces
+never cross white space but for the one space that a byte-level piece may
+start with, so the encoder splits a text at white space (by the pattern, where
+spaces stand together), looks every part up in a cache and sends only unseen
+parts to the library. This is done for texts
 whose characters all lie in a range where the pattern can have one reading
 only (ASCII, Latin-1 and Latin Extended letters); any other text, and any text
 that holds the opening of a special token, goes to the library whole.
@@ -20,6 +22,7 @@ import numpy as np
 # Characters on which both pattern engines agree, and their letters.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile("[\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-įı-ɏ]*")
+EXACT = "\x00"           # marks a piece that no space stands before (never in a plain text)
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 BYTE_PIECES = re.compile(rf"{CONTRACTIONS}| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_PIECES = re.compile(rf"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
@@ -28,12 +31,12 @@ WORD_PIECES = re.compile(rf"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+
 class IdEncoder:
     """``encode(text) -> bytes`` of little-endian unsigned 32-bit ids.
 
-    ``cache_size`` bounds the cached pieces; a full cache is emptied, which
-    costs time and never changes an id. ``special`` strings occurring in a
+    ``cache_size`` bounds the cached parts; a full cache becomes the older one,
+    from which parts still in use come back, and the one before it is dropped. ``special`` strings occurring in a
     text keep the library's treatment.
     """
 
-    def __init__(self, path: str, cache_size: int = 400_000):
+    def __init__(self, path: str, cache_size: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -44,6 +47,7 @@ class IdEncoder:
         self.lower = conf.get("normalizer") is not None
         self.pieces = {("ByteLevel", False): BYTE_PIECES, ("Sequence", True): WORD_PIECES}.get((kind, self.lower))
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cache_size = cache_size
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -57,14 +61,48 @@ class IdEncoder:
         if (self.pieces is None or not PLAIN.fullmatch(text)
                 or any(s in text for s in self.special)):
             return self._library([text])[0]
-        pieces = self.pieces.findall(text.lower() if self.lower else text)
+        if self.lower:
+            pieces = text.lower().split()            # no match of the pattern holds white space
+        elif "  " not in text:
+            # a single space always starts a piece: keys stand for a space and themselves
+            pieces = text.split(" ")
+            pieces[0] = EXACT + pieces[0]
+        else:
+            pieces = [EXACT + p for p in self.pieces.findall(text)]
         get = self.cache.get
-        out = [get(p) for p in pieces]
+        out = list(map(get, pieces))
         if None in out:
             unseen = list({p for p, ids in zip(pieces, out) if ids is None})
-            if len(self.cache) + len(unseen) > self.cache_size:
-                self.cache.clear()
-            self.cache.update(zip(unseen, self._library(unseen)))
-            lookup = self.cache if len(self.cache) > len(unseen) else dict(self.cache)
-            out = [ids if ids is not None else lookup[p] for p, ids in zip(pieces, out)]
+            new = {p: self.older[p] for p in unseen if p in self.older}
+            new.update(self._learn([p for p in unseen if p not in new]))
+            if len(self.cache) + len(new) > self.cache_size:
+                self.older, self.cache = self.cache, {}
+            self.cache.update(new)
+            out = [ids if ids is not None else new[p] for p, ids in zip(pieces, out)]
         return b"".join(out)
+
+    def _learn(self, unseen: list[str]) -> dict[str, bytes]:
+        """Ids of unseen parts, put together from the pattern's pieces; pieces are cached too."""
+        cut = [self.pieces.findall(self._text(p)) for p in unseen]
+        known = {}
+        for p in {p for c in cut for p in c}:
+            key = self._key(p)
+            ids = self.cache.get(key)
+            known[p] = self.older.get(key) if ids is None else ids
+        missing = [p for p, ids in known.items() if ids is None]
+        known.update(zip(missing, self._library(missing)))
+        new = {self._key(p): known[p] for p in missing}
+        new.update((p, b"".join(map(known.__getitem__, c))) for p, c in zip(unseen, cut))
+        return new
+
+    def _key(self, piece: str) -> str:
+        """The key of a piece of the pattern: the opposite of :meth:`_text`."""
+        if self.lower:
+            return piece
+        return piece[1:] if len(piece) > 1 and piece[0] == " " else EXACT + piece
+
+    def _text(self, piece: str) -> str:
+        """The text a cached piece stands for."""
+        if self.lower:
+            return piece
+        return piece[1:] if piece.startswith(EXACT) else " " + piece
