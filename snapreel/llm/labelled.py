@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PER_CLASS = 2500        # labelled documents of each class that a fit reads at most
+PER_CLASS = 1500        # labelled documents of each class that a fit reads at most
 FIT_CHARS = 60_000      # longer documents are scored like any other but not fitted on
 
 

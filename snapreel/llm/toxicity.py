@@ -43,7 +43,7 @@ EDGE = bytes([31])
 LETTER_BITS = 5
 CODES = 1 << (3 * LETTER_BITS)
 GAPS = tuple((a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN)
-LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 96, 48, 30_000
+LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 64, 48, 20_000
 SEEN, EVIDENCE = 4, 1.5  # toxic documents that hold a chunk, and
 # log ratio of a chunk's document rates from which it may be the insult
 PENALTY, ROUNDS, CLEAN_WEIGHT = 3.0, 4, 100.0
@@ -159,8 +159,8 @@ def chunks_of(text: str) -> list[bytes]:
 def _kernel(chunks: list[bytes], basis: np.ndarray) -> np.ndarray:
     """Normalised kernel of chunks with the basis' chunks (rows: unit vectors over triples)."""
     out = []
-    for at in range(0, len(chunks), 400):
-        part = chunks[at:at + 400]
+    for at in range(0, len(chunks), 100):
+        part = chunks[at:at + 100]
         row, code, weight = subsequences(part)
         dense = np.zeros((len(part), CODES), dtype=np.float32)
         dense[row, code] = weight
@@ -215,7 +215,7 @@ def fit(docs: list[list[bytes]], labels: np.ndarray, counts: dict[int, int]) ->
         return np.zeros(CODES), 0.0, np.array([0.0, np.log(rate / (1 - rate))])
     marks: list[bytes] = []
     basis = np.zeros((0, CODES), dtype=np.float32)
-    ranked = sorted(gain, key=lambda c: (-gain[c], c))[:4 * LANDMARKS]
+    ranked = sorted(gain, key=lambda c: (-gain[c], c))[:3 * LANDMARKS]
     units = _unit(ranked)
     for c, u in zip(ranked, units):
         if len(marks) < LANDMARKS and (not len(basis) or (basis @ u).max() < 0.9):
