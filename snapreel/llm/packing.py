@@ -6,7 +6,8 @@ comes from never matters to it, only how many pieces of each length there
 are, and there are at most ``max_len`` lengths. So the packing itself is done
 on that histogram (:func:`best_fit_plan`): a segment tree over the room left,
 1 to ``max_len``, finds the tightest room in logarithmic time, and a run of
-equal pieces meets a run of equally full sequences in one step. The result is
+equal pieces meets a run of equally full sequences in one step: each of these
+takes as many pieces as it has room for before the next is touched. The result is
 the packing that document-by-document best-fit decreasing gives. It comes as
 ranges -- "pieces ranked a to b of length L go to sequences s to s+b-a at
 offset o" -- whose number depends on ``max_len`` and not on the number of
@@ -89,15 +90,24 @@ def best_fit_plan(histogram: dict[int, int], max_len: int = MAX_LEN) -> list[tup
                         _put(rooms, tree, max_len - fill * length, opened, count)
                         opened += count
                 break
+            # the sequence just used has the tightest room for the next piece: each is filled before the next
             sequence, count = rooms[room].popleft()
-            take = min(count, left)
-            plan.append((length, rank, rank + take, sequence, max_len - room))
-            rank, left = rank + take, left - take
-            if take < count:
-                rooms[room].appendleft((sequence + take, count - take))
+            per = room // length
+            full = min(count, left // per)
+            rest = left - full * per if full < count else 0
+            runs = ((sequence, full, per), (sequence + full, 1 if rest else 0, rest))
+            used = full + (rest > 0)
+            if used < count:
+                rooms[room].appendleft((sequence + used, count - used))
             elif not rooms[room]:
                 tree.set(room, False)
-            _put(rooms, tree, room - length, sequence, take)
+            for at, n, fill in runs:
+                if n:
+                    for layer in range(fill):
+                        plan.append((length, rank, rank + n, at, max_len - room + layer * length))
+                        rank += n
+                    left -= n * fill
+                    _put(rooms, tree, room - fill * length, at, n)
     return plan
 
 

@@ -85,6 +85,19 @@ def test_packing_plan_is_best_fit_decreasing(lengths):
     assert len(places) == best_fit_count(lengths, 32)
 
 
+@pytest.mark.parametrize("histogram,max_len", [({11: 2, 4: 2, 3: 3}, 20), ({23: 2, 4: 2, 3: 3}, 32), ({1117: 300, 302: 289, 230: 863}, 2048)])
+def test_packing_plan_fills_a_sequence_before_the_next_of_its_run(histogram, max_len):
+    plan = packing.best_fit_plan(histogram, max_len)
+    places = {}
+    for n, first, last, sequence, offset in plan:
+        for r in range(first, last):
+            places.setdefault(sequence + r - first, []).append((offset, n))
+    assert {n: sum(m == n for s in places.values() for _, m in s) for n in histogram} == histogram
+    for spots in places.values():
+        assert [o for o, _ in sorted(spots)] == [sum(n for _, n in sorted(spots)[:k]) for k in range(len(spots))]
+    assert len(places) == best_fit_count([n for n, c in histogram.items() for _ in range(c)], max_len)
+
+
 def test_permutation_is_one_to_one():
     seen = {tuple(pii.permute([(a, 10), (b, 26), (c, 3)], b"k", "t")) for a in range(10) for b in range(26) for c in range(3)}
     assert len(seen) == 780
