@@ -43,7 +43,7 @@ EDGE = bytes([31])
 LETTER_BITS = 5
 CODES = 1 << (3 * LETTER_BITS)
 GAPS = tuple((a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN)
-LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 64, 48, 20_000
+LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 96, 48, 30_000
 SEEN, EVIDENCE = 4, 1.5  # toxic documents that hold a chunk, and
 # log ratio of a chunk's document rates from which it may be the insult
 PENALTY, ROUNDS, CLEAN_WEIGHT = 3.0, 4, 100.0
@@ -156,36 +156,42 @@ def chunks_of(text: str) -> list[bytes]:
     return sorted(found)
 
 
-def _kernel(chunks: list[bytes], basis: np.ndarray) -> np.ndarray:
-    """Normalised kernel of chunks with the basis' chunks (rows: unit vectors over triples)."""
-    out = []
-    for at in range(0, len(chunks), 100):
-        part = chunks[at:at + 100]
-        row, code, weight = subsequences(part)
-        dense = np.zeros((len(part), CODES), dtype=np.float32)
-        dense[row, code] = weight
-        norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
-        out.append((dense / np.maximum(norm, 1e-9)) @ basis.T)
-    return np.concatenate(out) if out else np.zeros((0, len(basis)), dtype=np.float32)
+def _kernel(chunks: list[bytes], basis: np.ndarray, codes: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Normalised kernel of chunks with the basis' chunks (rows: unit vectors over the triples ``codes``), in parts."""
+    for at in range(0, len(chunks), 400):
+        yield slice(at, at + 400), _unit(chunks[at:at + 400], codes) @ basis.T
 
 
-def _unit(chunks: list[bytes]) -> np.ndarray:
+def _codes(chunks: list[bytes]) -> np.ndarray:
+    return np.unique(subsequences(chunks)[1])
+
+
+def _unit(chunks: list[bytes], codes: np.ndarray | None = None) -> np.ndarray:
+    """Unit vectors over all triples, or their parts over the sorted triples ``codes``."""
     row, code, weight = subsequences(chunks)
-    dense = np.zeros((len(chunks), CODES), dtype=np.float32)
+    weight = weight / np.sqrt(np.bincount(row, weight * weight, minlength=len(chunks)))[row]
+    if codes is not None:
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        known = codes[at] == code
+        row, code, weight = row[known], at[known], weight[known]
+    dense = np.zeros((len(chunks), CODES if codes is None else len(codes)), dtype=np.float32)
     dense[row, code] = weight
-    return dense / np.maximum(np.sqrt((dense * dense).sum(axis=1, keepdims=True)), 1e-9)
+    return dense
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weights: np.ndarray, penalty: float) -> np.ndarray:
-    """Primal squared-hinge SVM by Newton steps; the last coefficient is the offset."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    """Primal squared-hinge SVM by Newton steps; the last column of ``x`` is ones, for the offset."""
     ridge = penalty * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(30):
-        active = y * (x @ w) < 1
-        xa, wa = x[active], weights[active]
-        new = np.linalg.solve((xa * wa[:, None]).T @ xa + ridge, xa.T @ (wa * y[active]))
+        left, right = ridge.copy(), np.zeros(len(w))
+        for at in range(0, len(x), 4096):                              # no copy of all rows
+            part, sign = x[at:at + 4096], y[at:at + 4096]
+            active = np.where(sign * (part @ w) < 1, weights[at:at + 4096], 0)
+            left += part.T @ (part * active[:, None])
+            right += part.T @ (active * sign)
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-7:
             return new
         w = new
@@ -213,41 +219,45 @@ def fit(docs: list[list[bytes]], labels: np.ndarray, counts: dict[int, int]) ->
     gain = {c: toxic[c] * r for c, r in odds.items() if r > EVIDENCE}
     if not gain:
         return np.zeros(CODES), 0.0, np.array([0.0, np.log(rate / (1 - rate))])
-    marks: list[bytes] = []
-    basis = np.zeros((0, CODES), dtype=np.float32)
-    ranked = sorted(gain, key=lambda c: (-gain[c], c))[:3 * LANDMARKS]
-    units = _unit(ranked)
-    for c, u in zip(ranked, units):
-        if len(marks) < LANDMARKS and (not len(basis) or (basis @ u).max() < 0.9):
-            marks.append(c)
-            basis = np.vstack([basis, u[None]])
+    ranked = sorted(gain, key=lambda c: (-gain[c], c))[:4 * LANDMARKS]
+    units = _unit(ranked, _codes(ranked))
+    likeness, chosen = units @ units.T, []
+    for k in range(len(ranked)):
+        if len(chosen) < LANDMARKS and (not chosen or likeness[k, chosen].max() < 0.9):
+            chosen.append(k)
+    marks = [ranked[k] for k in chosen]
     vocabulary = sorted((c for c in clean if c not in gain), key=lambda c: (-clean[c], c))
-    frequent = vocabulary[:CLEAN_LANDMARKS]
+    frequent, negatives = vocabulary[:CLEAN_LANDMARKS], vocabulary[:NEGATIVES]
     # clean chunks most like the insults: the frequent ones first decide how far a likeness goes
-    alike = (_kernel(vocabulary[:NEGATIVES], basis)).max(axis=1)
+    codes = _codes(marks)
+    alike = np.concatenate([np.zeros(0), *(k.max(axis=1) for _, k in _kernel(negatives, _unit(marks, codes), codes))])
     close = [vocabulary[k] for k in np.argsort(-alike, kind="stable")[:LANDMARKS]]
-    basis = np.vstack([basis, _unit(sorted({*frequent, *close}))])
+    landmarks = marks + sorted({*frequent, *close})
+    codes = _codes(landmarks)
+    basis = _unit(landmarks, codes)                                    # over the landmarks' own triples only
     values, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
     keep = values > 1e-4
     root = vectors[:, keep] / np.sqrt(values[keep])                    # K^(-1/2) on its range
 
-    negatives = vocabulary[:NEGATIVES]
-    x0 = _kernel(negatives, basis) @ root
-    share = np.sqrt([clean[c] for c in negatives])        # a frequent clean chunk weighs more
     toxic_chunks = sorted(gain)
-    x1 = _kernel(toxic_chunks, basis) @ root
+    n = len(toxic_chunks)
+    x = np.ones((n + len(negatives), keep.sum() + 1))
+    for rows, chunks in ((x[:n], toxic_chunks), (x[n:], negatives)):
+        for part, k in _kernel(chunks, basis, codes):
+            rows[part, :-1] = k @ root
+    y = np.where(np.arange(len(x)) < n, 1.0, -1.0)
+    share = np.sqrt([clean[c] for c in negatives])        # a frequent clean chunk weighs more
     times = np.array([toxic[c] for c in toxic_chunks], dtype=float)
-    held = np.ones(len(toxic_chunks), dtype=bool)
+    held = np.ones(n, dtype=bool)
     for _ in range(ROUNDS):
-        x = np.vstack([x1[held], x0])
-        y = np.concatenate([np.ones(held.sum()), -np.ones(len(x0))])
-        weight = np.concatenate([times[held], share * (CLEAN_WEIGHT * times[held].sum() / share.sum())])
-        w = _svm(x, y, weight, PENALTY)
-        again = x1 @ w[:-1] + w[-1] > 0                   # the others are like clean chunks: chance finds
+        seen = times * held
+        w = _svm(x, y, np.concatenate([seen, share * (CLEAN_WEIGHT * seen.sum() / share.sum())]), PENALTY)
+        again = x[:n] @ w > 0                             # the others are like clean chunks: chance finds
         if not again.any() or (again == held).all():
             break
         held = again
-    table = (root @ w[:-1]) @ basis
+    table = np.zeros(CODES)
+    table[codes] = (root @ w[:-1]) @ basis
     offset = float(w[-1])
     top = np.array([max([NO_CHUNK, *margins(c, table, offset)]) if c else NO_CHUNK for c in docs])
     both = np.stack([top, np.ones(len(top))], axis=1)

@@ -2,6 +2,7 @@
 
 import bisect
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from snapreel.llm import ann, packing, pii, quality, rangecoder, toxicity
+from snapreel.llm import ann, labelled, packing, pii, quality, rangecoder, toxicity
 from snapreel.llm.tokens import IdEncoder
 
 
@@ -137,6 +138,24 @@ def test_kernel_table_equals_the_kernel():
     assert k[0, 1] > 0.5 > k[0, 2]
 
 
+def test_fit_reads_its_whole_sample_in_little_memory():
+    """The bounds are not cut to save memory: the fit holds no rows over all triples and no copy of all rows."""
+    assert labelled.PER_CLASS == 2500 and (toxicity.LANDMARKS, toxicity.NEGATIVES) == (96, 30_000)
+    rng = random.Random(3)
+    words = sorted({toxicity.windows(bytes(rng.randrange(1, 27) for _ in range(8)))[0] for _ in range(3000)})
+    rng.shuffle(words)
+    bad, good = words[:90], words[90:]
+    docs = [[*rng.sample(good, 30), bad[k // 4]] for k in range(360)] + [rng.sample(good, 30) for _ in range(600)]
+    tracemalloc.start()
+    toxicity.fit(docs, np.array([1] * 360 + [0] * 600), {0: 600, 1: 360})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    codes = toxicity._codes(bad)
+    parts = np.concatenate([k for _, k in toxicity._kernel(good, toxicity._unit(bad, codes), codes)])
+    assert np.allclose(parts, toxicity._unit(good) @ toxicity._unit(bad).T, atol=1e-5)
+
+
 def test_scorer_joins_lone_letters_and_reads_whole_texts():
     bad = toxicity.windows(toxicity.fold("idiot"))
     table = toxicity._unit(bad)[0].astype(float)
