@@ -1,8 +1,11 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks.
 
 Units are a sentence's chunks: a word's letters without what stands between
-them (``i-d-i-o-t``), or a run of three or more lone letters (``i d i o t``),
-folded to 30 letter classes and put between edge marks. The kernel of two chunks is the gap-weighted
+them (``i-d-i-o-t``), a run of three or more lone letters (``i d i o t``), or a
+join of two to four short neighbouring words (``id iot``, ``i di ot``); what
+holds no letter (``i * d * i``) parts no neighbours. Joins are scored by what
+whole words and lone letters taught; a fit does not learn from them. Chunks are folded to 30
+letter classes and put between edge marks. The kernel of two chunks is the gap-weighted
 subsequence kernel of length 3: every subsequence ``u`` of three letters spread
 over at most ``SPAN`` places counts ``DECAY ** places``, so a word with letters
 put in keeps most of its likeness. Chunks longer than ``WIDTH`` letters are
@@ -48,6 +51,8 @@ SEEN, EVIDENCE = 4, 1.5  # toxic documents that hold a chunk, and
 # log ratio of a chunk's document rates from which it may be the insult
 PENALTY, ROUNDS, CLEAN_WEIGHT = 3.0, 4, 100.0
 NO_CHUNK = -3.0
+JOINS = {2: 4, 3: 3, 4: 2}      # so many neighbouring words are joined when each has at most so many letters
+FRAGMENT = max(JOINS.values())
 
 
 def fold(word: str) -> bytes:
@@ -99,45 +104,72 @@ class Scorer:
     def __init__(self, table: np.ndarray, offset: float, cache_size: int = 300_000):
         self.table, self.offset, self.cache_size = table, offset, cache_size
         self.cache: dict[str, float] = {}
+        self.sizes: dict[str, int] = {}          # letters of the cached words, up to one more than a fragment has
 
     def learn(self, words: list[str]) -> None:
         if len(self.cache) + len(words) > self.cache_size:
             self.cache.clear()
+            self.sizes.clear()
         for at in range(0, len(words), 20_000):
             part = words[at:at + 20_000]
             owners, chunks = [], []
             for k, w in enumerate(part):
                 letters = fold(w)
-                if len(letters) == 1:
-                    owners.append(-1 - k)
-                    continue
+                self.sizes[w] = min(len(letters), FRAGMENT + 1)
+                if len(letters) < 2:
+                    continue                                             # a lone letter or none
                 for c in windows(letters):
                     owners.append(k)
                     chunks.append(c)
             best = np.full(len(part), NO_CHUNK)
-            own = np.array([o for o in owners if o >= 0], dtype=np.int64)
-            if len(own):
-                np.maximum.at(best, own, margins(chunks, self.table, self.offset))
-            best[[-1 - o for o in owners if o < 0]] = np.nan              # a lone letter
+            if owners:
+                np.maximum.at(best, np.array(owners), margins(chunks, self.table, self.offset))
             self.cache.update(zip(part, best.tolist()))
 
-    def score(self, text: str | None) -> float:
-        words = (text or "").lower().split()
-        values = list(map(self.cache.get, words))
+    def look_up(self, words: list[str]) -> tuple[list[float], list[int]]:
+        """Margin and number of letters of each word, of which the cache can hold all."""
+        values, sizes = list(map(self.cache.get, words)), list(map(self.sizes.get, words))
         if None in values:
             self.learn(list({w for w, v in zip(words, values) if v is None}))
-            if len(words) <= self.cache_size:
-                values = [self.cache[w] if v is None else v for w, v in zip(words, values)]
-            else:                                                        # a text of more words than the cache holds
-                return max([NO_CHUNK, *(self.score(" ".join(words[k:k + 100_000])) for k in range(0, len(words), 99_900))])
-        found = np.array(values)
-        lone = np.isnan(found)
-        best = float(found[~lone].max()) if not lone.all() else NO_CHUNK
-        for run in lone_runs(words, lone):
+            values = [self.cache[w] if v is None else v for w, v in zip(words, values)]
+            sizes = [self.sizes[w] if n is None else n for w, n in zip(words, sizes)]
+        return values, sizes
+
+    def score(self, text: str | None) -> float:
+        words = (text or "").lower().split()
+        if len(words) > self.cache_size and len(words) > 100_000:        # a text of more words than the cache holds
+            return max(self.score(" ".join(words[k:k + 100_000])) for k in range(0, len(words), 99_900))
+        values, sizes = self.look_up(words)
+        best = max([NO_CHUNK, *values])
+        words, sizes = lettered(words, sizes)
+        joined = list(fragments(words, sizes))
+        for at in range(0, len(joined), 100_000):
+            best = max(best, *self.look_up(joined[at:at + 100_000])[0])
+        for run in lone_runs(words, sizes == 1):
             best = max(best, float(margins(windows(run), self.table, self.offset).max()))
         return best
 
 
+def lettered(words: list[str], sizes) -> tuple[list[str], np.ndarray]:
+    """The words that hold a letter, and their numbers of letters."""
+    sizes = np.array(sizes, dtype=np.int64)
+    if not sizes.all():
+        words = [words[k] for k in np.flatnonzero(sizes)]
+    return words, sizes[sizes > 0]
+
+
+def fragments(words: list[str], sizes: np.ndarray) -> set[str]:
+    """Joins of short neighbouring words (see ``JOINS``) that have three letters or more."""
+    found = set()
+    for n, most in JOINS.items():
+        if len(words) >= n:
+            starts = len(words) - n + 1
+            spans = np.stack([sizes[k:k + starts] for k in range(n)])
+            at = np.flatnonzero((spans.max(axis=0) <= most) & (spans.sum(axis=0) > 2)).tolist()
+            found.update("".join(words[k:k + n]) for k in at)
+    return found
+
+
 def lone_runs(words: list[str], lone: np.ndarray) -> list[bytes]:
     """Runs of three or more words of one letter, as one chunk each."""
     if lone.sum() < 3:
@@ -147,12 +179,12 @@ def lone_runs(words: list[str], lone: np.ndarray) -> list[bytes]:
 
 
 def chunks_of(text: str) -> list[bytes]:
-    """Distinct chunks of a text that have three letters or more."""
+    """Distinct chunks of a text that have three letters or more, from whole words and lone letters: what a fit reads."""
     words = (text or "").lower().split()
     letters = [fold(w) for w in words]
-    lone = np.array([len(x) == 1 for x in letters], dtype=bool)
     found = {c for x in letters if len(x) > 2 for c in windows(x)}
-    found.update(c for run in lone_runs(words, lone) for c in windows(run))
+    words, sizes = lettered(words, [len(x) for x in letters])
+    found.update(c for run in lone_runs(words, sizes == 1) for c in windows(run))
     return sorted(found)
 
 

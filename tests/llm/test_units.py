@@ -166,6 +166,16 @@ def test_scorer_joins_lone_letters_and_reads_whole_texts():
     assert scorer.score(None) == scorer.score("") == toxicity.NO_CHUNK
 
 
+@pytest.mark.parametrize("gapped", ["i - d - i - o - t", "i * d * i * o * t", "id iot", "i diot", "idi ot", "i di ot", "id -- iot"])
+def test_gapped_words_are_chunks(gapped):
+    bad = toxicity.windows(toxicity.fold("idiot"))
+    if len(gapped) > 12:
+        assert bad[0] in toxicity.chunks_of(f"whatever {gapped} somebody")
+    scorer = toxicity.Scorer(toxicity._unit(bad)[0].astype(float), 0.0, cache_size=50)
+    assert scorer.score(f"whatever {gapped} somebody") == pytest.approx(1, abs=1e-5)
+    assert scorer.score(f"{gapped} " + " ".join(f"ab{k}c" for k in range(300))) == pytest.approx(1, abs=1e-5)
+
+
 def test_factorisation_machine_identity():
     rng = np.random.default_rng(0)
     model = (0.3, rng.normal(size=quality.FEATURES), rng.normal(size=(quality.FEATURES, quality.FACTORS)),
