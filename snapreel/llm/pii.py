@@ -78,8 +78,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 if kind == "phone" and s.startswith("+"):
                     form = "+" + re.match(r"\+(\d{1,3})", s)[1] + "|" + form[len(re.match(r"\+(\d{1,3})", s)[1]):]
             found.append((m.start(), m.end(), kind, form))
-        found += [(m.start(1), m.end(1), "secret", m[1]) for m in SECRET.finditer(text)]
         found += [(m.start(), m.end(), "secret", m[0]) for m in HEX.finditer(text)]
+    if "=" in text or ":" in text:
+        found += [(m.start(1), m.end(1), "secret", m[1]) for m in SECRET.finditer(text)]
     found += _people(text)
     kept, end = [], 0
     for m in sorted(found, key=lambda m: (m[0], -m[1])):

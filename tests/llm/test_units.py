@@ -126,6 +126,11 @@ def test_mentions_and_formats():
     assert found[("given.m.cyrillic", "Иван")][0] in pii.GIVEN["m.cyrillic"]
 
 
+def test_secrets_are_found_in_texts_without_digits():
+    for text in ("password: correcthorsebattery", "password: correcthorsebattery and 7"):
+        assert [m[2:] for m in pii.find(text)] == [("secret", "correcthorsebattery")]
+
+
 def test_kernel_table_equals_the_kernel():
     """A margin from letter triples equals the sum over landmarks of weight times kernel."""
     chunks = [toxicity.windows(toxicity.fold(w))[0] for w in ("idiot", "idiiot", "table", "trash")]
