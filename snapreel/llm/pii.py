@@ -14,8 +14,12 @@ consonants of names, a ring of given names of one gender and script). Permutatio
 different surrogates to different originals and the same one to all mentions.
 What they cannot know is checked over the whole corpus: a surrogate that is
 itself an original, or that two originals of a type share, is made again with
-the next tweak, until neither occurs. Mentions are then rewritten in their own
-separators and case.
+the next tweak, until neither occurs. The values of a short format (a surname
+of two letters) may all be originals, so from tweak ``WIDEN`` on names, emails
+and secrets get letters more; formats of digits, of 10**8 values or more, may
+from tweak ``FULL`` on take another's original, but never their own. Mentions
+are then rewritten in their own separators and case. What has no symbol of an
+alphabet to replace (``--@--.--``) is no entity.
 
 Defined cases: a null or empty text stays; repeated rows are rewritten alike;
 texts of any length are read whole; an empty table gives no rows; all columns
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from snapreel.llm.common import staged
 
 KEY = b"replace this key"
-ROUNDS, MAX_TWEAKS = 4, 50
+ROUNDS, WIDEN, FULL = 4, 8, 50
 
 # Patterns, titles and given names by gender and script.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -58,7 +62,7 @@ GIVEN = {
 GIVEN = {kind: names.split() for kind, names in GIVEN.items()}
 GENDER = {name: kind for kind, names in GIVEN.items() for name in names}
 ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "àáâäèéêëìíîïòóôöùúûü",
-             "ÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩЪЬ"]
+             "ÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜ", "ãåæçðñõøýþÿß", "ÃÅÆÇÐÑÕØÝÞ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩЪЬ"]
 LETTER = {c: (a, k) for a in ALPHABETS for k, c in enumerate(a)}
 HEX_LETTER = {c: (a, k) for a in ("0123456789abcdef", "0123456789ABCDEF") for k, c in reversed(list(enumerate(a)))}
 
@@ -84,12 +88,17 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     found += _people(text)
     kept, end = [], 0
     for m in sorted(found, key=lambda m: (m[0], -m[1])):
-        if m[0] >= end:
+        if m[0] >= end and replaceable(*m[2:]):
             kept.append(m)
             end = m[1]
     return kept
 
 
+def replaceable(kind: str, form: str) -> bool:
+    """Whether a surrogate can differ from the form; an email keeps its last label."""
+    return any(c in LETTER for c in (form.rpartition(".")[0] if kind == "email" else form))
+
+
 def _script(word: str) -> str:
     return "cyrillic" if any("а" <= c.lower() <= "я" or c in "ёЁ" for c in word) else "latin"
 
@@ -159,16 +168,17 @@ def luhn(digits: str) -> bool:
 def surrogate(kind: str, form: str, tweak: int, key: bytes = KEY) -> str:
     """The canonical form that stands for ``form``."""
     label = f"{kind}|{tweak}"
+    more = 1 + (tweak - WIDEN) // 4 if tweak >= WIDEN else 0           # letters that widen a format
     if kind.startswith("given."):
         names = GIVEN.get(kind[6:], [])
         if form in names:
             order = sorted(names, key=lambda n: hashlib.blake2b(f"{label}|{n}".encode(), key=key).digest())
             return order[(order.index(form) + 1 + tweak) % len(names)]     # never itself
-        return _letters(form, key, label)
+        return _letters(form + _more(form, more), key, label)
     if kind == "email":
         local, domain = form.split("@")
         labels = domain.split(".")
-        return _letters(local, key, label) + "@" + ".".join([*(_letters(x, key, f"domain|{tweak}") for x in labels[:-1]), labels[-1]])
+        return _letters(local + _more(local, more), key, label) + "@" + ".".join([*(_letters(x, key, f"domain|{tweak}") for x in labels[:-1]), labels[-1]])
     if kind == "ip":
         return ".".join(map(str, permute([(int(x), 256) for x in form.split(".")], key, label)))
     if kind == "phone" and "|" in form:
@@ -181,10 +191,16 @@ def surrogate(kind: str, form: str, tweak: int, key: bytes = KEY) -> str:
         return form[:2] + _letters(form[2:], key, label + form[:2])
     if kind == "secret" and all(c in HEX_LETTER for c in form) and (form.lower() == form or form.upper() == form):
         alphabet = "0123456789ABCDEF" if form != form.lower() else "0123456789abcdef"
-        return _letters(form, key, label + alphabet[-1], {c: (alphabet, k) for k, c in enumerate(alphabet)})
+        return _letters(form + "0" * more, key, label + alphabet[-1], {c: (alphabet, k) for k, c in enumerate(alphabet)})
+    if kind == "secret" or kind.startswith("surname."):
+        form += _more(form, more)
     return _letters(form, key, label)
 
 
+def _more(form: str, n: int) -> str:
+    return (("на" if _script(form) == "cyrillic" else "na") * n)[:n]
+
+
 def render(mention: str, kind: str, new: str) -> str:
     """``new`` in the mention's separators and case."""
     if kind in ("phone", "card", "ssn", "iban"):
@@ -210,19 +226,23 @@ def entities(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataF
                                              ["kind", "form", "tweak", "surrogate"])
     originals = staged(docs.select(text_col).mapInArrow(detect, "kind string, form string").distinct(), "pii-entities")
     state = originals.withColumn("tweak", F.lit(0))
-    for _ in range(MAX_TWEAKS):
+    given = F.col("kind").startswith("given.")
+    # listed names are one ring, in which no two meet: they come before the names that are not listed
+    unlisted = given & ~F.col("form").isin(sorted(GENDER))
+    wide = given | F.col("kind").startswith("surname.") | F.col("kind").isin("email", "secret")
+    while True:                            # each tweak frees most of those left: names widen, the other formats are large
         state = staged(state.select("kind", "form", "tweak").mapInArrow(
             replace, "kind string, form string, tweak int, surrogate string"), "pii-surrogates")
         real = originals.select("kind", F.col("form").alias("surrogate"), F.lit(True).alias("real"))
-        shared = state.groupBy("kind", "surrogate").agg(F.min("form").alias("owner"))
+        shared = state.groupBy("kind", "surrogate").agg(F.min(F.struct(unlisted.alias("unlisted"), "form"))["form"].alias("owner"))
         judged = state.join(real, ["kind", "surrogate"], "left").join(shared, ["kind", "surrogate"])
         # a given name comes from a list that the corpus may use up: there only sharing is a collision
-        taken = (F.coalesce("real", F.lit(False)) & ~F.col("kind").startswith("given.")) | (F.col("owner") != F.col("form"))
+        free = given | (~wide & (F.col("tweak") >= FULL))
+        taken = (F.coalesce("real", F.lit(False)) & ~free) | (F.col("owner") != F.col("form")) | (F.col("surrogate") == F.col("form"))
         judged = staged(judged.select("kind", "form", "tweak", "surrogate", taken.alias("taken")), "pii-judged")
         if judged.where("taken").first() is None:
             return judged.drop("taken")
         state = judged.withColumn("tweak", F.col("tweak") + F.col("taken").cast("int"))
-    raise ValueError("surrogates still collide; the format has too few values")
 
 
 def pseudonymise(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

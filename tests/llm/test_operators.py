@@ -147,6 +147,19 @@ def test_pii_collisions_are_resolved(spark):
     assert sorted(r.text for r in out) == sorted("Mr. " + r.surrogate for r in found)
 
 
+def test_pii_formats_that_the_corpus_uses_up(spark):
+    """All surnames of a consonant and a vowel are originals; matches without a symbol to replace are no entities."""
+    texts = [f"Mary {a}{b} came." for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"] + ["--@--.-- and _@-.com", "Dr. Ñå left, password: ========"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = pii.entities(rows).collect()
+    assert len(found) == 107 and len({(r.kind, r.surrogate) for r in found}) == 107
+    assert not {(r.kind, r.surrogate) for r in found if r.kind.startswith("surname")} & {(r.kind, r.form) for r in found}
+    assert all(r.surrogate != r.form for r in found)
+    out = {r.doc_id: r for r in pii.pseudonymise(rows).collect()}
+    assert out[105].text == texts[105] and out[105]._pii_found == 0 and "Ñå" not in out[106].text
+    assert len({r.text for r in out.values()}) == 107
+
+
 def test_line_dedup(spark, docs, none):
     def tokens(line):
         return frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.translate(LOWER)) if w)
