@@ -20,6 +20,8 @@ not visit. No table of queries or vectors is broadcast.
 Defined cases: vectors that are null, zero, hold null or non-finite numbers, or
 whose length is not the most frequent one take no part, nor do null ids; equal
 distances are ordered by id; rows of a query's own id are not its neighbours;
+a query is an id and a vector: rows equal in both ask once, rows of one id with
+other vectors ask and are ranked each for itself;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -34,7 +36,7 @@ from snapreel.llm.common import staged
 
 DIMENSIONS, CONFIDENCE = 8, 0.97
 SAMPLE, MAX_BLOCKS, PIECE_ROWS, LEAF_ROWS, STEP_LEAVES = 20_000, 4096, 8192, 32, 8
-POINTS = "piece bigint, kind int, id bigint, vector array<float>, bound double"
+POINTS = "piece bigint, kind int, id bigint, vector array<float>, bound double, mark bigint"
 
 
 def chi_square_quantile(p: float, dimensions: int) -> float:
@@ -130,9 +132,9 @@ def _search(rows: DataFrame, k: int, length: int, dimensions: int, reach: float)
         basis = directions(length, dimensions)
         held, ids, vectors, tree = None, [], [], None
         for batch in batches:
-            piece, kind, own, bound = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2, 4))
+            piece, kind, own, bound, mark = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2, 4, 5))
             flat = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
-            out = [[], [], []]
+            out = [[], [], [], []]
             edges = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (kind[1:] != kind[:-1]), [True]]))
             for a, b in zip(edges[:-1], edges[1:]):
                 if piece[a] != held:
@@ -152,10 +154,11 @@ def _search(rows: DataFrame, k: int, length: int, dimensions: int, reach: float)
                     out[0] += [own[r]] * len(d)
                     out[1] += found.tolist()
                     out[2] += d.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                                              pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
+                    out[3] += [mark[r]] * len(d)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()),
+                                              pa.array(out[3], pa.int64())], ["query_id", "vec_id", "score", "mark"])
     dealt = rows.repartition("piece").sortWithinPartitions("piece", "kind")
-    return dealt.mapInArrow(answer, "query_id bigint, vec_id bigint, score double")
+    return dealt.mapInArrow(answer, "query_id bigint, vec_id bigint, score double, mark bigint")
 
 
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
@@ -191,13 +194,14 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str =
     first = np.concatenate([[0], np.cumsum(parts)[:-1]])
     firsts, counts = F.lit(first.tolist()), F.lit(parts.tolist())
     home = F.get(firsts, F.col("block")) + F.pmod(F.xxhash64("id"), F.get(counts, F.col("block")))
-    points = placed.select(home.cast("bigint").alias("piece"), F.lit(0).alias("kind"), "id", "vector", F.lit(0.0).alias("bound"))
-    asked = placed.where(F.pmod("id", F.lit(every)) == 0)
-    start = asked.select(home.cast("bigint").alias("piece"), F.lit(1).alias("kind"), "id", "vector", F.lit(float("inf")).alias("bound"))
+    points = placed.select(home.cast("bigint").alias("piece"), F.lit(0).alias("kind"), "id", "vector", F.lit(0.0).alias("bound"),
+                           F.lit(0).cast("bigint").alias("mark"))
+    asked = placed.where(F.pmod("id", F.lit(every)) == 0).withColumn("mark", F.xxhash64("vector")).dropDuplicates(["id", "mark"])
+    start = asked.select(home.cast("bigint").alias("piece"), F.lit(1).alias("kind"), "id", "vector", F.lit(float("inf")).alias("bound"), "mark")
     near = staged(_search(points.union(start), k, length, dimensions, reach), "ann-near")
-    kth = near.groupBy(F.col("query_id").alias("k_id")).agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("worst"))
-    asked = start.select("piece", "id", "vector").join(kth, F.col("id") == F.col("k_id"), "left")
-    asked = asked.select("piece", "id", "vector", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("inf"))).alias("bound"))
+    kth = near.groupBy(F.col("query_id").alias("k_id"), F.col("mark").alias("k_mark")).agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("worst"))
+    asked = start.select("piece", "id", "vector", "mark").join(kth, (F.col("id") == F.col("k_id")) & (F.col("mark") == F.col("k_mark")), "left")
+    asked = asked.select("piece", "id", "vector", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("inf"))).alias("bound"), "mark")
 
     def route(batches):
         basis = directions(length, dimensions)
@@ -214,9 +218,10 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str =
             take = pa.array(source, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pieces, pa.int64()), pa.array(np.ones(len(pieces)), pa.int32()), batch.column(1).take(take),
-                 vectors_.take(take), batch.column(3).take(take)], ["piece", "kind", "id", "vector", "bound"])
+                 vectors_.take(take), batch.column(3).take(take), batch.column(4).take(take)],
+                ["piece", "kind", "id", "vector", "bound", "mark"])
     sent = asked.mapInArrow(route, POINTS)
     far = _search(points.union(sent), k, length, dimensions, reach)
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = Window.partitionBy("query_id", "mark").orderBy("score", "vec_id")
     ranked = near.union(far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

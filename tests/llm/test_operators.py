@@ -286,6 +286,21 @@ def test_neighbours(spark):
     assert ann.neighbours(spark.createDataFrame(rows[:4], "vec_id bigint, embedding array<float>"), every=2).count() == 6
 
 
+def test_neighbours_of_repeated_queries(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 12)).astype(np.float32)
+    rows = [(k, [float(v) for v in x[k]]) for k in range(60)]
+    rows += [rows[0], (50, [float(v) for v in x[7]])]                 # a row twice, and an id with another vector
+    found = ann.neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), k=10, every=50).collect()
+    x = x.astype(float)
+
+    def nearest(v, own):
+        d = np.sqrt(((np.array([r[1] for r in rows]) - v) ** 2).sum(axis=1))
+        return [(rank + 1, rows[k][0]) for rank, k in enumerate([k for k in np.lexsort(([r[0] for r in rows], d)) if rows[k][0] != own][:10])]
+    assert sorted((r.rank, r.vec_id) for r in found if r.query_id == 0) == nearest(x[0], 0)
+    assert sorted((r.rank, r.vec_id) for r in found if r.query_id == 50) == sorted(nearest(x[50], 50) + nearest(x[7], 50))
+
+
 def labels_for(spark, rows):
     return spark.createDataFrame([(r[0], int(k % 2 == 0), int(k % 3 == 0)) for k, r in enumerate(rows) if r[0] is not None],
                                  "doc_id bigint, quality int, toxic int")
