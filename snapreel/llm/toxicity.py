@@ -1,6 +1,6 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks.
 
-Units are a sentence's chunks: a word's letters without what stands between
+Units are a text's chunks: a word's letters without what stands between
 them (``i-d-i-o-t``), a run of three or more lone letters (``i d i o t``), or a
 join of two to four short neighbouring words (``id iot``, ``i di ot``); what
 holds no letter (``i * d * i``) parts no neighbours. Joins are scored by what
@@ -11,15 +11,15 @@ over at most ``SPAN`` places counts ``DECAY ** places``, so a word with letters
 put in keeps most of its likeness. Chunks longer than ``WIDTH`` letters are
 read in overlapping windows, whole.
 
-Only documents are labelled, so sentences are labelled in rounds: every
-sentence of a clean document is clean; a sentence of a toxic document is toxic
-when it holds a chunk that is several times as frequent in toxic documents as
-in clean ones and that the last round's SVM still found toxic. A sentence
-stands for such a chunk, or for each of its chunks when it is clean. Landmarks
-are such chunks, the clean chunks most like them and the most frequent clean
-ones; a linear SVM (squared hinge) is trained on the Nystroem
-features, and a logistic fit turns a document's highest margin into a
-probability at the labels' real rate.
+Only documents are labelled, and no sentence is cut or labelled: the unit is a
+chunk. Every chunk of a clean document is clean; a chunk of a toxic document is
+toxic when it is several times as frequent in toxic documents as in clean ones
+and, in each of a few rounds, the last round's SVM still found it toxic. Threats
+and insults whose words are each common in clean text are therefore not learnt.
+Landmarks are toxic chunks, the clean chunks most like them and the most frequent
+clean ones; a linear SVM (squared hinge) is trained on the Nystroem features,
+and a logistic fit turns a document's highest margin into a probability at the
+labels' real rate.
 
 A margin is linear in the kernel values, and these in a chunk's subsequences,
 so the trained model is one weight per letter triple: a chunk costs its own
