@@ -33,11 +33,7 @@ from snapreel.plans import daily as D  # noqa: E402
 from snapreel.plans.catalog import Catalog  # noqa: E402
 from snapreel.session import build_session, scratch_path  # noqa: E402
 
-RAW_COLUMNS = {
-    "trending": ["media_type", "time_window", "payload", "snapshot_date", "load_ts"],
-    "details": ["tmdb_id", "media_type", "payload", "load_ts"],
-    "credits": ["tmdb_id", "media_type", "payload", "load_ts"],
-}
+RAW_COLUMNS = D.RAW_COLUMNS
 
 
 def _sf_value(sf_dir: str):
@@ -87,6 +83,26 @@ def bench_daily(spark, cat, runs: int = 3) -> dict:
     return {"daily_first_run": round(first, 4), "daily_next_run": round(nxt, 4)}
 
 
+def bench_models(raw: dict) -> dict:
+    """The measured models and checks over materialised raw tables."""
+    m = D.build_models(raw["trending"], raw["details"], raw["credits"])
+    item = D.build_models(raw["trending"], raw["details"], raw["credits"], media_type_from="item")
+    checked = {**m, "dim_content": item["dim_content"],
+               "tmdb_details_raw": raw["details"].drop("payload"),
+               "tmdb_credits_raw": raw["credits"].drop("payload")}
+    return {
+        "stg_trending": m["stg_tmdb_trending"], "stg_details": m["stg_tmdb_details"],
+        "stg_details_genres": m["stg_tmdb_details_genres"],
+        "stg_credits_cast": m["stg_tmdb_credits_cast"], "stg_credits_crew": m["stg_tmdb_credits_crew"],
+        "credits_summary": m["int_tmdb_credits_summary"], "genres_summary": m["int_tmdb_genres_summary"],
+        "dim_content": item["dim_content"], "fct_trending_daily": m["fct_trending_daily"],
+        "missing_keys_details": E.missing_keys(E.latest_trending_keys(raw["trending"]),
+                                               E.existing_keys(raw["details"])),
+        "dq_not_null": Q.run_not_null(checked),
+        "dq_unique": Q.run_unique(checked),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -115,26 +131,8 @@ def main() -> None:
 
     raw = {s: spark.read.parquet(p).select(*RAW_COLUMNS[s]) for s, p in paths.items()}
 
-    def models():
-        m = D.build_models(raw["trending"], raw["details"], raw["credits"])
-        item = D.build_models(raw["trending"], raw["details"], raw["credits"], media_type_from="item")
-        checked = {**m, "dim_content": item["dim_content"],
-                   "tmdb_details_raw": raw["details"].drop("payload"),
-                   "tmdb_credits_raw": raw["credits"].drop("payload")}
-        return {
-            "stg_trending": m["stg_tmdb_trending"], "stg_details": m["stg_tmdb_details"],
-            "stg_details_genres": m["stg_tmdb_details_genres"],
-            "stg_credits_cast": m["stg_tmdb_credits_cast"], "stg_credits_crew": m["stg_tmdb_credits_crew"],
-            "credits_summary": m["int_tmdb_credits_summary"], "genres_summary": m["int_tmdb_genres_summary"],
-            "dim_content": item["dim_content"], "fct_trending_daily": m["fct_trending_daily"],
-            "missing_keys_details": E.missing_keys(E.latest_trending_keys(raw["trending"]),
-                                                   E.existing_keys(raw["details"])),
-            "dq_not_null": Q.run_not_null(checked),
-            "dq_unique": Q.run_unique(checked),
-        }
-
     timings = {}
-    for name, df in models().items():
+    for name, df in bench_models(raw).items():
         _noop(df)  # warm-up
         samples = []
         for _ in range(runs):

@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 
@@ -6,12 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from snapreel.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,23 +14,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def docs(spark, *envelopes):
-    """DataFrame with one VARIANT ``doc`` per envelope (dict or raw JSON text)."""
-    rows = [(e if isinstance(e, str) else json.dumps(e, ensure_ascii=False),) for e in envelopes]
-    return spark.createDataFrame(rows, "text string").select(F.parse_json("text").alias("doc"))
-
-
-def trending_env(results, date="2024-03-01", media_type="all", window="day",
-                 load_ts="2024-03-01T07:00:00.123456+00:00"):
-    return {"media_type": media_type, "time_window": window, "snapshot_date": date,
-            "load_ts": load_ts, "results": results}
-
-
-def keyed_env(tmdb_id, media_type, data, load_ts="2024-03-01T08:00:00+00:00"):
-    return {"media_type": media_type, "tmdb_id": tmdb_id, "load_ts": load_ts, "data": data}
-
-
-def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

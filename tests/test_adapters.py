@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from samples import SF_SMALL
 from snapreel.sources import adapters as A
 
 

@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import docs, keyed_env, trending_env  # noqa: F401
+from samples import docs, keyed_env, trending_env  # noqa: F401
 from snapreel.plans import daily as D
 from snapreel.session import shared_dir
 
@@ -123,7 +123,7 @@ def test_incremental_summaries_equal_full_recompute(spark):
 def test_daily_run_on_driver_data_equals_one_shot_models(spark):
     """History replayed day by day + one daily run == the models built in one shot."""
     import datetime as dt
-    from conftest import SF_SMALL
+    from samples import SF_SMALL
     from snapreel.operators.ingest import ingest_trending
     from snapreel.operators.replace import write_keyed
     from snapreel.plans.catalog import Catalog
@@ -209,7 +209,7 @@ def test_daily_enrichment_on_driver_data_equals_one_shot_over_final_raw(spark):
     """Preload details/credits as of an earlier cut; two daily runs enrich the missing
     titles through the upsert paths; stored summaries and dim equal one-shot models."""
     import datetime as dt
-    from conftest import SF_SMALL
+    from samples import SF_SMALL
     from snapreel.operators import enrich as E
     from snapreel.operators.ingest import ingest_trending
     from snapreel.operators.replace import write_keyed

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as ENTRY  # noqa: E402
 from compare import duck, value_hash  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from samples import SF_SMALL  # noqa: E402
 from snapreel.plans.queries import QUERIES  # noqa: E402
 
 NAMES = sorted(QUERIES)

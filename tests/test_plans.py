@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as ENTRY
 from snapreel.plans.queries import QUERIES
-from conftest import SF_SMALL
+from samples import SF_SMALL
 from snapreel.operators.replace import write_keyed
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M

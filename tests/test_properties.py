@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from samples import SF_SMALL
 from snapreel.functions.aggregates import first_by_name, ordered_listagg
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import docs, keyed_env, rows, trending_env
+from samples import docs, keyed_env, rows, trending_env
 from snapreel.operators import enrich as E
 from snapreel.operators import replace as RP
 from snapreel.operators import replay as R

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import docs, keyed_env, rows, trending_env
+from samples import docs, keyed_env, rows, trending_env
 from snapreel.plans import staging as S
 from snapreel.sources.raw_loaders import load_details_raw, load_credits_raw, load_trending_raw
 

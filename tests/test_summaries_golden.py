@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from conftest import docs, keyed_env, rows, trending_env
+from samples import docs, keyed_env, rows, trending_env
 from snapreel.operators import quality as Q
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
@@ -108,7 +108,7 @@ def test_null_key_is_kept_without_enrichment(spark):
 
 
 def test_single_scan_summary_equals_two_scan_form(spark):
-    from conftest import SF_SMALL
+    from samples import SF_SMALL
     from snapreel.plans.catalog import Catalog
     raw = load_credits_raw(docs(spark,
         keyed_env(1, "movie", {"cast": [{"id": 1, "name": "A", "order": 0}, {"id": 2, "name": None, "order": 1}],
