@@ -52,4 +52,49 @@ SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.p)::BIGINT AS n_removed,
 FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.p = g.p GROUP BY l.doc_id
 """
 
-ORACLE_SQL = {"op4_line_dedup": LINE_DEDUP, "op7_decontamination": DECONTAMINATION, "op9_shards": SHARDS}
+# counts of all terms of documents and items, scored pair by pair
+SEARCH = r"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+total AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM dw),
+dt AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM dw) GROUP BY r, t),
+iw AS (SELECT DISTINCT item_id, text FROM benchmark),
+it AS (SELECT item_id, text, t, count(*) AS times FROM (SELECT item_id, text, unnest(list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t FROM iw)
+  GROUP BY item_id, text, t),
+weight AS (SELECT t, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM dt, total GROUP BY t, n),
+scored AS (SELECT item_id, text, r, sum(times * weight.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(dw.w) * total.n) // total.l))))::BIGINT AS score
+  FROM it JOIN dt USING (t) JOIN weight USING (t) JOIN dw USING (r), total GROUP BY item_id, text, r),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scored JOIN dw USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# every conversation's prefixes as lists, grouped; a subtree is what has the node's list as a prefix
+TRIE = """
+WITH o AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+  substr(sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id FROM o),
+crc AS (SELECT conv_id, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)), lambda c, x:
+    list_reduce(list_prepend(xor(c, x), [0::BIGINT,0,0,0,0,0,0,0]), lambda r, z: xor(r >> 1, (r & 1) * 3988292384)))) % 6 AS h FROM c),
+w AS (SELECT crc.conv_id, 0 AS part, pos, r, t FROM crc JOIN o ON o.conv_id = crc.conv_id - crc.conv_id % 100 AND pos < h
+  UNION ALL SELECT conv_id, 1, pos, r, t FROM crc JOIN o USING (conv_id) WHERE pos >= h),
+p AS (SELECT conv_id, list({'r': r, 't': t} ORDER BY part, pos) AS turns FROM w GROUP BY conv_id),
+q AS (SELECT conv_id, coalesce(turns, []) AS turns, len(coalesce(turns, [])) AS size FROM c LEFT JOIN p USING (conv_id)),
+cells AS (SELECT conv_id, turns, size, unnest(range(0, size + 1)) AS d FROM q),
+nodes AS (SELECT sha256(turns[1:d]::VARCHAR) AS k, d, any_value(turns[1:d]) AS path, min(conv_id) AS conv_id, count(*) AS n,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d), '') AS ends FROM cells GROUP BY turns[1:d], d),
+own AS (SELECT *, CASE WHEN d > 0 THEN sha256(path[1:d - 1]::VARCHAR) END AS up, CASE WHEN d > 0 THEN (n - 1) * length(path[d].t) ELSE 0 END AS saved FROM nodes),
+kids AS (SELECT up AS k, count(*) AS n_children FROM own WHERE d > 0 GROUP BY up),
+full_nodes AS (SELECT own.*, coalesce(n_children, 0) AS n_children FROM own LEFT JOIN kids USING (k)),
+above AS (SELECT sha256(path[1:a]::VARCHAR) AS k, saved, n_children FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes)),
+sums AS (SELECT k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY k)
+SELECT f.conv_id::BIGINT AS conv_id, f.d::BIGINT AS depth, u.conv_id::BIGINT AS parent_conv_id, f.n::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN sums ON sums.k = f.k LEFT JOIN nodes u ON u.k = f.up
+"""
+
+ORACLE_SQL = {"op4_line_dedup": LINE_DEDUP, "op7_decontamination": DECONTAMINATION, "op9_shards": SHARDS, "op12_search": SEARCH,
+              "op13_conversation_trie": TRIE}

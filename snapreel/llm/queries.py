@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapreel.llm import ann, decontam, labelled, linedup, neardup, packing, pii, quality, shards, tokenfile, toxicity
+from snapreel.llm import (ann, bpe, decontam, labelled, linedup, neardup, packing, pii, quality, search, shards, tokenfile, toxicity,
+                          trie)
 from snapreel.llm.common import table
 from snapreel.session import scratch_path
 
@@ -68,4 +69,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), max_len=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_near_duplicates, op3_surrogates, op4_line_dedup, op5_toxicity, op6_nearest, op7_decontamination, op8_quality, op9_shards, op10_packing)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.tokenised(docs, public_tokenizers.path("word_bpe_49k.json"), decoded_col="decoded")
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(trie.ordered(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_near_duplicates, op3_surrogates, op4_line_dedup, op5_toxicity, op6_nearest, op7_decontamination, op8_quality,
+    op9_shards, op10_packing, op11_bpe, op12_search, op13_conversation_trie)}

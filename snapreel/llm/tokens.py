@@ -54,13 +54,17 @@ class IdEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text that is not cut here."""
+        return self._library([text])[0]
+
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text; a null or empty text has none."""
         if not text:
             return b""
         if (self.pieces is None or not PLAIN.fullmatch(text)
                 or any(s in text for s in self.special)):
-            return self._library([text])[0]
+            return self._whole(text)
         if self.lower:
             pieces = text.lower().split()            # no match of the pattern holds white space
         elif "  " not in text:

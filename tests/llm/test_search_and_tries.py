@@ -1,0 +1,172 @@
+"""The tokenization automaton, the reversed search and the prefix trie against the library and brute force."""
+
+import hashlib
+import json
+import math
+import random
+import re
+import zlib
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from snapreel.llm import bpe, search, trie
+from test_operators import LOWER, SCHEMA, corpus, prose, text_of
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+TRICKY = [None, "", " ", "\n", "a\n\n b", "it's 'll 's", "a  b   c\t d", "ÀÉ ñandú straße İ", "日本語 текст", "日本語，ok", "<|endoftext|> a", "<|startoftext|>Hello<|endoftext|>",
+          "12345 1,234.5", "a_b__c", "́e é", "word$$$ ###", "'s's", "ſt \x1c\x1d!", "😀😀 ok", "ΣΑΣ final", "x" * 5000, "ab" * 700 + "日", " ".join("z" * k for k in range(190, 215))]
+
+
+# --- 11 ---------------------------------------------------------------------------
+def test_bpe_ids_and_decoding_are_the_library_s(spark):
+    library = Tokenizer.from_file(WORD_BPE)
+    rows = [(k, t, "clash") for k, t in enumerate(TRICKY + [r[1] for r in corpus()])]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id bigint, text string, ids string")
+    out = bpe.tokenised(docs, WORD_BPE, decoded_col="decoded")
+    assert sorted(out.columns) == ["decoded", "doc_id", "ids", "text"]
+    got = out.collect()
+    assert len(got) == len(rows) + 3
+    for r in got:
+        want = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == want, r.text
+        assert r.decoded == (library.decode(want, skip_special_tokens=False) if want else "")
+    again = bpe.detokenised(out, WORD_BPE, decoded_col="text")
+    assert sorted(r.text for r in again.collect()) == sorted(r.decoded for r in got)
+    assert bpe.tokenised(docs.limit(0), WORD_BPE).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_automaton_of_any_merges(tmp_path, seed):
+    """Vocabularies of random merges over three letters, repeated letters and pairs that never meet included."""
+    rng = random.Random(seed)
+    suffix = "</w>" if seed % 2 else None
+    letters = ["a", "b", "c"] + [x + "</w>" for x in "abc" if suffix]
+    known, merges = list(letters), []
+    while len(merges) < 25:
+        u, v = rng.choice([t for t in known if not t.endswith("</w>")]), rng.choice(known)
+        if u + v not in known:
+            known.append(u + v)
+            merges.append([u, v])
+    conf = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "post_processor": None, "decoder": None,
+            "pre_tokenizer": {"type": "Whitespace"},
+            "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": suffix,
+                      "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": {t: k for k, t in enumerate(known)}, "merges": merges}}
+    path = str(tmp_path / "small.json")
+    with open(path, "w") as f:
+        json.dump(conf, f)
+    library, encoder = Tokenizer.from_file(path), bpe.AutomatonEncoder(bpe.Automaton(path), path)
+    for _ in range(400):
+        word = "".join(rng.choice("aab" if rng.random() < 0.5 else "abc") for _ in range(rng.randrange(1, 14)))
+        assert encoder.spell(word.encode()) == library.encode(word).ids, (word, merges)
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Automaton(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# --- 12 ---------------------------------------------------------------------------
+def ranked(docs, items, k):
+    words = lambda t: [w for w in re.split("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").translate(LOWER)) if w]
+    sets = [(i, words(t)) for i, t in docs]
+    n, length = sum(bool(w) for _, w in sets), sum(len(w) for _, w in sets)
+    df = {}
+    for _, w in sets:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    out = []
+    for item, text in set(items):
+        found = []
+        for i, w in sets:
+            m = 25 + (75 * len(w) * n) // length if length else 0
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * w.count(t)) // (1000 * w.count(t) + 8 * m))
+                        for t in words(text) if t in w)
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, rank + 1, i, -s) for rank, (s, _, _, i) in enumerate(sorted(found, key=lambda r: r[:3])[:k])]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bounds", [(4096, 8 << 20, 1 << 20), (2, 60, 5)])
+def test_search(spark, monkeypatch, bounds):
+    for name, value in zip(("BLOCK_ITEMS", "BLOCK_BYTES", "STEP"), bounds):
+        monkeypatch.setattr(search, name, value)
+    rng = random.Random(5)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    items = [(k, prose(rng, 8) + " " + text_of(rows[8 + k])[:60]) for k in range(5)]
+    items += [(7, None), (8, ""), (9, "!!"), (10, "Alpha1 alpha1 ALPHA1 épsilon3"), (10, "two words"), (11, "nowhere"), (None, "one"), items[0]]
+    table = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit("clash"))
+    got = search.search(docs, table, k=4)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == ranked([(r[0], r[1]) for r in rows], items, 4)
+    assert search.search(docs.limit(0), table).count() == 0 and search.search(docs, table.limit(0)).count() == 0
+
+
+# --- 13 ---------------------------------------------------------------------------
+def brute_trie(conversations):
+    node, kids, leaves, saved = {}, {}, {}, {}
+    for c, w in conversations.items():
+        for d in range(len(w) + 1):
+            node.setdefault(tuple(w[:d]), []).append(c)
+    for p in node:
+        if p:
+            kids.setdefault(p[:-1], []).append(p)
+    for p in sorted(node, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids.get(p, [])) or 1
+        saved[p] = ((len(node[p]) - 1) * len(p[-1][1]) if p else 0) + sum(saved[k] for k in kids.get(p, []))
+    ends = {p: ",".join(str(c) for c in sorted(m) if len(conversations[c]) == len(p)) for p, m in node.items()}
+    return sorted(((min(m), len(p), min(node[p[:-1]]) if p else None, len(m), len(kids.get(p, [])), leaves[p], saved[p],
+                    hashlib.sha256(ends[p].encode()).hexdigest()) for p, m in node.items()), key=str)
+
+
+def told(rows):
+    """Conversations as lists of (role, text), in order."""
+    out = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            key = hashlib.sha256(f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()).digest()[:16]
+            out.setdefault(c, []).append((turn is not None, turn or 0, key, (role or "", text or "")))
+    return {c: [t[3] for t in sorted(w)] for c, w in out.items()}
+
+
+def rebuilt(conversations):
+    head = {c: zlib.crc32(str(c).encode()) % 6 for c in conversations}
+    return {c: conversations.get(c - int(math.fmod(c, 100)), [])[:head[c]] + w[head[c]:] for c, w in conversations.items()}
+
+
+def talk():
+    rng, rows = random.Random(3), []
+    for c in range(400):
+        if c % 50 != 7:
+            long = c % 37 == 0
+            for t in range(90 if long else rng.choice([0, 1, 2, 3, 5, 8])):
+                rows.append((c, t, rng.choice(["u", "a"]) if not long else "u", f"long{t if t < 60 else rng.randrange(3)}" if long else "é" * rng.randrange(4)))
+    for c in range(500, 560):
+        rows += [(c, t, "u", f"same{t}") for t in range(8)]
+    return rows + [(300, None, None, None), (301, 3, "u", None), (301, 3, "u", None), (302, None, "b", "1"), (302, None, "a", "2"), (None, 1, "u", "zz"),
+                   (-7, 0, "u", "x"), (100000, 0, "a", "yy")]
+
+
+@pytest.mark.parametrize("cells,small,width,hot", [(1 << 19, 1 << 12, 32, 1 << 16), (60, 50, 4, 1 << 16), (400, 200, 8, 5)])
+def test_trie(spark, monkeypatch, cells, small, width, hot):
+    """One shard, shards of few turns on several levels, and long conversations in many rows and ranked in pieces."""
+    for name, value in (("SHARD_CELLS", cells), ("SMALL_SHARD", small), ("HOT_TURNS", hot)):
+        monkeypatch.setattr(trie, name, value)
+    table = spark.createDataFrame(talk(), "conv_id bigint, turn bigint, role string, text string").withColumn("size", F.lit("clash"))
+    turns = trie.ordered(table)
+    got = trie.nodes(trie.rebuilt(turns), width=width).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_trie(rebuilt(told(talk())))
+
+
+def test_trie_of_conversations_as_they_are(spark):
+    rows = [r for r in talk() if r[0] is not None and r[0] < 60]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = trie.nodes(trie.with_totals(trie.ordered(table)), width=16).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_trie(told(rows))
+    none = trie.nodes(trie.rebuilt(trie.ordered(table.limit(0))))
+    assert none.count() == 0
+    assert none.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
