@@ -32,6 +32,7 @@ from snapreel.operators.replace import replace_slices, write_keyed  # noqa: E402
 from snapreel.plans import daily as D  # noqa: E402
 from snapreel.plans.catalog import Catalog  # noqa: E402
 from snapreel.session import build_session, scratch_path  # noqa: E402
+from snapreel.sources import versions as VT  # noqa: E402
 
 RAW_COLUMNS = D.RAW_COLUMNS
 
@@ -129,7 +130,7 @@ def main() -> None:
     paths = build("timed")
     build_raw = time.perf_counter() - t0
 
-    raw = {s: spark.read.parquet(p).select(*RAW_COLUMNS[s]) for s, p in paths.items()}
+    raw = {s: VT.read(spark, p).select(*RAW_COLUMNS[s]) for s, p in paths.items()}
 
     timings = {}
     for name, df in bench_models(raw).items():

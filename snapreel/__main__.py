@@ -26,6 +26,7 @@ from snapreel.operators.replay import SnapshotMissingError, date_range, route_sn
 from snapreel.plans import daily as D
 from snapreel.session import build_session
 from snapreel.sources import snapshots as SN
+from snapreel.sources import versions as VT
 
 
 def _report(not_null, unique) -> int:
@@ -90,8 +91,8 @@ def main(argv=None) -> int:
         if args.marts:
             for name in D.MART_MODELS:
                 path = f"{args.marts.rstrip('/')}/{name}"
-                if SN._exists(spark, path):
-                    models[name] = spark.read.parquet(path)
+                if VT.exists(spark, path):
+                    models[name] = VT.read(spark, path)
         models.update({f"tmdb_{s}_raw": df for s, df in raw.items()})
         if args.cmd == "sql":
             D.register_views(models)

@@ -28,15 +28,17 @@ def latest_snapshot(raw_trending: DataFrame) -> DataFrame:
             .agg(F.max("snapshot_date").alias("snapshot_date")))
 
 
-def latest_trending_keys(raw_trending: DataFrame) -> DataFrame:
+def latest_trending_keys(raw_trending: DataFrame, latest_date: str | None = None) -> DataFrame:
     """Distinct (id, item media_type) of movie/tv items in the latest snapshot.
 
     Only the latest date is restricted to ``all``/``day``; every raw row of
     that date is flattened. The one-row latest date is broadcast (its size
     is one row by construction) and prunes the scan.
     """
-    latest = F.broadcast(latest_snapshot(raw_trending))
-    rows = raw_trending.join(latest, "snapshot_date")
+    if latest_date is not None:                # known from the stored partitions' names
+        rows = raw_trending.where(F.col("snapshot_date") == F.to_date(F.lit(latest_date)))
+    else:
+        rows = raw_trending.join(F.broadcast(latest_snapshot(raw_trending)), "snapshot_date")
     items = flatten(rows, outer("payload"), [], "item")
     return (items
             .select(vnum("item", "id").alias("tmdb_id"),

@@ -35,8 +35,8 @@ class Catalog:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # documents -------------------------------------------------------------
-    def trending_documents(self, envelope: str | None = None) -> DataFrame:
-        return A.trending_documents(self.table("events"), envelope=envelope or self.envelope)
+    def trending_documents(self, envelope: str | None = None, time_window: str = "day") -> DataFrame:
+        return A.trending_documents(self.table("events"), envelope=envelope or self.envelope, time_window=time_window)
 
     def details_documents(self) -> DataFrame:
         return A.details_documents(self.table("part"))

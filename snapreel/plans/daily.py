@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapreel.operators import enrich as E
+from snapreel.operators import keyindex as KI
 from snapreel.operators import quality as Q
 from snapreel.operators.ingest import ingest_trending
 from snapreel.operators.joins import broadcast_if_small, restrict_to
@@ -24,6 +25,7 @@ from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
 from snapreel.sources import snapshots as SN
+from snapreel.sources import versions as VT
 from snapreel.sources.raw_loaders import RAW_LOADERS
 from snapreel.session import stage
 from snapreel.sources.schemas import RAW_SCHEMAS
@@ -35,12 +37,9 @@ KEY = ["tmdb_id", "media_type"]
 def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
     """A raw table as declared (layout columns dropped); empty if not yet written."""
     path = f"{raw_root.rstrip('/')}/{source}"
-    # a keyed table's first write leaves a commit mark; slices of trending are committed one by one
-    if not (SN._exists if source == "trending" else SN.committed)(spark, path):
+    if not VT.exists(spark, path):
         return spark.createDataFrame([], RAW_SCHEMAS[source])
-    if source == "trending":
-        return spark.read.schema(RAW_SCHEMAS[source]).parquet(path).select(*RAW_COLUMNS[source])
-    return read_keyed(spark, path, RAW_SCHEMAS[source]).select(*RAW_COLUMNS[source])
+    return VT.read(spark, path).select(*RAW_COLUMNS[source])
 
 
 def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: str,
@@ -57,8 +56,8 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
     its marts are written leaves a record of the titles still to summarise.
     """
     if latest is None:
-        latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending")), "latest-keys")
-    existing = E.existing_keys(read_raw(spark, raw_root, source))
+        latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending"), latest_date(spark, raw_root)), "latest-keys")
+    existing = E.existing_keys(KI.loaded_keys(spark, raw_root, source))
     missing = stage(E.missing_keys(latest, existing), f"missing-{source}")
     keyed = landing.select("doc", *SN._key_cols("doc"))
     todo = stage(E.select_documents(keyed, missing).select("doc"), f"todo-{source}")
@@ -66,14 +65,10 @@ def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: s
         return missing, pending_keys(spark, pending_root, source)
     SN.write_snapshots(todo, store_root, source, skip_stored=True)   # a rerun stores only the rest
     rows = RAW_LOADERS[source](todo)
-    path = f"{raw_root.rstrip('/')}/{source}"
     keys = rows.select(*KEY).where(F.col("tmdb_id").isNotNull()).distinct()
     if pending_root:
         keys.write.mode("append").parquet(f"{pending_root.rstrip('/')}/{source}")
-    if SN.committed(spark, path):
-        upsert_keyed_table(spark, path, rows)
-    else:
-        write_keyed(rows, path)
+    KI.load(spark, raw_root, source, rows)
     if pending_root:
         return missing, pending_keys(spark, pending_root, source)
     return missing, stage(keys, f"touched-{source}")
@@ -126,24 +121,24 @@ def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_ro
     credits arrive). ``fct_trending_daily`` is partitioned by
     ``trending_date``; each fact row depends only on its own snapshot slice,
     so with ``fact_dates`` only those dates are recomputed (the filter
-    prunes the raw trending partitions) and overwritten dynamically -- the
-    same table a full rebuild gives, without rewriting the history.
+    prunes the raw trending partitions) and replaced -- the same table a full
+    rebuild gives, without rewriting the history. Both appear as published
+    versions: readers see the marts before or after a run, never in between.
     """
     root = mart_root.rstrip("/")
     out = dict(models)
     dim_path = f"{root}/dim_content"
-    models["dim_content"].write.mode("overwrite").parquet(dim_path)
-    out["dim_content"] = spark.read.parquet(dim_path)
+    VT.publish(models["dim_content"], dim_path)
+    out["dim_content"] = VT.read(spark, dim_path)
 
     fact_path = f"{root}/fct_trending_daily"
     fact = models["fct_trending_daily"]
-    mode = "static"                      # full rebuild: dates gone from raw disappear too
-    if fact_dates is not None and SN.committed(spark, fact_path):
+    replace: str | set[str] = VT.TABLE       # full rebuild: dates gone from raw disappear too
+    if fact_dates is not None and VT.exists(spark, fact_path):
         fact = fact.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in fact_dates]))
-        mode = "dynamic"                 # only the given dates are replaced
-    (fact.hint("rebalance", "trending_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", mode).partitionBy("trending_date").parquet(fact_path))
-    out["fct_trending_daily"] = spark.read.parquet(fact_path).select(*M.FACT_COLUMNS)
+        replace = {f"trending_date={d}" for d in fact_dates}      # only the given dates are replaced
+    VT.publish(fact, fact_path, ["trending_date"], replace)
+    out["fct_trending_daily"] = VT.read(spark, fact_path).select(*M.FACT_COLUMNS)
     return out
 
 
@@ -165,19 +160,18 @@ def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
     nothing. Without a table yet, or with ``dates=None``, the table is
     rebuilt from all of ``stg_trending``. Returns the table read back.
     """
-    schema = M.trending_descriptions(stg_trending).schema
-    if dates is None or not SN.committed(spark, path):
-        M.trending_descriptions(stg_trending).write.mode("overwrite").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    if dates is None or not VT.exists(spark, path):
+        VT.publish(M.trending_descriptions(stg_trending), path)
+        return VT.read(spark, path)
     day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
     new = stage(M.trending_descriptions(day), "descriptions-delta")
-    seen_all = spark.read.schema(schema).parquet(path)
+    seen_all = VT.read(spark, path)
     keys = broadcast_if_small(new.select(*M.KEY).distinct())
     # only descriptions of today's keys can match; the rest of the table is not shuffled
     seen = seen_all.join(keys, _null_safe_match(seen_all, keys, M.KEY), "left_semi")
     fresh = new.join(seen, _null_safe_match(new, seen, M.DESCRIPTION_COLUMNS), "left_anti")
-    fresh.hint("rebalance").write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    VT.publish(fresh, path, replace=VT.APPEND)
+    return VT.read(spark, path)
 
 
 SUMMARY_SOURCES = {"int_tmdb_credits_summary": "credits", "int_tmdb_genres_summary": "details"}
@@ -204,11 +198,11 @@ def refresh_summaries(spark: SparkSession, raw: dict[str, DataFrame], mart_root:
         path = f"{mart_root.rstrip('/')}/_{name}"
         keys = touched.get(source)
         full = _summary(name, raw[source])
-        if not SN.committed(spark, path):
+        if not VT.exists(spark, path):
             write_keyed(stage(full, f"summary-{source}"), path)     # buckets by the summary's own bytes
         elif keys is not None:
             upsert_keyed_table(spark, path, _summary(name, restrict_to(raw[source], keys, KEY)))
-        out[name] = read_keyed(spark, path, full.schema).drop("key_bucket")
+        out[name] = read_keyed(spark, path).drop("key_bucket")
     return out
 
 
@@ -248,14 +242,23 @@ class RawIncompleteError(RuntimeError):
     """The latest snapshot's keys are not all loaded."""
 
 
-def run_dates(spark: SparkSession, raw_trending: DataFrame, mart_root: str, run_date: str) -> list[str]:
-    """The run's date and every raw date that the stored fact does not hold (one row per day)."""
-    days = raw_trending.select(F.col("snapshot_date").alias("trending_date")).distinct()
-    path = f"{mart_root.rstrip('/')}/fct_trending_daily"
-    if SN.committed(spark, path):
-        held = spark.read.parquet(path).select(F.col("trending_date").cast("date")).distinct()
-        days = days.join(held, "trending_date", "left_anti")
-    return sorted({run_date, *(r[0].isoformat() for r in days.collect())})
+def stored_dates(spark: SparkSession, table_path: str, column: str, **fixed: str) -> set[str]:
+    """The dates a table stores (with the ``fixed`` other partition values), from partition names alone."""
+    version = VT.current(spark, table_path)
+    found = version.partitions() if version else []
+    return {p[column] for p in found if p[column] is not None and all(p[c] == v for c, v in fixed.items())}
+
+
+def run_dates(spark: SparkSession, raw_root: str, mart_root: str, run_date: str) -> list[str]:
+    """The run's date and every raw date that the stored fact does not hold."""
+    days = stored_dates(spark, f"{raw_root.rstrip('/')}/trending", "snapshot_date")
+    held = stored_dates(spark, f"{mart_root.rstrip('/')}/fct_trending_daily", "trending_date")
+    return sorted({run_date} | (days - held))
+
+
+def latest_date(spark: SparkSession, raw_root: str) -> str | None:
+    """R2 from partition names: the newest stored ``all``/``day`` snapshot."""
+    return max(stored_dates(spark, f"{raw_root.rstrip('/')}/trending", "snapshot_date", **E.DAILY_ALL), default=None)
 
 
 @dataclass
@@ -288,7 +291,7 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     routes = ingest_trending(spark, store_root, f"{raw_root.rstrip('/')}/trending", requested,
                              today or run_date, trending_landing)
     # one snapshot's keys: staged once, so its real (small) size drives the broadcasts
-    latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending")), "latest-keys")
+    latest = stage(E.latest_trending_keys(read_raw(spark, raw_root, "trending"), latest_date(spark, raw_root)), "latest-keys")
     touched = {}
     for source, landing in (("details", details_landing), ("credits", credits_landing)):
         if landing is not None:
@@ -296,10 +299,11 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
         else:
             touched[source] = pending_keys(spark, pending, source)
     raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
-    gate = stage(E.raw_complete(raw["trending"], raw["details"], raw["credits"], keys=latest), "gate")
+    loaded = {s: KI.loaded_keys(spark, raw_root, s) for s in ("details", "credits")}       # keys only, no raw history
+    gate = stage(E.raw_complete(raw["trending"], loaded["details"], loaded["credits"], keys=latest), "gate")
     if not allow_incomplete and not gate.first().raw_complete:
         raise RawIncompleteError(f"raw tables are incomplete for the latest snapshot: {gate.first().asDict()}")
-    dates = run_dates(spark, raw["trending"], mart_root, run_date)
+    dates = run_dates(spark, raw_root, mart_root, run_date)
     models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
     models.update(refresh_summaries(spark, raw, mart_root, touched))
     descriptions = update_descriptions(

@@ -176,8 +176,11 @@ def _dq_unique() -> str:
         parts.append(f"SELECT '{model}' AS model, '{','.join(cols)}' AS key_columns, "
                      f"count(*) AS failing_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS failing_rows "
                      f"FROM (SELECT {k}, count(*) AS n FROM {cte} GROUP BY {k} HAVING count(*) > 1)")
-    # a raw credits row is a title's page: the declared key holds whatever the page width
-    parts.append("SELECT 'tmdb_credits_raw', 'tmdb_id,media_type,page', 0, 0")
+    # a raw credits row is a title's run of order keys, numbered as a page: a key with two runs fails
+    parts.append("""SELECT 'tmdb_credits_raw', 'tmdb_id,media_type,page', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
+FROM (SELECT tmdb_id, media_type, page, count(DISTINCT run) AS n FROM (
+  SELECT tmdb_id, media_type, l_orderkey // 4096 AS run, dense_rank() OVER (PARTITION BY tmdb_id ORDER BY l_orderkey // 4096) AS page FROM li)
+  GROUP BY tmdb_id, media_type, page HAVING count(DISTINCT run) > 1)""")
     return (_with(EV, STG_TRENDING_ALL, *_DETAIL_MODELS, *_CREDIT_MODELS, DIM)
             + "\nUNION ALL\n".join(parts))
 
@@ -221,8 +224,8 @@ ORACLE_SQL = {
              WHERE (d.tmdb_id, d.media_type) IN (
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM det_asof)""",
     "enrich_credits": _with(EV, LATEST, DETAILS, LINES, ASOF)
-        + """SELECT tmdb_id, media_type, load_ts, count(*) AS cast_entries, TRUE AS all_pages
-             FROM li
+        + """SELECT tmdb_id, media_type, load_ts, count(*) AS cast_entries, count(DISTINCT run) = max(page) AS all_pages
+             FROM (SELECT *, l_orderkey // 4096 AS run, dense_rank() OVER (PARTITION BY tmdb_id ORDER BY l_orderkey // 4096) AS page FROM li)
              WHERE (tmdb_id, media_type) IN (
                SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM li_asof)
              GROUP BY tmdb_id, media_type, load_ts""",
@@ -271,3 +274,41 @@ FROM req r LEFT JOIN inv ON r.requested_date = inv.d""",
     "dq_not_null": _dq_not_null(),
     "dq_unique": _dq_unique(),
 }
+
+# --- the stored side ---------------------------------------------------------
+_BEFORE_LAST = "WHERE trending_date < (SELECT max(snapshot_date) FROM ev)"
+# every trending title has been fetched under its key's name, for the titles of the last two days
+_GATED = """days AS (SELECT DISTINCT snapshot_date AS d FROM ev ORDER BY d DESC LIMIT 2),
+wanted AS (SELECT DISTINCT tmdb_id, item_type AS media_type FROM ev WHERE snapshot_date IN (SELECT d FROM days) AND item_type IN ('movie', 'tv')),
+det AS (SELECT tmdb_id, media_type, 'Title ' || media_type || ' ' || tmdb_id AS title, NULL::VARCHAR AS original_title,
+  NULL::VARCHAR AS original_language, NULL::DATE AS release_date, NULL::BIGINT AS runtime, NULL::VARCHAR AS imdb_id FROM wanted),
+cs AS (SELECT tmdb_id, media_type, 'Director of ' || tmdb_id AS director_name, NULL::VARCHAR AS top_cast FROM wanted),
+gs AS (SELECT tmdb_id, media_type, NULL::VARCHAR AS genres FROM wanted),
+st AS (SELECT * FROM st_all WHERE trending_date IN (SELECT d FROM days))"""
+
+ORACLE_SQL.update({
+    "stored_replace_after_crash": ORACLE_SQL["keyed_replace"],
+    "indexed_missing_details": ORACLE_SQL["missing_keys_details"],
+    "indexed_missing_credits": ORACLE_SQL["missing_keys_credits"],
+    "missing_keys_sorted": _with(EV, LATEST, DETAILS, LINES, ASOF)
+        + """SELECT tmdb_id, media_type, row_number() OVER (ORDER BY tmdb_id, media_type) AS place FROM (
+               SELECT tmdb_id, media_type FROM lk EXCEPT SELECT tmdb_id, media_type FROM det_asof)""",
+    "latest_keys_of_mixed_snapshots": _with(EV)
+        + """SELECT DISTINCT tmdb_id, item_type AS media_type FROM ev WHERE item_type IN ('movie', 'tv')
+             AND snapshot_date = (SELECT DISTINCT snapshot_date FROM ev ORDER BY 1 DESC LIMIT 1 OFFSET 2)""",
+    "stamped_fact": _with(EV, STG_TRENDING_ALL)
+        + """SELECT trending_date + 1 AS trending_date, time_window, tmdb_id, media_type, popularity, vote_count, vote_average, load_ts FROM st""",
+    "stamped_now": _with(EV)
+        + """SELECT CAST(now() AT TIME ZONE 'UTC' AS DATE) AS trending_date, CAST(now() AT TIME ZONE 'UTC' AS DATE) AS load_date,
+             tmdb_id, value AS popularity FROM ev""",
+    "routing_today": """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events), t AS (SELECT CAST(now() AT TIME ZONE 'UTC' AS DATE) AS t)
+SELECT d AS requested_date, TRUE AS snapshot_exists, 'replay' AS action FROM d
+UNION ALL SELECT t, FALSE, 'fetch' FROM t WHERE t NOT IN (SELECT d FROM d)
+UNION ALL SELECT t + 1, FALSE, 'fail' FROM t""",
+    "redelivered_stream": _with(EV, STG_TRENDING_ALL) + _FACT,
+    "streamed_keyed_load": ORACLE_SQL["keyed_replace"],
+    "named_documents": _with(EV, STG_TRENDING_ALL) + _FACT,
+    "repaired_documents": _with(EV, STG_TRENDING_ALL) + "SELECT trending_date, tmdb_id, title || chr(65533) AS title FROM st",
+    "malformed_load": _with(EV, STG_TRENDING_ALL) + _FACT + " " + _BEFORE_LAST,
+    "gated_daily_dim": _with(EV, STG_TRENDING_ITEM.replace("st AS", "st_all AS"), _GATED, DIM) + "SELECT * FROM dim",
+})

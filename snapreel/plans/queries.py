@@ -18,22 +18,16 @@ from snapreel.operators import replay as R
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
+from snapreel.plans import storage_queries
 from snapreel.plans.catalog import Catalog
+from snapreel.plans.shapes import flat
+from snapreel.plans.storage_queries import REFETCH_DELAY_HOURS, run_cutoff
 from snapreel.session import scratch_path
 from snapreel.sources import snapshots as SN
+from snapreel.sources import versions as VT
 from snapreel.sources.raw_loaders import load_trending_raw
 from snapreel.streaming import load_once as X
 
-# Columns held as decimal(38,0) in the models; narrowed at the boundary.
-NUMBER_COLUMNS = {"tmdb_id", "vote_count", "runtime", "genre_id", "person_id", "cast_order"}
-REFETCH_DELAY_HOURS = 6  # fixed value: refetched documents are stamped run date + 6 h
-
-
-def flat(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("bigint").alias(c) if c in NUMBER_COLUMNS else F.col(c)
-                       for c in df.columns])
-
-
 def _cat(spark, sf_dir, **kw) -> Catalog:
     return Catalog(spark, sf_dir, **kw)
 
@@ -104,29 +98,23 @@ def dim_content_item(spark, sf_dir):
 
 
 # --- incremental enrichment --------------------------------------------------
-def _run_cutoff(c: Catalog):
-    """Start of the latest snapshot day: raw rows loaded before it already existed."""
-    latest = E.latest_snapshot(c.raw_trending())
-    return latest.select(F.col("snapshot_date").cast("timestamp_ntz")).scalar()
-
-
 def latest_trending_keys(spark, sf_dir):
     return flat(E.latest_trending_keys(_cat(spark, sf_dir).raw_trending()))
 
 
 def existing_details_keys(spark, sf_dir):
     c = _cat(spark, sf_dir)
-    return flat(E.existing_keys(E.as_of(c.raw_details, _run_cutoff(c))))
+    return flat(E.existing_keys(E.as_of(c.raw_details, run_cutoff(c))))
 
 
 def existing_credits_keys(spark, sf_dir):
     c = _cat(spark, sf_dir)
-    return flat(E.existing_keys(E.as_of(c.raw_credits, _run_cutoff(c))))
+    return flat(E.existing_keys(E.as_of(c.raw_credits, run_cutoff(c))))
 
 
 def _missing(c: Catalog, source: str) -> DataFrame:
     raw = c.raw_details if source == "details" else c.raw_credits
-    existing = E.existing_keys(E.as_of(raw, _run_cutoff(c)))
+    existing = E.existing_keys(E.as_of(raw, run_cutoff(c)))
     return E.missing_keys(E.latest_trending_keys(c.raw_trending()), existing)
 
 
@@ -176,7 +164,7 @@ def keyed_replace(spark, sf_dir):
     """The as-of details table upserted with refetched documents of the
     latest trending keys (stamped run date + 6 h)."""
     c = _cat(spark, sf_dir)
-    cutoff = _run_cutoff(c)
+    cutoff = run_cutoff(c)
     existing = E.as_of(c.raw_details, cutoff)
     refetched = (E.select_documents(c.raw_details, E.latest_trending_keys(c.raw_trending()))
                  .withColumn("load_ts", F.timestamp_add("HOUR", F.lit(REFETCH_DELAY_HOURS), cutoff)))
@@ -210,8 +198,7 @@ def snapshot_roundtrip(spark, sf_dir):
     for _ in range(2):
         stored = SN.scan_snapshots(spark, root, "trending")
         RP.replace_slices(load_trending_raw(stored, snapshot_date=F.col("snapshot_date")), table)
-    raw = spark.read.parquet(table)
-    return flat(_fact_from_raw(raw))
+    return flat(_fact_from_raw(VT.read(spark, table)))
 
 
 def _fact_from_raw(raw: DataFrame) -> DataFrame:
@@ -371,4 +358,5 @@ QUERIES = {
     "daily_fct_trending": daily_fct_trending,
     "daily_enriched_dim": daily_enriched_dim,
     "daily_backfill_fact": daily_backfill_fact,
+    **storage_queries.QUERIES,
 }

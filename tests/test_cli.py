@@ -5,6 +5,7 @@ import os
 import tempfile
 
 from snapreel.__main__ import main
+from snapreel.sources import versions as VT
 
 
 def _write(path, *docs):
@@ -29,7 +30,7 @@ def test_cli_daily_then_route(spark):
                "--trending-landing", f"{base}/land/trending", "--details-landing", f"{base}/land/details",
                "--credits-landing", f"{base}/land/credits", "--media-type-from", "item"])
     assert rc == 0
-    dim = spark.read.parquet(f"{base}/marts/dim_content").collect()
+    dim = VT.read(spark, f"{base}/marts/dim_content").collect()
     assert [(r.title, r.director_name, r.top_cast, r.genres) for r in dim] == [("One!", "B", "A", "Drama")]
     assert main(["route", "--store", f"{base}/store", "--from", "2024-03-02", "--to", "2024-03-02",
                  "--today", "2024-03-05"]) == 0

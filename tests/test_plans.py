@@ -12,6 +12,7 @@ from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
 from snapreel.plans.catalog import Catalog
+from snapreel.sources import versions as VT
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF")
@@ -32,7 +33,7 @@ def test_no_python_in_registered_queries(spark, name):
 def _stored_credits(spark):
     path = tempfile.mkdtemp(prefix="snapreel-plan-") + "/credits"
     write_keyed(Catalog(spark, SF_SMALL).raw_credits, path)
-    return spark.read.parquet(path).select("tmdb_id", "media_type", "payload", "load_ts")
+    return VT.read(spark, path).select("tmdb_id", "media_type", "payload", "load_ts")
 
 
 def test_credits_summary_is_one_shuffle(spark):
@@ -91,7 +92,7 @@ def test_missing_keys_filters_loaded_keys_before_shuffling(spark):
     c = Catalog(spark, SF_SMALL)
     path = tempfile.mkdtemp(prefix="snapreel-plan-") + "/details"
     write_keyed(c.raw_details, path)
-    existing = E.existing_keys(spark.read.parquet(path))
+    existing = E.existing_keys(VT.read(spark, path))
     latest = stage(E.latest_trending_keys(c.raw_trending()), "test-latest")
     plan = _plan(E.missing_keys(latest, existing))
     lines = [l.strip() for l in plan.splitlines()]

@@ -12,6 +12,7 @@ from snapreel.operators import replace as RP
 from snapreel.operators import replay as R
 from snapreel.operators.ingest import ingest_trending
 from snapreel.sources import snapshots as SN
+from snapreel.sources import versions as VT
 from snapreel.sources.raw_loaders import load_details_raw, load_trending_raw
 
 
@@ -39,7 +40,7 @@ def test_ingest_fetches_today_and_replays(spark):
     assert sorted(r.action for r in routes.collect()) == ["fetch", "replay"]
     # rerun: both dates are now stored, nothing is duplicated
     ingest_trending(spark, root, table, _dates(spark, "2024-03-01", "2024-03-02"), "2024-03-03")
-    assert spark.read.parquet(table).count() == 2
+    assert VT.read(spark, table).count() == 2
     with pytest.raises(R.SnapshotMissingError):
         ingest_trending(spark, root, table, _dates(spark, "2024-02-01"), "2024-03-03")
 
@@ -92,8 +93,8 @@ def test_upsert_keyed_table_rewrites_only_touched_buckets(spark):
     new = load_details_raw(docs(spark, keyed_env(3, "movie", {"title": "v2-3"}),
                                 keyed_env(100, "tv", {"name": "v2-100"})))
     for _ in range(2):  # idempotent
-        RP.upsert_keyed_table(spark, path, new, buckets=8)
-    t = spark.read.parquet(path).select(
+        RP.upsert_keyed_table(spark, path, new)
+    t = RP.read_keyed(spark, path).select(
         "tmdb_id", F.expr("coalesce(variant_get(payload,'$.title','string'), variant_get(payload,'$.name','string'))").alias("t"))
     got = dict((int(r.tmdb_id), r.t) for r in t.collect())
     assert len(got) == 21 and t.count() == 21
@@ -109,9 +110,9 @@ def test_bucket_count_is_recorded_and_reused(spark):
     assert RP.choose_buckets(sup) == RP.MIN_BUCKETS   # a small, well-estimated input
     RP.write_keyed(rows, path, buckets=32)           # a full rewrite replaces every bucket
     assert RP.table_buckets(spark, path) == 32
-    assert spark.read.parquet(path).select("key_bucket").distinct().count() <= 32
+    assert RP.read_keyed(spark, path).select("key_bucket").distinct().count() <= 32
     new = load_details_raw(docs(spark, keyed_env(3, "movie", {"title": "new"})))
     RP.upsert_keyed_table(spark, path, new)          # uses the recorded 32 buckets
-    t = spark.read.parquet(path)
+    t = RP.read_keyed(spark, path)
     assert t.count() == 10
     assert t.where("tmdb_id = 3").select("key_bucket").distinct().count() == 1
