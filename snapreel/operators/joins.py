@@ -9,10 +9,13 @@ under a bound; otherwise the join stays a shuffle join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60               # Spark's estimate for an input that it cannot size
 MAX_BROADCAST_ROWS = 1_000_000       # compressed files can hold many rows in few bytes
 
 
@@ -32,7 +35,7 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
 
 def input_size_bytes(df: DataFrame) -> int | None:
     """Bytes of the inputs ``df`` reads: the sum over its plan's leaf relations
-    (file sizes for scans, actual size for local data). Grounded in real
+    (file sizes for scans, actual size for local data); None when one is unknown. Grounded in real
     bytes, unlike the derived estimate, so it suits sizing a table layout."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
@@ -40,7 +43,7 @@ def input_size_bytes(df: DataFrame) -> int | None:
         while leaves.hasNext():
             size = leaves.next().stats().sizeInBytes()
             total += int(size if isinstance(size, int) else str(size))
-        return total
+        return total if total < UNKNOWN_BYTES else None
     except Exception:  # pragma: no cover
         return None
 
@@ -59,12 +62,18 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYT
     return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
+def match(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A semi or anti join on ``keys`` in which null equals null."""
+    same = reduce(lambda a, b: a & b, (F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys))
+    return left.alias("_l").join(right.alias("_r"), same, how)
+
+
 def restrict_to(big: DataFrame, small: DataFrame, keys: list[str],
                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``small``.
+    """Rows of ``big`` whose key occurs in ``small`` (nulls are a value of their own).
 
     When ``small`` passes the size check it is broadcast into a semi join,
     so ``big`` is streamed where it lies instead of being shuffled; beyond
     the bound the semi join is an ordinary shuffle join.
     """
-    return big.join(broadcast_if_small(small.select(*keys), max_bytes), keys, "left_semi")
+    return match(big, broadcast_if_small(small.select(*keys), max_bytes), keys, "left_semi")

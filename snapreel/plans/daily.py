@@ -9,6 +9,7 @@ Spark program a scheduler can call once a day. Storage layout under
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from snapreel.operators import enrich as E
 from snapreel.operators import keyindex as KI
 from snapreel.operators import quality as Q
 from snapreel.operators.ingest import ingest_trending
-from snapreel.operators.joins import broadcast_if_small, restrict_to
-from snapreel.operators.replace import read_keyed, upsert_keyed_table, write_keyed
+from snapreel.operators.joins import input_size_bytes, match, restrict_to
+from snapreel.operators.replace import (
+    MIN_BUCKETS, buckets_for, key_bucket, read_keyed, table_buckets, upsert_keyed_table, write_keyed,
+)
 from snapreel.plans import intermediate as I
 from snapreel.plans import marts as M
 from snapreel.plans import staging as S
@@ -28,18 +31,32 @@ from snapreel.sources import snapshots as SN
 from snapreel.sources import versions as VT
 from snapreel.sources.raw_loaders import RAW_LOADERS
 from snapreel.session import stage
-from snapreel.sources.schemas import RAW_SCHEMAS
+from snapreel.sources import tables as TB
+from snapreel.sources.schemas import RAW_NAMES, RAW_SCHEMAS, create_raw_tables
 
 RAW_COLUMNS = {s: [f.name for f in schema.fields] for s, schema in RAW_SCHEMAS.items()}
 KEY = ["tmdb_id", "media_type"]
 
 
-def read_raw(spark: SparkSession, raw_root: str, source: str) -> DataFrame:
-    """A raw table as declared (layout columns dropped); empty if not yet written."""
+def read_raw(spark: SparkSession, raw_root: str, source: str, database: str | None = None) -> DataFrame:
+    """A raw table as declared (layout columns dropped), by its name when ``database`` is
+    given; empty if not yet written."""
     path = f"{raw_root.rstrip('/')}/{source}"
     if not VT.exists(spark, path):
         return spark.createDataFrame([], RAW_SCHEMAS[source])
-    return VT.read(spark, path).select(*RAW_COLUMNS[source])
+    table = TB.attach(spark, path, f"{database}.{RAW_NAMES[source]}") if database else VT.read(spark, path)
+    return table.select(*RAW_COLUMNS[source])
+
+
+def default_database(mart_root: str) -> str:
+    """A schema name of a marts folder's own, for runs that are not given one."""
+    return "snapreel_" + hashlib.md5(mart_root.rstrip("/").encode()).hexdigest()[:8]
+
+
+def attach_marts(spark: SparkSession, mart_root: str, database: str) -> list[str]:
+    """The stored marts by name (S15, S17); returns the names."""
+    return [TB.attach(spark, f"{mart_root.rstrip('/')}/{m}", f"{database}.{m}") and f"{database}.{m}"
+            for m in MART_MODELS if VT.exists(spark, f"{mart_root.rstrip('/')}/{m}")]
 
 
 def enrich_source(spark: SparkSession, store_root: str, raw_root: str, source: str,
@@ -114,22 +131,26 @@ MART_MODELS = ("dim_content", "fct_trending_daily")
 
 
 def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_root: str,
-                      fact_dates: list[str] | None = None) -> dict[str, DataFrame]:
-    """Rebuild the mart tables; returns them read back from storage.
-
-    ``dim_content`` is fully rebuilt (every row can change when details or
-    credits arrive). ``fct_trending_daily`` is partitioned by
-    ``trending_date``; each fact row depends only on its own snapshot slice,
-    so with ``fact_dates`` only those dates are recomputed (the filter
-    prunes the raw trending partitions) and replaced -- the same table a full
-    rebuild gives, without rewriting the history. Both appear as published
-    versions: readers see the marts before or after a run, never in between.
+                      fact_dates: list[str] | None = None, changed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Bring the mart tables up to date; returns them read back from storage.
+
+    A ``dim_content`` row depends on its own key only. With ``changed`` (a
+    :func:`change_set`) just those keys' rows are computed and upserted by
+    bucket; without it, or on the first run, the table is rebuilt. Likewise
+    ``fct_trending_daily`` is partitioned by ``trending_date``, and with
+    ``fact_dates`` only those dates are recomputed (the filter prunes the raw
+    trending partitions) and replaced. Both give the tables of a full rebuild
+    without rewriting the history, and appear as published versions: readers
+    see the marts before or after a run, never in between.
     """
     root = mart_root.rstrip("/")
     out = dict(models)
     dim_path = f"{root}/dim_content"
-    VT.publish(models["dim_content"], dim_path)
-    out["dim_content"] = VT.read(spark, dim_path)
+    if changed is not None and VT.exists(spark, dim_path):
+        upsert_keyed_table(spark, dim_path, models["dim_content"])
+    else:
+        write_keyed(models["dim_content"], dim_path)
+    out["dim_content"] = read_keyed(spark, dim_path).drop("key_bucket")
 
     fact_path = f"{root}/fct_trending_daily"
     fact = models["fct_trending_daily"]
@@ -142,68 +163,99 @@ def materialize_marts(spark: SparkSession, models: dict[str, DataFrame], mart_ro
     return out
 
 
-def _null_safe_match(left: DataFrame, right: DataFrame, cols: list[str]):
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+# --- the inputs of dim_content, stored alike -------------------------------------
+# Keyed models that depend on one source's rows of their own title.
+KEYED_INPUTS = {"stg_tmdb_details": "details", "int_tmdb_credits_summary": "credits", "int_tmdb_genres_summary": "details"}
+
+
+def _keyed_input(name: str, raw: DataFrame) -> DataFrame:
+    if name == "int_tmdb_credits_summary":
+        return I.credits_summary_from_raw(raw)
+    if name == "int_tmdb_genres_summary":
+        return I.genres_summary(S.stg_details_genres(raw))
+    return S.stg_details(raw)
+
+
+def input_paths(mart_root: str, media_type_from: str) -> dict[str, str]:
+    root = mart_root.rstrip("/")
+    return {**{name: f"{root}/_{name}" for name in KEYED_INPUTS},
+            "trending_descriptions": f"{root}/_trending_descriptions_{media_type_from}"}
 
 
-def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame,
-                        dates: list[str] | None = None) -> DataFrame:
-    """Maintain the distinct trending descriptions incrementally.
+def update_descriptions(spark: SparkSession, path: str, stg_trending: DataFrame, dates: list[str] | None = None,
+                        buckets: int | None = None) -> DataFrame:
+    """Maintain the distinct trending descriptions incrementally; returns the rows a run added.
 
     Snapshots are immutable, so a date's descriptions never change once
     stored: each run adds only the descriptions of its own dates that were
     never seen (matched null-safely on all six columns), and a rerun adds
     nothing. Without a table yet, or with ``dates=None``, the table is
-    rebuilt from all of ``stg_trending``. Returns the table read back.
+    rebuilt from all of ``stg_trending``.
     """
     if dates is None or not VT.exists(spark, path):
-        VT.publish(M.trending_descriptions(stg_trending), path)
-        return VT.read(spark, path)
+        rows = stage(M.trending_descriptions(stg_trending), "descriptions")
+        write_keyed(rows, path, buckets, clustered=True)
+        return rows
     day = stg_trending.where(F.col("trending_date").isin([F.to_date(F.lit(d)) for d in dates]))
     new = stage(M.trending_descriptions(day), "descriptions-delta")
-    seen_all = VT.read(spark, path)
-    keys = broadcast_if_small(new.select(*M.KEY).distinct())
-    # only descriptions of today's keys can match; the rest of the table is not shuffled
-    seen = seen_all.join(keys, _null_safe_match(seen_all, keys, M.KEY), "left_semi")
-    fresh = new.join(seen, _null_safe_match(new, seen, M.DESCRIPTION_COLUMNS), "left_anti")
-    VT.publish(fresh, path, replace=VT.APPEND)
-    return VT.read(spark, path)
-
-
-SUMMARY_SOURCES = {"int_tmdb_credits_summary": "credits", "int_tmdb_genres_summary": "details"}
-
-
-def _summary(name: str, raw: DataFrame) -> DataFrame:
-    if name == "int_tmdb_credits_summary":
-        return I.credits_summary_from_raw(raw)
-    return I.genres_summary(S.stg_details_genres(raw))
-
-
-def refresh_summaries(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
-                      touched: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
-    """Keep M6/M7 as key-bucketed tables, recomputing only touched keys.
-
-    A key's summary depends only on its own raw rows, and a run adds or
-    replaces raw rows of the keys it loaded: those keys' rows are taken
-    from the raw table (size-checked broadcast semi join), summarised and
-    upserted; every other key's summary is untouched. Without a table yet
-    the summary is built in full. Returns the tables read back.
+    version = VT.current(spark, path)
+    kb = key_bucket(table_buckets(spark, path), clustered=True)
+    # only descriptions of the run's keys can match; of the stored ones, only their buckets are read
+    hit = {f"key_bucket={r[0]}" for r in new.select(kb.alias("b")).distinct().collect()}
+    seen = restrict_to(VT.read(spark, path, version, hit), new.select(*M.KEY).distinct(), M.KEY)
+    fresh = stage(match(new, seen, M.DESCRIPTION_COLUMNS, "left_anti"), "descriptions-fresh")
+    if fresh.first() is not None:
+        VT.publish(fresh.withColumn("key_bucket", kb), path, ["key_bucket"], VT.APPEND)
+    return fresh
+
+
+def refresh_inputs(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str, touched: dict[str, DataFrame | None],
+                   stg_trending: DataFrame, dates: list[str] | None, media_type_from: str) -> tuple[dict[str, str], DataFrame]:
+    """Bring the four inputs of ``dim_content`` up to date; returns their folders and the descriptions added.
+
+    Descriptions, details and the two summaries are keyed tables clustered
+    alike: one bucket count, Spark's bucket layout. A key's rows depend only on
+    its own raw rows, and a run adds or replaces raw rows of the titles it
+    loaded: those are taken from the raw table (size-checked broadcast semi
+    join), computed and upserted; every other key is untouched. Tables that do
+    not exist are built in full. When one has outgrown its buckets fourfold (or a
+    run died while doing this), all are written with the larger count.
     """
-    out = {}
-    for name, source in SUMMARY_SOURCES.items():
-        path = f"{mart_root.rstrip('/')}/_{name}"
-        keys = touched.get(source)
-        full = _summary(name, raw[source])
-        if not VT.exists(spark, path):
-            write_keyed(stage(full, f"summary-{source}"), path)     # buckets by the summary's own bytes
-        elif keys is not None:
-            upsert_keyed_table(spark, path, _summary(name, restrict_to(raw[source], keys, KEY)))
-        out[name] = read_keyed(spark, path).drop("key_bucket")
-    return out
+    paths = input_paths(mart_root, media_type_from)
+    held = {n: table_buckets(spark, p) for n, p in paths.items() if VT.exists(spark, p)}
+    built = {n: stage(_keyed_input(n, raw[s]), f"input-{n}") for n, s in KEYED_INPUTS.items() if n not in held}
+    sizes = [input_size_bytes(df) or 0 for df in [*built.values(), *(read_keyed(spark, paths[n]) for n in held)]]
+    want, have = max(map(buckets_for, sizes), default=MIN_BUCKETS), max(held.values(), default=0)
+    buckets = want if want >= 4 * have else have
+    for name, count in held.items():
+        if count != buckets:
+            write_keyed(read_keyed(spark, paths[name]).drop("key_bucket"), paths[name], buckets, clustered=True)
+    for name, source in KEYED_INPUTS.items():
+        if name in built:
+            write_keyed(built[name], paths[name], buckets, clustered=True)
+        elif touched.get(source) is not None:
+            upsert_keyed_table(spark, paths[name], _keyed_input(name, restrict_to(raw[source], touched[source], KEY)))
+    return paths, update_descriptions(spark, paths["trending_descriptions"], stg_trending, dates, buckets)
+
+
+def named_inputs(spark: SparkSession, paths: dict[str, str], database: str) -> dict[str, DataFrame]:
+    """The inputs by name: bucketed tables, so that joining them on the title needs no exchange."""
+    return {name: TB.attach(spark, path, f"{database}.{name}") for name, path in paths.items()}
+
+
+def dim_from_inputs(inputs: dict[str, DataFrame]) -> DataFrame:
+    return M.dim_from_descriptions(inputs["trending_descriptions"], inputs["stg_tmdb_details"],
+                                   inputs["int_tmdb_credits_summary"], inputs["int_tmdb_genres_summary"])
+
+
+def change_set(fresh: DataFrame, touched: dict[str, DataFrame | None]) -> DataFrame:
+    """The titles whose ``dim_content`` rows a run can have changed: those it loaded
+    details or credits for, and those with a description never seen before."""
+    keys = fresh.select(*KEY)
+    for loaded in touched.values():
+        if loaded is not None:
+            keys = keys.unionByName(loaded.select(*KEY))
+    return stage(keys.distinct(), "changed-titles")
 
 
 # Models whose rows come from one trending date, and keyed models by source.
@@ -276,7 +328,7 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
               details_landing: DataFrame | None = None,
               credits_landing: DataFrame | None = None,
               media_type_from: str = "envelope", scoped_checks: bool = False,
-              allow_incomplete: bool = False) -> DailyResult:
+              allow_incomplete: bool = False, database: str | None = None) -> DailyResult:
     """One daily run. Landing frames carry freshly fetched envelopes (``doc``).
 
     Checks cover every stored row, or with ``scoped_checks`` only what the run
@@ -284,8 +336,11 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     its details or credits (R11); ``allow_incomplete`` builds them all the same.
     Dates in the raw table that the stored fact lacks (late snapshots) are
     added to the run's own date, and titles that an earlier run loaded without
-    reaching its marts are summarised now.
+    reaching its marts are summarised now. Raw tables, the inputs of the
+    dimension and the marts are read by their names in ``database``.
     """
+    database = database or default_database(mart_root)
+    create_raw_tables(spark, database, location=raw_root)
     pending = f"{mart_root.rstrip('/')}/_pending"
     requested = spark.range(1).select(F.to_date(F.lit(run_date)).alias("snapshot_date"))
     routes = ingest_trending(spark, store_root, f"{raw_root.rstrip('/')}/trending", requested,
@@ -298,21 +353,26 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
             touched[source] = enrich_source(spark, store_root, raw_root, source, landing, latest, pending)[1]
         else:
             touched[source] = pending_keys(spark, pending, source)
-    raw = {s: read_raw(spark, raw_root, s) for s in RAW_SCHEMAS}
+    raw = {s: read_raw(spark, raw_root, s, database) for s in RAW_SCHEMAS}
     loaded = {s: KI.loaded_keys(spark, raw_root, s) for s in ("details", "credits")}       # keys only, no raw history
     gate = stage(E.raw_complete(raw["trending"], loaded["details"], loaded["credits"], keys=latest), "gate")
     if not allow_incomplete and not gate.first().raw_complete:
         raise RawIncompleteError(f"raw tables are incomplete for the latest snapshot: {gate.first().asDict()}")
     dates = run_dates(spark, raw_root, mart_root, run_date)
     models = build_models(raw["trending"], raw["details"], raw["credits"], media_type_from)
-    models.update(refresh_summaries(spark, raw, mart_root, touched))
-    descriptions = update_descriptions(
-        spark, f"{mart_root.rstrip('/')}/_trending_descriptions_{media_type_from}",
-        models["stg_tmdb_trending"], dates=dates)
-    models["dim_content"] = M.dim_from_descriptions(
-        descriptions, models["stg_tmdb_details"], models["int_tmdb_credits_summary"],
-        models["int_tmdb_genres_summary"])
-    models = materialize_marts(spark, models, mart_root, fact_dates=dates)
+    # after a run that died between its inputs and its marts the dimension is rebuilt: its change set is lost
+    started = f"{pending}/dim_content"
+    rebuild = SN._exists(spark, started)
+    spark.range(1).write.mode("overwrite").parquet(started)
+    paths, fresh = refresh_inputs(spark, raw, mart_root, touched, models["stg_tmdb_trending"], dates, media_type_from)
+    inputs = named_inputs(spark, paths, database)
+    models.update({n: inputs[n] for n in KEYED_INPUTS})
+    changed = None if rebuild else change_set(fresh, touched)
+    if changed is not None and VT.exists(spark, f"{mart_root.rstrip('/')}/dim_content"):
+        inputs = {n: restrict_to(df, changed, KEY) for n, df in inputs.items()}
+    models["dim_content"] = dim_from_inputs(inputs)
+    models = materialize_marts(spark, models, mart_root, fact_dates=dates, changed=changed)
+    attach_marts(spark, mart_root, database)
     clear_pending(spark, pending)
     checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
                "tmdb_credits_raw": raw["credits"].drop("payload")}

@@ -36,6 +36,7 @@ CREDITS_RAW = T.StructType(list(DETAILS_RAW.fields) + [
     T.StructField("pages", T.DecimalType(38, 0)),
 ])
 
+RAW_NAMES = {"trending": "tmdb_trending_raw", "details": "tmdb_details_raw", "credits": "tmdb_credits_raw"}   # fixed values
 RAW_SCHEMAS = {"trending": TRENDING_RAW, "details": DETAILS_RAW, "credits": CREDITS_RAW}
 
 
@@ -43,27 +44,24 @@ def empty_raw(spark: SparkSession, source: str) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMAS[source])
 
 
-def create_raw_tables(spark: SparkSession, database: str = "raw",
-                      replace: bool = False, location: str | None = None) -> list[str]:
-    """``CREATE SCHEMA IF NOT EXISTS`` plus the three raw tables.
+def create_raw_tables(spark: SparkSession, database: str = "raw", replace: bool = False, location: str | None = None) -> list[str]:
+    """``CREATE SCHEMA IF NOT EXISTS`` and the three raw tables, by name.
 
-    Existing tables are kept unless ``replace=True`` (which drops their data).
-    ``location`` places the schema's folder (default: the warehouse dir).
-    Returns the qualified table names.
+    The tables are external ones over the folders under ``location`` (default:
+    the warehouse), the same that the daily job loads. A folder without a table
+    gets an empty one; stored rows are kept unless ``replace=True``, which
+    publishes an empty version over them. Returns the qualified names.
     """
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}{where}")
-    names = []
-    for source, schema in RAW_SCHEMAS.items():
-        name = f"{database}.tmdb_{source}_raw"
-        exists = spark.catalog.tableExists(name)
-        if exists and not replace:
-            names.append(name)
-            continue
-        mode = "overwrite" if exists else "errorifexists"
-        writer = spark.createDataFrame([], schema).write.mode(mode).format("parquet")
-        if source == "trending":
-            writer = writer.partitionBy(*SLICE_KEY)
-        writer.saveAsTable(name)
-        names.append(name)
-    return names
+    from snapreel.operators.replace import write_keyed
+    from snapreel.sources import tables as TB
+    from snapreel.sources import versions as VT
+    root = (location or f"{spark.conf.get('spark.sql.warehouse.dir')}/{database}").rstrip("/")
+    for source, name in RAW_NAMES.items():
+        path = f"{root}/{source}"
+        if replace or not VT.exists(spark, path):
+            if source == "trending":
+                VT.publish(empty_raw(spark, source), path, SLICE_KEY)
+            else:
+                write_keyed(empty_raw(spark, source), path)
+        TB.attach(spark, path, f"{database}.{name}")
+    return [f"{database}.{name}" for name in RAW_NAMES.values()]
