@@ -101,6 +101,7 @@ def bench_models(raw: dict) -> dict:
                                                E.existing_keys(raw["details"])),
         "dq_not_null": Q.run_not_null(checked),
         "dq_unique": Q.run_unique(checked),
+        "dq_all": Q.run_checks(checked, raw["details"], raw["credits"]),
     }
 
 

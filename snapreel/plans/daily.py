@@ -374,8 +374,9 @@ def run_daily(spark: SparkSession, store_root: str, raw_root: str, mart_root: st
     models = materialize_marts(spark, models, mart_root, fact_dates=dates, changed=changed)
     attach_marts(spark, mart_root, database)
     clear_pending(spark, pending)
-    checked = {**models, "tmdb_details_raw": raw["details"].drop("payload"),
-               "tmdb_credits_raw": raw["credits"].drop("payload")}
     if scoped_checks:
-        checked = scope_checks(checked, dates, touched)
-    return DailyResult(routes, gate, Q.run_not_null(checked), Q.run_unique(checked), models)
+        checked = scope_checks({**models, "tmdb_details_raw": raw["details"].drop("payload"),
+                                "tmdb_credits_raw": raw["credits"].drop("payload")}, dates, touched)
+        return DailyResult(routes, gate, Q.run_not_null(checked), Q.run_unique(checked), models)
+    checks = stage(Q.run_checks(models, raw["details"], raw["credits"]), "checks")       # a few rows: every source is read once
+    return DailyResult(routes, gate, Q.checked_not_null(checks), Q.checked_unique(checks), models)

@@ -286,8 +286,21 @@ cs AS (SELECT tmdb_id, media_type, 'Director of ' || tmdb_id AS director_name, N
 gs AS (SELECT tmdb_id, media_type, NULL::VARCHAR AS genres FROM wanted),
 st AS (SELECT * FROM st_all WHERE trending_date IN (SELECT d FROM days))"""
 
+def _dq_all() -> str:
+    ctes = [EV, STG_TRENDING_ALL, *_DETAIL_MODELS, *_CREDIT_MODELS, DIM]
+    return (_with(*ctes, f"nn AS ({_dq_not_null().split(_with(*ctes))[1]})", f"uq AS ({_dq_unique().split(_with(*ctes))[1]})")
+            + """SELECT 'not_null' AS "check", model, column_name AS columns, 0 AS failing_groups, failing_rows FROM nn
+UNION ALL SELECT 'unique', model, key_columns, failing_groups, failing_rows FROM uq""")
+
+
 ORACLE_SQL.update({
+    "dq_all": _dq_all(),
     "stored_replace_after_crash": ORACLE_SQL["keyed_replace"],
+    "raw_tables_by_name": _with(EV, DETAILS, LINES)
+        + """SELECT d.tmdb_id, d.media_type, d.load_ts, c.pages, (SELECT count(DISTINCT snapshot_date) FROM ev) AS days
+             FROM det d LEFT JOIN (SELECT tmdb_id, media_type, count(DISTINCT l_orderkey // 4096) AS pages FROM li GROUP BY ALL) c
+             ON c.tmdb_id = d.tmdb_id AND c.media_type = d.media_type""",
+    "copartitioned_dim": _dim(STG_TRENDING_ITEM),
     "indexed_missing_details": ORACLE_SQL["missing_keys_details"],
     "indexed_missing_credits": ORACLE_SQL["missing_keys_credits"],
     "missing_keys_sorted": _with(EV, LATEST, DETAILS, LINES, ASOF)

@@ -322,6 +322,12 @@ def dq_unique(spark, sf_dir):
     return Q.run_unique(_cat(spark, sf_dir).models())
 
 
+def dq_all(spark, sf_dir):
+    """D1-D3 in one pass per source: all declared checks."""
+    c = _cat(spark, sf_dir)
+    return Q.run_checks(c.models(), c.raw_details, c.raw_credits)
+
+
 QUERIES = {
     "fct_trending_daily": fct_trending_daily,
     "stg_trending": stg_trending,
@@ -354,6 +360,7 @@ QUERIES = {
     "load_once_stream": load_once_stream,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
+    "dq_all": dq_all,
     "daily_dim_content": daily_dim_content,
     "daily_fct_trending": daily_fct_trending,
     "daily_enriched_dim": daily_enriched_dim,

@@ -7,6 +7,7 @@ that die included -- and returns what a reader then finds.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException, StreamingQueryException
@@ -30,6 +31,7 @@ from snapreel.sources import envelopes as EN
 from snapreel.sources import snapshots as SN
 from snapreel.sources import versions as VT
 from snapreel.sources.raw_loaders import load_trending_raw
+from snapreel.sources.schemas import create_raw_tables
 from snapreel.streaming import keyed_load as KL
 from snapreel.streaming import load_once as X
 
@@ -74,6 +76,38 @@ def stored_replace_after_crash(spark, sf_dir):
     return _titled(RP.read_keyed(spark, path))
 
 
+# --- tables by name (S14, S15) ----------------------------------------------------
+def raw_tables_by_name(spark, sf_dir):
+    """The raw tables are declared, loaded by the job's writers and read by name in SQL."""
+    c = Catalog(spark, sf_dir)
+    root, database = scratch_path(spark, "raw-named"), "raw_" + uuid.uuid4().hex[:8]
+    create_raw_tables(spark, database, location=root)
+    RP.replace_slices(c.raw_trending(), f"{root}/trending")
+    KI.load(spark, root, "details", c.raw_details)
+    KI.load(spark, root, "credits", c.raw_credits)
+    trending, details, credits = create_raw_tables(spark, database, location=root)
+    return spark.sql(f"""
+        SELECT CAST(d.tmdb_id AS BIGINT) AS tmdb_id, d.media_type, d.load_ts, c.pages,
+               (SELECT count(DISTINCT snapshot_date) FROM {trending} WHERE media_type = 'all') AS days
+        FROM {details} d
+        LEFT JOIN (SELECT tmdb_id, media_type, count(*) AS pages FROM {credits} GROUP BY ALL) c
+          ON c.tmdb_id = d.tmdb_id AND c.media_type = d.media_type""")
+
+
+def copartitioned_dim(spark, sf_dir):
+    """Descriptions, details and summaries are stored clustered alike, upserted once, and joined by name."""
+    c = Catalog(spark, sf_dir)
+    marts, database = scratch_path(spark, "marts-clustered"), "marts_" + uuid.uuid4().hex[:8]
+    raw = {"details": c.raw_details, "credits": c.raw_credits}
+    st, even = c.stg_trending(media_type_from="item"), F.col("tmdb_id") % 2 == 0
+    early = {s: df.where(even) for s, df in raw.items()}
+    D.refresh_inputs(spark, early, marts, {}, st, None, "item")
+    loaded = {s: stage(df.where(~even).select(*E.KEY).distinct(), f"loaded-{s}") for s, df in raw.items()}
+    days = [r[0].isoformat() for r in st.select("trending_date").distinct().collect()]
+    paths, _ = D.refresh_inputs(spark, raw, marts, loaded, st, days, "item")
+    return flat(D.dim_from_inputs(D.named_inputs(spark, paths, database)))
+
+
 # --- key index (R4-R6, J8) -------------------------------------------------------
 def _indexed_missing(spark, sf_dir, source):
     """The as-of documents come in two loads; what the latest keys lack is found in the key index alone."""
@@ -260,5 +294,5 @@ def gated_daily_dim(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    stored_replace_after_crash, indexed_missing_details, indexed_missing_credits, missing_keys_sorted, latest_keys_of_mixed_snapshots,
+    stored_replace_after_crash, raw_tables_by_name, copartitioned_dim, indexed_missing_details, indexed_missing_credits, missing_keys_sorted, latest_keys_of_mixed_snapshots,
     redelivered_stream, streamed_keyed_load, stamped_fact, stamped_now, routing_today, named_documents, repaired_documents, malformed_load, gated_daily_dim)}

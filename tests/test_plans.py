@@ -17,7 +17,9 @@ from snapreel.sources import versions as VT
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF")
 SIDE_EFFECT_QUERIES = {"snapshot_roundtrip", "load_once_stream", "daily_dim_content", "daily_fct_trending",
-                       "daily_enriched_dim", "daily_backfill_fact"}
+                       "daily_enriched_dim", "daily_backfill_fact", "stored_replace_after_crash", "raw_tables_by_name",
+                       "copartitioned_dim", "indexed_missing_details", "indexed_missing_credits", "redelivered_stream",
+                       "streamed_keyed_load", "malformed_load", "gated_daily_dim", "named_documents", "repaired_documents", "stamped_fact"}
 
 
 def _plan(df) -> str:

@@ -28,3 +28,28 @@ def test_scale_conf_widths():
     conf = scale_conf(10 * 1024 ** 4, total_cores=8000)   # 10 TiB largest exchange
     assert int(conf["spark.sql.shuffle.partitions"]) == 40960
     assert int(scale_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_one_pass_checks_equal_the_single_ones(spark):
+    """Planted faults in every source: nulls, repeated titles, genres and pages."""
+    from samples import docs, keyed_env, trending_env
+    from snapreel.plans.daily import build_models
+    from snapreel.session import stage
+    from snapreel.sources.raw_loaders import load_credits_raw, load_details_raw, load_trending_raw
+    trending = load_trending_raw(docs(spark, trending_env([{"id": 1, "title": "A"}, {"id": None}, {"name": "B", "media_type": "movie"}])))
+    genres = [{"id": 1, "name": "Drama"}, {"id": 1, "name": None}, {"id": None, "name": "War"}, {"id": None}]
+    details = load_details_raw(docs(spark, keyed_env(1, "movie", {"title": "A", "genres": genres}), keyed_env(1, "movie", {"title": "B"}),
+                                    keyed_env(None, "tv", {"genres": [{"id": 2}]}), keyed_env(2, None, {"genres": []})))
+    people = {"cast": [{"id": 1, "name": "P"}, {"name": "Q"}, {"id": 2}], "crew": [{"id": 1, "name": "P", "job": "Director"}, {"id": None}]}
+    credits = load_credits_raw(docs(spark, keyed_env(1, "movie", people), keyed_env(1, "movie", people), {**keyed_env(1, "movie", people), "page": 2},
+                                    keyed_env(None, "tv", people), keyed_env(3, "tv", {"crew": "none"}), keyed_env(4, "tv", {})))
+    raw = {s: stage(df, s) for s, df in (("trending", trending), ("details", details), ("credits", credits))}
+    models = build_models(raw["trending"], raw["details"], raw["credits"], "item")
+    models.update({"tmdb_details_raw": raw["details"], "tmdb_credits_raw": raw["credits"]})
+    checks = Q.run_checks(models, raw["details"], raw["credits"])
+    told = lambda df: sorted(map(tuple, df.collect()))
+    assert told(Q.checked_not_null(checks)) == told(Q.run_not_null(models))
+    assert told(Q.checked_unique(checks).select(*Q.run_unique(models).columns)) == told(Q.run_unique(models))
+    assert sum(n for *_, n in told(Q.checked_not_null(checks))) > 15
+    plan = Q.credits_checks(raw["credits"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
