@@ -114,8 +114,13 @@ def hits(docs: DataFrame, items: DataFrame, keys: list[str], item_id: str = "ite
     side, lengths, few = benchmark_side(items, item_id, item_text)
     side = F.broadcast(side) if few else side
     reach = SPAN - K
-    met = _winnowed(docs, keys).join(side, ["length", "hash"]).withColumn("at", _place())
-    met = met.select(*keys, "item_id", "length", "at", "item_context", _context(F.col("at")).alias("doc_context"))
+    spread = _winnowed(docs, keys)
+    if not few:       # shuffled: a fingerprint takes its place and ten numbers along, never its document's hashes
+        spread = spread.withColumn("at", _place()).select(*keys, "length", "hash", "at", _context(F.col("at")).alias("doc_context"))
+    met = spread.join(side, ["length", "hash"])
+    if few:           # in place: both are worked out for what has met only
+        met = met.withColumn("at", _place()).withColumn("doc_context", _context(F.col("at")))
+    met = met.select(*keys, "item_id", "length", "at", "item_context", "doc_context")
     if lengths:
         short = _short(docs, lengths, keys).join(side, ["length", "hash"])
         met = met.union(short.select(*keys, "item_id", "length", "at", "item_context", F.lit(None).cast("array<bigint>")))
