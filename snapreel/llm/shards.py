@@ -8,8 +8,9 @@ mixture (each source's count in a shard is within one row or so of its share)
 and whose row counts differ by one at most.
 
 Neither ranking gathers a source, or the table, in one task: both orders are
-cut into ``buckets`` even pieces (hash ranges, then fraction ranges), pieces
-are ranked apart and start at the running sums of the pieces' counts.
+cut into even pieces (Spark's range partitions of the whole order, so that equal
+shares, a large source or a row that is repeated many times are cut as well),
+pieces are ranked apart and start at the running sums of the pieces' counts.
 
 Defined cases: a null or empty source is a source of its own; a null text has
 no bytes; repeated rows are kept, each with its own slot; an empty table gives
@@ -24,12 +25,12 @@ from pyspark.sql import functions as F
 from snapreel.llm.common import rank_in_buckets, staged
 
 HASH_BITS = 60          # hex digits 1-15 of an md5
-BUCKET_BITS = 12        # 4096 pieces a ranking; a piece of 30 billion rows has 7 million
+PIECE_ROWS = 1 << 20    # rows of a piece, about; a small table has a piece for each of the session's partitions
 ROW_BYTES = 16          # added to a text's bytes in ``size``
 
 
 def interleave(docs: DataFrame, n_shards: int = 40, seed: int = 7, id_col: str = "doc_id",
-               source_col: str = "source", text_col: str = "text", bucket_bits: int = BUCKET_BITS) -> DataFrame:
+               source_col: str = "source", text_col: str = "text", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """One row per row of ``docs``: id, source, ``size``, ``text_crc32``, ``shard``, ``slot``."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     crc = F.crc32(text)
@@ -38,14 +39,18 @@ def interleave(docs: DataFrame, n_shards: int = 40, seed: int = 7, id_col: str =
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"), crc.alias("text_crc32"),
         F.conv(F.substring(mix, 1, HASH_BITS // 4), 16, 10).cast("bigint").alias("mix")), "shard-rows")
-    rows = rows.withColumn("piece", F.shiftright("mix", HASH_BITS - bucket_bits))
-    order = ["mix", "doc_id", "text_crc32"]
-    ranked = rank_in_buckets(rows, ["source"], "piece", [F.col(c) for c in order], "rank", total="n_source")
+    rows = rows.withColumn("copy", F.monotonically_increasing_id())          # of a stored table: parts repeated rows
+    pieces = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // piece_rows))
+    order = ["mix", "doc_id", "text_crc32", "copy"]
+
+    def cut(frame, by, name):
+        return staged(frame.repartitionByRange(pieces, *by).withColumn("piece", F.spark_partition_id()), name)
+
+    ranked = rank_in_buckets(cut(rows, ["source", *order], "shard-ranks"), ["source"], "piece", [F.col(c) for c in order], "rank", total="n_source")
     share = (F.col("rank") + F.lit(0.5)) / F.col("n_source")
-    placed = staged(ranked.drop("piece").withColumn("share", share)
-                    .withColumn("piece", F.floor(F.col("share") * (1 << bucket_bits))), "shard-shares")
-    whole = rank_in_buckets(placed, [], "piece", [F.col("share"), F.col("source"), *[F.col(c) for c in order]],
-                            "place", total="n_rows")
+    by = ["share", "source", *order]
+    placed = cut(ranked.drop("piece").withColumn("share", share), by, "shard-shares")
+    whole = rank_in_buckets(placed, [], "piece", [F.col(c) for c in by], "place", total="n_rows")
     shard = F.expr(f"(place * {n_shards}) div n_rows")
     first = F.expr(f"(shard * n_rows + {n_shards - 1}) div {n_shards}")
     return (whole.withColumn("shard", shard).withColumn("slot", F.col("place") - first)
