@@ -23,7 +23,8 @@ alphabet to replace (``--@--.--``) is no entity.
 
 Defined cases: a null or empty text stays; repeated rows are rewritten alike;
 texts of any length are read whole; an empty table gives no rows; all columns
-are kept, and names starting with ``_pii_`` are the operator's own.
+are kept, and names starting with ``_pii_`` are the operator's own. The key is
+the caller's secret: whoever has it can undo the permutations.
 """
 
 import hashlib
@@ -35,11 +36,11 @@ from pyspark.sql import functions as F
 
 from snapreel.llm.common import staged
 
-KEY = b"replace this key"
 ROUNDS, WIDEN, FULL = 4, 8, 50
+NATIONAL = 11           # digits of a phone number without a country code at most
 
 # Patterns, titles and given names by gender and script.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 NUMBERS = re.compile(
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
@@ -79,6 +80,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 form = ".".join(str(int(x)) for x in s.split("."))
             else:
                 form = "".join(c for c in s if c.isalnum())
+                if kind == "phone" and s[0] not in "+(" and len(form) > NATIONAL:
+                    continue                       # 1234-5678-9012: an order or a row of numbers
                 if kind == "phone" and s.startswith("+"):
                     form = "+" + re.match(r"\+(\d{1,3})", s)[1] + "|" + form[len(re.match(r"\+(\d{1,3})", s)[1]):]
             found.append((m.start(), m.end(), kind, form))
@@ -165,7 +168,7 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def surrogate(kind: str, form: str, tweak: int, key: bytes = KEY) -> str:
+def surrogate(kind: str, form: str, tweak: int, key: bytes) -> str:
     """The canonical form that stands for ``form``."""
     label = f"{kind}|{tweak}"
     more = 1 + (tweak - WIDEN) // 4 if tweak >= WIDEN else 0           # letters that widen a format
@@ -211,7 +214,7 @@ def render(mention: str, kind: str, new: str) -> str:
     return new
 
 
-def entities(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataFrame:
+def entities(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``kind, form, surrogate, tweak`` of every distinct entity, free of collisions."""
     def detect(batches):
         for batch in batches:
@@ -245,7 +248,7 @@ def entities(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataF
         state = judged.withColumn("tweak", F.col("tweak") + F.col("taken").cast("int"))
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in its text and ``_pii_found``, the number of mentions."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     tweaked = entities(docs, key, text_col).where(F.col("tweak") > 0).select("kind", "form", "tweak")

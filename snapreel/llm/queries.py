@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,9 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    given = spark.conf.get("spark.snapreel.pii.key", "")          # without a key of the session's, one that nobody learns
+    key = given.encode() if given else secrets.token_bytes(32)
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     return out.select("doc_id", F.col("_pii_found").alias("n_entities"), "text")
 
 

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from snapreel.llm import ann, decontam, labelled, linedup, neardup, packing, pii, quality, shards, tokenfile, toxicity
 from snapreel.session import scratch_path
 
+KEY = b"a test's key"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard int, score double, start string, mark int"
 WORDS = ["alpha", "beta", "Gamma", "delta", "épsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu", "nu", "xi", "omicron"]
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -123,16 +124,16 @@ def test_near_duplicates_of_a_large_group_in_chunks(spark, monkeypatch):
 
 
 def test_pii(spark, docs, none):
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, KEY)
     assert out.columns == [*docs.columns, "_pii_found"]
     rows = out.collect()
     assert len(rows) == len(corpus()) and not any("a.b@c.example.org" in (r.text or "") for r in rows)
     assert sum(r._pii_found for r in rows) == 1
     plain = sorted(str(r.text) for r in rows if not r._pii_found)
     assert plain == sorted(str(r[1]) for r in corpus() if "@" not in text_of(r))
-    assert pii.pseudonymise(none).count() == 0
+    assert pii.pseudonymise(none, KEY).count() == 0
     many = spark.createDataFrame([(k, f"u{k % 40}@ex.com and 10.0.{k % 7}.1") for k in range(80)], "doc_id bigint, text string")
-    found = pii.entities(many).collect()
+    found = pii.entities(many, KEY).collect()
     assert len(found) == 47 and len({(r.kind, r.surrogate) for r in found}) == 47
     assert not {r.surrogate for r in found} & {r.form for r in found}
 
@@ -141,9 +142,9 @@ def test_pii_collisions_are_resolved(spark):
     """Numbers of two digits in a name-like format: permutations hit other originals, and tweaks part them."""
     rows = [(k, f"Mr. {a}{b}") for k, (a, b) in enumerate((a, b) for a in "BCD" for b in "aeiou")]
     rows = spark.createDataFrame(rows, "doc_id bigint, text string")
-    found = pii.entities(rows).collect()
+    found = pii.entities(rows, KEY).collect()
     assert len({r.surrogate for r in found}) == len(found) and not {r.surrogate for r in found} & {r.form for r in found}
-    out = pii.pseudonymise(rows).collect()
+    out = pii.pseudonymise(rows, KEY).collect()
     assert sorted(r.text for r in out) == sorted("Mr. " + r.surrogate for r in found)
 
 
@@ -151,11 +152,11 @@ def test_pii_formats_that_the_corpus_uses_up(spark):
     """All surnames of a consonant and a vowel are originals; matches without a symbol to replace are no entities."""
     texts = [f"Mary {a}{b} came." for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"] + ["--@--.-- and _@-.com", "Dr. Ñå left, password: ========"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = pii.entities(rows).collect()
+    found = pii.entities(rows, KEY).collect()
     assert len(found) == 107 and len({(r.kind, r.surrogate) for r in found}) == 107
     assert not {(r.kind, r.surrogate) for r in found if r.kind.startswith("surname")} & {(r.kind, r.form) for r in found}
     assert all(r.surrogate != r.form for r in found)
-    out = {r.doc_id: r for r in pii.pseudonymise(rows).collect()}
+    out = {r.doc_id: r for r in pii.pseudonymise(rows, KEY).collect()}
     assert out[105].text == texts[105] and out[105]._pii_found == 0 and "Ñå" not in out[106].text
     assert len({r.text for r in out.values()}) == 107
 
@@ -218,11 +219,26 @@ def test_decontamination_without_broadcast(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(1, " ".join(text_of(corpus()[8]).split()[5:40]))], "item_id bigint, text string")
     want = sorted(map(str, decontam.contamination(docs, bench).collect()))
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
-    assert sorted(map(str, decontam.contamination(docs, bench).collect())) == want
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        out = decontam.contamination(docs, bench)
+        assert sorted(map(str, out.collect())) == want
+        found = decontam.hits(decontam._keyed(docs, "doc_id", "text"), bench, ["doc_id", "text_key"])
+        plan = found._jdf.queryExecution().executedPlan()
+        for line in plan.treeString().splitlines():        # what a join's exchange carries: no array of a document's length
+            if "Exchange hashpartitioning(length" in line:
+                assert "h#" not in line.split("]", 1)[0] and " g#" not in line
+        names = decontam._winnowed(decontam._keyed(docs, "doc_id", "text"), ["doc_id"]).columns
+        assert "h" in names                                # the frame before the projection has it
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
 
 
 def test_shards(spark, docs, none):
-    out = shards.interleave(docs, n_shards=4, bucket_bits=3).collect()
+    out = shards.interleave(docs, n_shards=4, piece_rows=5).collect()
     assert len(out) == len(corpus())
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in out) == sorted(
         (str(r[0]), len(text_of(r).encode()) + 16, zlib.crc32(text_of(r).encode())) for r in corpus())
@@ -235,6 +251,17 @@ def test_shards(spark, docs, none):
     assert shards.interleave(none).count() == 0
 
 
+def test_shards_of_single_row_sources_and_repeated_rows(spark, monkeypatch):
+    """Equal shares and equal rows are dealt to many pieces: none holds more than a few times its part."""
+    rows = [(k, f"t{k}", f"host{k}") for k in range(4000)] + [(7, "same", "big")] * 4000
+    docs, pieces = spark.createDataFrame(rows, "doc_id bigint, text string, source string"), []
+    real = shards.rank_in_buckets
+    monkeypatch.setattr(shards, "rank_in_buckets", lambda f, *a, **k: (pieces.append(f.groupBy("piece").count().agg(F.max("count")).first()[0]), real(f, *a, **k))[1])
+    out = shards.interleave(docs, n_shards=8, piece_rows=400).collect()
+    assert max(pieces) <= 1200 and len(out) == 8000
+    assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(8) for k in range(1000)]
+
+
 def test_packing(spark, docs, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)

@@ -103,7 +103,7 @@ def test_permutation_is_one_to_one():
     seen = {tuple(pii.permute([(a, 10), (b, 26), (c, 3)], b"k", "t")) for a in range(10) for b in range(26) for c in range(3)}
     assert len(seen) == 780
     names = pii.GIVEN["f.latin"]
-    new = [pii.surrogate("given.f.latin", n, 0) for n in names]
+    new = [pii.surrogate("given.f.latin", n, 0, b"k") for n in names]
     assert sorted(new) == sorted(names) and all(a != b for a, b in zip(names, new))
 
 
@@ -113,7 +113,7 @@ def test_mentions_and_formats():
             "Mrs. Mary Smith met John Miller. Smith left. Иван Петров came.")
     found = {}
     for a, b, kind, form in pii.find(text):
-        found.setdefault((kind, form), []).append(pii.render(text[a:b], kind, pii.surrogate(kind, form, 0)))
+        found.setdefault((kind, form), []).append(pii.render(text[a:b], kind, pii.surrogate(kind, form, 0, b"k")))
     assert len(found[("email", "the.72@mail3.example.com")]) == 2
     low, up = found[("email", "the.72@mail3.example.com")]
     assert low.upper() == up and low.endswith(".com")
@@ -204,3 +204,18 @@ def test_chi_square_and_piece_search():
     true = np.sqrt(((x.astype(np.float32).astype(float) - x[5].astype(np.float32)) ** 2).sum(axis=1))
     true[5] = np.inf
     assert ids.tolist() == np.argsort(true)[:10].tolist() and np.allclose(d, np.sort(true)[:10])
+
+
+def test_long_runs_are_searched_in_time():
+    import time
+    for run in ("a" * 1_000_000 + " x@y", "a.b@" * 200_000, "x@" + "a" * 1_000_000, "1" * 1_000_000, "A" * 1_000_000 + " Aa " * 1000, "+1 " * 300_000):
+        start = time.process_time()
+        pii.find(run)
+        assert time.process_time() - start < 5, run[:10]
+
+
+def test_what_is_no_phone():
+    for text in ("order 1234-5678-9012", "2023 1000 2000"):
+        assert pii.find(text) == []
+    for text in ("+49 1234-5678-9012", "(030) 1234 5678", "555-123-4567", "138-1234-5678"):
+        assert [m[2] for m in pii.find(text)] == ["phone"], text
