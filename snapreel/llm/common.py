@@ -35,6 +35,19 @@ def counted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def kept_by_worker(spark: SparkSession):
+    """An empty dictionary of which every Python worker has one, for :func:`made_once`. Spark keeps a
+    broadcast's value in a worker while its tasks use it, so caches outlive a task."""
+    return spark.sparkContext.broadcast({})
+
+
+def made_once(kept, name: str, make):
+    """What the worker's first task made under ``name``."""
+    if name not in kept.value:
+        kept.value[name] = make()
+    return kept.value[name]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, every other character as it is."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import rank_in_buckets, staged
+from snapreel.llm.common import kept_by_worker, made_once, rank_in_buckets, staged
 from snapreel.llm.tokens import IdEncoder
 
 MAX_LEN = 2048
@@ -120,8 +120,10 @@ def _put(rooms: dict[int, deque], tree: RoomTree, room: int, sequence: int, coun
 def pieces(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_id: int = 0,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's ids and the end id, cut into pieces of at most ``max_len``."""
+    kept = kept_by_worker(docs.sparkSession)
+
     def cut(batches):
-        encoder = IdEncoder(tokenizer)
+        encoder = made_once(kept, "encoder", lambda: IdEncoder(tokenizer))
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out = [[], [], [], [], []]
