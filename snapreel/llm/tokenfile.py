@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapreel.llm import rangecoder
+from snapreel.llm.common import kept_by_worker, made_once
 from snapreel.llm.tokens import IdEncoder
 
 BLOCK_IDS = 1 << 22
@@ -40,8 +41,10 @@ BLOCK_DDL = "part int, block int, n_tokens bigint, doc_ids array<bigint>, length
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, vocabulary: int = VOCABULARY,
               block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id``, write blocks in ascending id order."""
+    kept = kept_by_worker(docs.sparkSession)
+
     def blocks(batches):
-        encoder, part, number = IdEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = made_once(kept, "encoder", lambda: IdEncoder(tokenizer)), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         names, held, size = [], [], 0
 
