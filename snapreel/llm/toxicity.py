@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapreel.llm import labelled
+from snapreel.llm.common import kept_by_worker, made_once
 
 SPAN, DECAY, WIDTH = 6, 0.7, 24
 EDGE = bytes([31])
@@ -315,9 +316,10 @@ def scored(docs: DataFrame, model, text_col: str = "text", out: str = "score") -
     """``docs`` with the probability of being toxic as ``out``, in one pass without a shuffle."""
     table, offset, (slope, level) = model
     table = table.astype(np.float32)
+    kept = kept_by_worker(docs.sparkSession)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(table, offset)
+        scorer = made_once(kept, "scorer", lambda: Scorer(table, offset))
         for batch in texts:
             top = np.array([scorer.score(t) for t in batch], dtype=float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(slope * top + level, -30, 30))))
