@@ -37,6 +37,7 @@ import json
 import re
 from array import array
 from bisect import bisect_right
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapreel.llm.common import kept_by_worker, made_once
 from snapreel.llm.tokens import IdEncoder
 
 END = 256               # added to the last byte of a word
@@ -243,7 +245,8 @@ def tokenised(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col:
               decoded_col: str | None = None) -> DataFrame:
     """``docs`` with ``ids_col`` (``array<int>``) and, if named, ``decoded_col``: those ids decoded again."""
     spark = docs.sparkSession
-    tables = spark.sparkContext.broadcast(Automaton(tokenizer))       # bounded by the vocabulary
+    tables = spark.sparkContext.broadcast(vars(Automaton(tokenizer)))       # plain numbers, bounded by the vocabulary
+    kept = kept_by_worker(spark)
     added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     if decoded_col:
         added.append(T.StructField(decoded_col, T.StringType()))
@@ -251,7 +254,7 @@ def tokenised(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col:
     source = docs.select(*[f.name for f in kept], F.col(text_col).alias("_bpe_text"))
 
     def run(batches):
-        encoder = AutomatonEncoder(tables.value, tokenizer)
+        encoder = made_once(kept, "encoder", lambda: AutomatonEncoder(SimpleNamespace(**tables.value), tokenizer))
         for batch in batches:
             rows = [np.frombuffer(encoder.encode(t.as_py()), "<u4").astype(np.int32) for t in batch.column(len(kept))]
             ends = np.cumsum([0] + [len(r) for r in rows])
