@@ -246,7 +246,7 @@ def tokenised(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col:
     """``docs`` with ``ids_col`` (``array<int>``) and, if named, ``decoded_col``: those ids decoded again."""
     spark = docs.sparkSession
     tables = spark.sparkContext.broadcast(vars(Automaton(tokenizer)))       # plain numbers, bounded by the vocabulary
-    kept = kept_by_worker(spark)
+    worker = kept_by_worker(spark)
     added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     if decoded_col:
         added.append(T.StructField(decoded_col, T.StringType()))
@@ -254,7 +254,7 @@ def tokenised(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col:
     source = docs.select(*[f.name for f in kept], F.col(text_col).alias("_bpe_text"))
 
     def run(batches):
-        encoder = made_once(kept, "encoder", lambda: AutomatonEncoder(SimpleNamespace(**tables.value), tokenizer))
+        encoder = made_once(worker, "encoder", lambda: AutomatonEncoder(SimpleNamespace(**tables.value), tokenizer))
         for batch in batches:
             rows = [np.frombuffer(encoder.encode(t.as_py()), "<u4").astype(np.int32) for t in batch.column(len(kept))]
             ends = np.cumsum([0] + [len(r) for r in rows])
