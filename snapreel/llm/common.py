@@ -26,6 +26,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, f"llm-{name}")
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a staged table that no later step reads (what was made from it is stored)."""
+    files = table.inputFiles()
+    if files:
+        jvm = table.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 BROADCAST_ROWS = 500_000      # rows of a few numbers each that go to every task at most
 
 

@@ -2,8 +2,9 @@
 
 A line's tokens are its distinct words (``[^\\x20\\x09-\\x0D]+``, A-Z lowered). A
 line is removed when an earlier line -- by document id, then line number -- has
-a token set with Jaccard similarity of ``similarity`` / 100 or more. Lines with
-fewer than ``min_tokens`` tokens are left alone.
+a token set with Jaccard similarity of ``similarity`` / 100 or more. Lines of any
+length take part, one word (or one unspaced paragraph) included; ``min_tokens``
+can leave shorter ones alone.
 
 1. Words are counted over the whole table in ``1 << RANK_BITS`` hash buckets;
    the buckets' order by count is the rarity order. A token is one number: its
@@ -11,15 +12,19 @@ fewer than ``min_tokens`` tokens are left alone.
 2. Lines of equal sets form a class with its first line; all others go. A line
    earlier than the first of its class is needed to remove that one too.
 3. Prefix filter: similar sets share one of their first
-   ``n - ceil(similarity * n) + 1`` tokens. Classes meet on those, under the
+   ``n - ceil(similarity * n) + 1`` tokens. Classes meet on those (on the upper
+   bits of them: what meets besides is parted later), under the
    length filter, the positional filter (the tokens after the meeting point
    must suffice) and a bitmap filter (the number of bits in which the sets'
    parity maps differ is at most the number of tokens in which they differ).
+   Sets so small that only equal ones are similar have met as classes already.
    The meeting is a semi join: it tells which classes have a candidate and
    makes no pairs, however many classes share a token.
 4. Only those classes fetch their lines' full tokens and meet again, now with
    the exact similarity and the order in the semi join's condition. Tokens on
    which the same classes met are one meeting.
+5. Classes of more than ``HOT_LINES`` lines are few and go to the lines as a
+   broadcast; the others' lines are shuffled.
 
 Defined cases: a null text stays null and has no lines to remove; an empty text
 or line stays; lines of one document count against each other; rows equal in
@@ -34,12 +39,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import BROADCAST_ROWS, ascii_lower, counted, staged
+from snapreel.llm.common import BROADCAST_ROWS, ascii_lower, counted, dropped, staged
 
 RANK_BITS = 14
 HASH_BITS = 63 - RANK_BITS
 SPACES = r"[\x20\x09-\x0D]+"       # fixed value: what separates words
-MIN_TOKENS = 5
+MIN_TOKENS = 1
+TOKEN_BITS = 40          # of a token, in the postings that are shuffled
+HOT_LINES = 1000         # a larger class is not gathered by its hash
 ORDER = ["none", "doc_id", "mark", "line"]
 
 
@@ -88,12 +95,11 @@ def _prefix(n: Column, similarity: int) -> Column:
     return n - F.expr(f"({similarity} * n + 99) div 100") + 1
 
 
-def _parity(tokens: Column, half: int) -> Column:
-    """One half of a map of 128 bits in which every token flips one."""
-    def flip(bits, t):
-        mine = F.shiftright(t, 6).bitwiseAND(1)
-        return bits.bitwiseXOR(F.call_function("shiftleft", mine if half else 1 - mine, t.bitwiseAND(63).cast("int")))
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
+def _parity(tokens: Column) -> Column:
+    """A map of 64 bits in which every token flips one."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(tokens, F.lit(0).cast("bigint"),
+                       lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))))
 
 
 def _meet(similarity: int) -> Column:
@@ -101,7 +107,7 @@ def _meet(similarity: int) -> Column:
     need = _need(similarity)
     length = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * similarity)
     after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
+    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low")))
     return length & (after >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
 
 
@@ -112,7 +118,7 @@ def _meet_packed(similarity: int) -> Column:
     after = {s: f"{n[s]} - ({s}.np & 4294967295L)" for s in "xy"}
     return F.expr(
         f"least({n['x']}, {n['y']}) * 100 >= greatest({n['x']}, {n['y']}) * {similarity} AND least({after['x']}, {after['y']}) >= {need}"
-        f" AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {n['x']} + {n['y']} - 2 * {need}")
+        f" AND bit_count(x.low ^ y.low) <= {n['x']} + {n['y']} - 2 * {need}")
 
 
 def _need(similarity: int) -> Column:
@@ -128,15 +134,20 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     lines = _lines(documents).select("doc_id", "mark", "line", _tokens(F.col("words"), ranks).alias("tokens"))
     lines = lines.select("doc_id", "mark", "line", F.size("tokens").alias("n"), "tokens",
                          F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"),
-                         _parity(F.col("tokens"), 0).alias("low"), _parity(F.col("tokens"), 1).alias("high"))
-    lines = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "low", "high",
-                                F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity)).alias("prefix")), "lines")
-    lines = lines.where(F.col("n") >= min_tokens).withColumn("none", F.col("doc_id").isNull())
-    first = F.min(F.struct(*ORDER, "n", "low", "high", "prefix")).alias("first")
-    classes = staged(lines.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), "line-classes")
-    postings = classes.select("k1", "low", "high", "n", F.posexplode_outer("prefix").alias("pos", "token"))
-    # size and place in one number: the postings are the widest thing this operator shuffles
-    postings = postings.select("token", "k1", "low", "high", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("np"))
+                         _parity(F.col("tokens")).alias("low"))
+    whole = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "low",
+                                F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity)).alias("prefix")).where(F.col("n") >= min_tokens), "lines")
+    first = F.min(F.struct(*ORDER, "n", "low", "prefix")).alias("first")
+    classes = whole.withColumn("none", F.col("doc_id").isNull()).groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("size"))
+    classes = staged(classes.select("k1", "k2", "size", "first.*"), "line-classes")
+    lines = staged(whole.select("doc_id", "mark", "line", "k1", "k2"), "line-keys")
+    dropped(whole)
+    # a set that another size could match at all: n words against n + 1
+    postings = classes.where(F.col("n") * 100 >= (F.col("n") + 1) * similarity)
+    postings = postings.select("k1", "low", "n", F.posexplode_outer("prefix").alias("pos", "token"))
+    # the postings are the widest thing this operator shuffles: size and place are one number, tokens cut short
+    postings = postings.select(F.shiftright("token", 63 - TOKEN_BITS).alias("token"), "k1", "low",
+                               (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("np"))
     x, y = postings.alias("x"), postings.alias("y")
     meet = _meet_packed(similarity)
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k1") != F.col("y.k1")) & meet, "left_semi").select("token", "k1")
@@ -145,15 +156,16 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     names = met.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.expr("bit_xor(xxhash64(k1))").alias("n1"),
                                      F.expr("bit_xor(xxhash64(k1, 1))").alias("n2"))
     meetings = staged(met.join(names, "token").select("k1", "m", "n1", "n2").distinct(), "line-named-meetings")
-    chosen = staged(classes.drop("prefix").join(meetings.select("k1").distinct(), "k1"), "line-candidates")
+    dropped(met)
+    chosen = staged(classes.drop("prefix", "size").join(meetings.select("k1").distinct(), "k1"), "line-candidates")
 
     wanted = chosen.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct()
     wanted = counted(staged(wanted, "line-wanted"))
     texts = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
-    own = chosen.select("k1", "k2", "none", "n", "low", "high", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
+    own = chosen.select("k1", "k2", "none", "n", "low", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
     own = counted(own)
     full = _lines(texts).join(own, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark")) & (F.col("line") == F.col("c_line")))
-    full = staged(full.select("k1", "k2", *ORDER, "n", "low", "high", _tokens(F.col("words"), ranks).alias("tokens"))
+    full = staged(full.select("k1", "k2", *ORDER, "n", "low", _tokens(F.col("words"), ranks).alias("tokens"))
                   .dropDuplicates(["k1", "k2"]), "line-tokens")       # repeated rows bring their line again
     # in a meeting, the first line has no earlier one to match and the last is earlier than none
     placed = meetings.join(full.select("k1", F.struct(*ORDER).alias("at")), "k1")
@@ -161,17 +173,21 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     placed = placed.join(ends, ["m", "n1", "n2"]).select("k1", "m", "n1", "n2", (F.col("at") > F.col("lo")).alias("later"),
                                                          (F.col("at") < F.col("hi")).alias("earlier"))
     placed = staged(placed, "line-places")
-    body = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "low", "high", "tokens", F.lit(0).alias("pos"))
+    body = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "low", "tokens", F.lit(0).alias("pos"))
     x = body.join(placed.where("later"), "k1").alias("x")
     y = body.join(placed.where("earlier"), "k1").alias("y")
     one = (F.col("x.n1") == F.col("y.n1")) & (F.col("x.n2") == F.col("y.n2")) & (F.col("x.m") == F.col("y.m"))
     same = F.size(F.array_intersect("x.tokens", "y.tokens")) >= _need(similarity)
     matched = x.join(y, one & _meet(similarity) & (F.col("y.at") < F.col("x.at")) & same, "left_semi").select("k1", "k2").distinct()
 
-    heads = classes.select("k1", "k2", *[F.col(c).alias(f"h_{c}") for c in ORDER])
+    heads = classes.select("k1", "k2", "size", *[F.col(c).alias(f"h_{c}") for c in ORDER])
     heads = heads.join(matched.withColumn("matched", F.lit(True)), ["k1", "k2"], "left")
+    heads = staged(heads.where((F.col("size") > 1) | F.col("matched")), "line-heads")       # the others lose nothing
     head = F.col("doc_id").eqNullSafe(F.col("h_doc_id")) & (F.col("mark") == F.col("h_mark")) & (F.col("line") == F.col("h_line"))
-    gone = lines.select("doc_id", "mark", "line", "k1", "k2").join(heads, ["k1", "k2"]).where(~head | F.col("matched"))
+    hot, rest = staged(heads.where(F.col("size") > HOT_LINES), "line-hot-heads"), heads.where(F.col("size") <= HOT_LINES)
+    known = lines.join(counted(hot), ["k1", "k2"]).unionByName(
+        lines.join(counted(hot.select("k1", "k2")), ["k1", "k2"], "left_anti").join(counted(rest), ["k1", "k2"]))
+    gone = known.where(~head | F.col("matched"))
     return gone.groupBy("doc_id", "mark").agg(F.collect_set("line").alias("removed"))
 
 

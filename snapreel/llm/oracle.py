@@ -40,7 +40,7 @@ FROM dw LEFT JOIN hit USING (r) LEFT JOIN own USING (r)
 LINE_DEDUP = r"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS s, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p FROM documents),
 t AS (SELECT doc_id, p, list_distinct(list_filter(regexp_split_to_array(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w FROM l),
-u AS (SELECT doc_id, p, len(w) AS n, unnest(w) AS x, w FROM t WHERE len(w) >= 5),
+u AS (SELECT doc_id, p, len(w) AS n, unnest(w) AS x, w FROM t WHERE len(w) > 0),
 f AS (SELECT x, count(*) AS c FROM u GROUP BY x),
 o AS (SELECT doc_id, p, n, w, x, row_number() OVER (PARTITION BY doc_id, p ORDER BY c, x) AS k FROM u JOIN f USING (x)),
 pre AS (SELECT * FROM o WHERE k <= n - (80 * n + 99) // 100 + 1),

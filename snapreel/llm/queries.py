@@ -33,7 +33,7 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linedup.deduplicate_lines(table(spark, sf_dir, "documents"), similarity=80, min_tokens=5)
+    out = linedup.deduplicate_lines(table(spark, sf_dir, "documents"), similarity=80)
     return out.select("doc_id", F.col("_ld_lines").cast("bigint").alias("n_lines"),
                       F.col("_ld_removed").cast("bigint").alias("n_removed"), "text")
 

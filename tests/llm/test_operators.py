@@ -173,10 +173,10 @@ def test_line_dedup(spark, docs, none):
         kept = []
         for line in text_of(r).split("\n"):
             t = tokens(line)
-            if len(t) >= 5 and any(100 * len(t & s) >= 80 * len(t | s) for s in seen):
+            if t and any(100 * len(t & s) >= 80 * len(t | s) for s in seen):
                 seen.append(t)
                 continue
-            if len(t) >= 5:
+            if t:
                 seen.append(t)
             kept.append(line)
         want[(r[0], r[1])] = None if r[1] is None else "\n".join(kept)
@@ -187,6 +187,28 @@ def test_line_dedup(spark, docs, none):
     assert linedup.cut_lines(none).count() == 0
 
 
+def test_short_lines_and_hot_classes(spark, monkeypatch):
+    """Lines of one to five words, unspaced ones, and a class of more lines than one task gathers."""
+    monkeypatch.setattr(linedup, "HOT_LINES", 3)
+    texts = ["All rights reserved.\nfirst own line", "x y z\nAll rights reserved.", "all RIGHTS reserved.\n全部の権利は保護されています", "全部の権利は保護されています\na b c d",
+             "a b c d e\nALL rights reserved. reserved.", "a b c\na b d c", "\n  \nx y", "one\none\ntwo", "rights reserved. all"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    seen, want = [], []
+    for text in texts:
+        kept = []
+        for line in text.split("\n"):
+            t = frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.translate(LOWER)) if w)
+            if not (t and any(100 * len(t & s) >= 80 * len(t | s) for s in seen)):
+                kept.append(line)
+            if t:
+                seen.append(t)
+        want.append("\n".join(kept))
+    out = {r.doc_id: r for r in linedup.deduplicate_lines(docs).collect()}
+    assert [out[k].text for k in range(len(texts))] == want
+    assert out[1].text == "x y z" and out[4].text == "" and out[8].text == ""
+    assert linedup.deduplicate_lines(docs, min_tokens=4).where("doc_id = 7").first().text == texts[7]
+
+
 def test_decontamination(spark, docs, none):
     rows = corpus()
     items = [(1, " ".join(text_of(rows[8]).split()[5:40])), (2, "two words"), (3, None), (4, "!!"), (5, "not here at all " * 5), (2, "two words"),

@@ -51,8 +51,8 @@ def without_repeated_lines(docs):
         kept, cut = [], 0
         for line in text.split("\n"):
             t = frozenset(words(r"[\x20\x09-\x0D]+", line))
-            gone = len(t) >= 5 and any(100 * len(t & s) >= 80 * len(t | s) for s in seen)
-            if len(t) >= 5:
+            gone = bool(t) and any(100 * len(t & s) >= 80 * len(t | s) for s in seen)
+            if t:
                 seen.append(t)
             cut += gone
             if not gone:
