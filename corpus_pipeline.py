@@ -28,7 +28,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines with an earlier line of Jaccard similarity 0.8 or more are cut."""
-    return linedup.cut_lines(docs, similarity=80, min_tokens=5)
+    return linedup.cut_lines(docs, similarity=80)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
