@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import counted, staged
+from snapreel.llm.common import counted, dropped, staged
 from snapreel.llm.components import components
 
 COORDINATES, MATCHES = 48, 24
@@ -74,16 +74,19 @@ class Shingler:
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """Minima of ``coordinates`` seeded hashes of the set, as signed 32-bit numbers."""
+    """Minima of ``coordinates`` seeded hashes of the set, as signed 64-bit numbers.
+
+    Minima lie close to zero: of 32 bits, those of a thousand shingles would have four million
+    values, and sets that share nothing would meet by chance, in numbers that grow with their square."""
     rng = np.random.default_rng(11)
     a = rng.integers(0, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 63, coordinates, dtype=np.uint64)
-    best = np.full(coordinates, 0xFFFFFFFF, dtype=np.uint64)
+    best = np.full(coordinates, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     for at in range(0, len(shingles), 4096):
         x = shingles[at:at + 4096]
         for i in range(coordinates):
-            best[i] = min(best[i], ((x * a[i] + b[i]) >> np.uint64(32)).min())
-    return best.astype(np.uint32).view(np.int32)
+            best[i] = min(best[i], (x * a[i] + b[i]).min())
+    return best.view(np.int64)
 
 
 def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
@@ -99,8 +102,8 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                 signs.append(signature(s, coordinates) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(signs, pa.list_(pa.int32()))], ["doc_id", "mark", "key", "n_shingles", "signature"])
-    return docs.mapInArrow(sign, "doc_id bigint, mark bigint, key binary, n_shingles bigint, signature array<int>")
+                 pa.array(signs, pa.list_(pa.int64()))], ["doc_id", "mark", "key", "n_shingles", "signature"])
+    return docs.mapInArrow(sign, "doc_id bigint, mark bigint, key binary, n_shingles bigint, signature array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -212,7 +215,10 @@ def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: i
     classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(
         first.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     classes = staged(classes.select("key", "rep.doc_id", "rep.mark", "n_shingles", "signature"), "dedup-classes")
-    found = staged(_components(own, classes, words, similarity, coordinates, matches), "dedup-components")
+    found, used = _components(own, classes, words, similarity, coordinates, matches)
+    found = staged(found, "dedup-components")
+    for table in used:
+        dropped(table)
     named = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
     named = named.select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -223,11 +229,10 @@ def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: i
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _components(docs, classes, words, similarity, coordinates, matches) -> DataFrame:
-    """``node`` (class key), ``component``."""
+def _components(docs, classes, words, similarity, coordinates, matches) -> tuple[DataFrame, list[DataFrame]]:
+    """``node`` (class key), ``component``; and the staged tables it was made from."""
     postings = classes.select("key", "n_shingles", F.posexplode("signature").alias("c", "v"))
-    posting = F.shiftleft(F.col("c").cast("bigint"), 32) + (F.col("v").cast("bigint") + (1 << 31))
-    postings = postings.select("key", "n_shingles", posting.alias("posting"))
+    postings = postings.select("key", "n_shingles", F.xxhash64("c", "v").alias("posting"))
     lists = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
     shared = postings.join(lists, "posting").groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("n", "posting", "weight"))).alias("lists"))     # at most ``coordinates``
@@ -254,7 +259,7 @@ def _components(docs, classes, words, similarity, coordinates, matches) -> DataF
     merged = shared.select(F.col("key").alias("node")).join(near, "node", "left")
     merged = merged.select("node", F.coalesce("component", "node").alias("component"))
     wide = wide.select(F.col("node").alias("component"), F.col("component").alias("wider"))
-    return merged.join(wide, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+    return merged.join(wide, "component", "left").select("node", F.coalesce("wider", "component").alias("component")), [shared, sets, grouped]
 
 
 def _counted(members: DataFrame) -> DataFrame:
