@@ -23,6 +23,7 @@ import numpy as np
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile("[\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-įı-ɏ]*")
 EXACT = "\x00"           # marks a piece that no space stands before (never in a plain text)
+JOINED = 1000            # new pieces that are encoded as one text
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 BYTE_PIECES = re.compile(rf"{CONTRACTIONS}| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_PIECES = re.compile(rf"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
@@ -46,17 +47,39 @@ class IdEncoder:
         kind = (conf.get("pre_tokenizer") or {}).get("type")
         self.lower = conf.get("normalizer") is not None
         self.pieces = {("ByteLevel", False): BYTE_PIECES, ("Sequence", True): WORD_PIECES}.get((kind, self.lower))
+        suffix = conf["model"].get("end_of_word_suffix")
+        self.ends = None                              # of the vocabulary's ids: which of them end a word
+        if suffix and self.pieces is not None:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.cache_size = cache_size
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _whole(self, text: str) -> bytes:
         """Ids of a text that is not cut here."""
-        return self._library([text])[0]
+        return self._encoded([text])[0]
+
+    def _library(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pieces. Where a vocabulary marks the ends of words, many pieces are encoded
+        as one text of words, whose ids are cut at the marks again."""
+        if self.ends is None:
+            return self._encoded(pieces)
+        out: list[bytes] = []
+        for at in range(0, len(pieces), JOINED):
+            part = pieces[at:at + JOINED]
+            raw = self._whole(" ".join(part))
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4
+            if len(cuts) == len(part):
+                out += [raw[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
+            else:                                     # a piece without a word's end
+                out += self._encoded(part)
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text; a null or empty text has none."""
