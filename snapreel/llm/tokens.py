@@ -24,6 +24,8 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile("[\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-įı-ɏ]*")
 EXACT = "\x00"           # marks a piece that no space stands before (never in a plain text)
 JOINED = 1000            # new pieces that are encoded as one text
+SPACE = "\u0120"         # how byte-level vocabularies write a space
+ONE_SPACE = re.compile(r" \S+")
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 BYTE_PIECES = re.compile(rf"{CONTRACTIONS}| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_PIECES = re.compile(rf"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
@@ -48,11 +50,11 @@ class IdEncoder:
         self.lower = conf.get("normalizer") is not None
         self.pieces = {("ByteLevel", False): BYTE_PIECES, ("Sequence", True): WORD_PIECES}.get((kind, self.lower))
         suffix = conf["model"].get("end_of_word_suffix")
-        self.ends = None                              # of the vocabulary's ids: which of them end a word
-        if suffix and self.pieces is not None:
+        self.marks = None                     # which ids end a word (lower-case vocabularies) or start one (byte-level ones)
+        if self.pieces is not None and (suffix or not self.lower):
             vocabulary = self.tokenizer.get_vocab()
-            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            self.marks = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.marks[[i for t, i in vocabulary.items() if (t.endswith(suffix) if self.lower else t.startswith(SPACE))]] = True
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.cache_size = cache_size
@@ -66,20 +68,23 @@ class IdEncoder:
         return self._encoded([text])[0]
 
     def _library(self, pieces: list[str]) -> list[bytes]:
-        """Ids of single pieces. Where a vocabulary marks the ends of words, many pieces are encoded
-        as one text of words, whose ids are cut at the marks again."""
-        if self.ends is None:
+        """Ids of single pieces. Where a vocabulary marks the ends or the starts of words, many pieces
+        are encoded as one text of words, whose ids are cut at the marks again."""
+        if self.marks is None:
             return self._encoded(pieces)
-        out: list[bytes] = []
-        for at in range(0, len(pieces), JOINED):
-            part = pieces[at:at + JOINED]
-            raw = self._whole(" ".join(part))
-            cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4
+        known: dict[str, bytes] = {}
+        # a piece of a byte-level vocabulary is a word of such a text if it starts with the one space in it
+        words = pieces if self.lower else [p for p in pieces if ONE_SPACE.fullmatch(p)]
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            raw = self._whole((" " if self.lower else "").join(part))
+            cuts = ((np.flatnonzero(self.marks[np.frombuffer(raw, "<u4")]) + self.lower) * 4).tolist()
             if len(cuts) == len(part):
-                out += [raw[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
-            else:                                     # a piece without a word's end
-                out += self._encoded(part)
-        return out
+                edges = [0, *cuts] if self.lower else [*cuts, len(raw)]
+                known.update((p, raw[a:b]) for p, a, b in zip(part, edges, edges[1:]))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, self._encoded(rest)))
+        return [known[p] for p in pieces]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text; a null or empty text has none."""
