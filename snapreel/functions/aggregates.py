@@ -7,7 +7,7 @@ merge.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIST_SEPARATOR = ", "  # fixed value
@@ -35,6 +35,24 @@ def ordered_listagg(value: str, order_by: list[str], where: str | None = None,
     return F.when(n > 0, F.coalesce(agg, F.lit("")))
 
 
+def split_listagg(rows: DataFrame, keys: list[str], value: str, order_by: list[str], out: str, pieces: int,
+                  separator: str = LIST_SEPARATOR) -> DataFrame:
+    """:func:`ordered_listagg` for groups of any size: ``keys`` and ``out``.
+
+    All rows are dealt to ``pieces`` ranges of ``(keys, order_by)``, so a group
+    with a large share of them is cut into ordered ranges on many tasks. Each
+    range becomes one string, and a group's strings are joined in the ranges'
+    order: the last step handles one string a range, not the group's rows.
+    """
+    order = [F.asc_nulls_last(c) for c in order_by]
+    dealt = rows.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
+    parts = dealt.groupBy(*keys, "_piece").agg(ordered_listagg(value, order_by, separator=separator).alias("_part"),
+                                               F.count(value).alias("_named"))
+    # a range of NULL values only adds nothing; a group of such ranges gives ''
+    joined = ordered_listagg("_part", ["_piece"], where="_named > 0", separator=separator)
+    return parts.groupBy(*keys).agg(F.coalesce(joined, F.lit("")).alias(out))
+
+
 def first_by_name(name: str, payload: list[str], where: Column | None = None) -> Column:
     """Row with the smallest ``name`` (NULL names last), as a struct.
 

@@ -170,7 +170,7 @@ KEYED_INPUTS = {"stg_tmdb_details": "details", "int_tmdb_credits_summary": "cred
 
 def _keyed_input(name: str, raw: DataFrame) -> DataFrame:
     if name == "int_tmdb_credits_summary":
-        return I.credits_summary_from_raw(raw)
+        return I.credits_summary_of_any(raw)
     if name == "int_tmdb_genres_summary":
         return I.genres_summary(S.stg_details_genres(raw))
     return S.stg_details(raw)

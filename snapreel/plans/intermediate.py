@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.functions.aggregates import first_by_name, ordered_listagg
+from snapreel.functions.aggregates import first_by_name, ordered_listagg, split_listagg
 from snapreel.functions.variant import flatten, outer, vget, vnum, vstr
 
 KEY = ["tmdb_id", "media_type"]
@@ -88,6 +88,31 @@ def summarise_people(people: DataFrame) -> DataFrame:
                       F.when(whole_key, F.col("d.load_ts")).alias("load_ts"))
 
 
+HOT_PAGES = 16      # a title of more pages (65,536 orders) has its names aggregated in ranges
+
+
+def credits_summary_split(raw_credits: DataFrame, pieces: int) -> DataFrame:
+    """M6 for titles of any size: the names of a title's top cast are aggregated in ordered
+    ranges on many tasks; the director is a minimum, which aggregates before the shuffle."""
+    people = people_from_raw(raw_credits)
+    named = split_listagg(people.where(_TOP_CAST_ROW), KEY, "person_name", ["cast_order", "person_name"], "top_cast", pieces)
+    directors = people.groupBy(*KEY).agg(_director_col().alias("d"))
+    whole_key = F.col(f"d.{KEY[0]}").isNotNull() & F.col(f"d.{KEY[1]}").isNotNull()
+    same = [F.col(f"d.{k}") == F.col(f"n.{k}") for k in KEY]               # a key with a NULL part gets no names
+    return directors.alias("d").join(named.alias("n"), same[0] & same[1], "left").select(
+        *[F.col(f"d.{k}").alias(k) for k in KEY], F.when(whole_key, F.col("d.d.person_name")).alias("director_name"),
+        F.col("n.top_cast").alias("top_cast"), F.when(whole_key, F.col("d.d.load_ts")).alias("load_ts"))
+
+
+def credits_summary_of_any(raw_credits: DataFrame) -> DataFrame:
+    """M6 from a stored raw table: one aggregation, but for titles of more than ``HOT_PAGES`` pages."""
+    hot = F.coalesce(F.col("pages") > HOT_PAGES, F.lit(False))
+    if raw_credits.where(hot).select("pages").first() is None:             # reads one narrow column
+        return credits_summary_from_raw(raw_credits)
+    pieces = int(raw_credits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return credits_summary_from_raw(raw_credits.where(~hot)).unionByName(credits_summary_split(raw_credits.where(hot), pieces))
+
+
 def first_director(stg_crew: DataFrame) -> DataFrame:
     """W1 + O1: per key with a Director row, the first director by name and its load_ts."""
     agg = (stg_crew.where(F.col("job") == DIRECTOR_JOB)

@@ -296,6 +296,7 @@ UNION ALL SELECT 'unique', model, key_columns, failing_groups, failing_rows FROM
 ORACLE_SQL.update({
     "dq_all": _dq_all(),
     "stored_replace_after_crash": ORACLE_SQL["keyed_replace"],
+    "credits_summary_split": ORACLE_SQL["credits_summary"],
     "raw_tables_by_name": _with(EV, DETAILS, LINES)
         + """SELECT d.tmdb_id, d.media_type, d.load_ts, c.pages, (SELECT count(DISTINCT snapshot_date) FROM ev) AS days
              FROM det d LEFT JOIN (SELECT tmdb_id, media_type, count(DISTINCT l_orderkey // 4096) AS pages FROM li GROUP BY ALL) c

@@ -69,6 +69,11 @@ def credits_summary(spark, sf_dir):
     return flat(_cat(spark, sf_dir).credits_summary)
 
 
+def credits_summary_split(spark, sf_dir):
+    """M6 with every title's names aggregated in ordered ranges (A2, A3, O4 for titles of any size)."""
+    return flat(I.credits_summary_split(_cat(spark, sf_dir).raw_credits, 32))
+
+
 def top_cast(spark, sf_dir):
     return flat(I.top_cast(_cat(spark, sf_dir).stg_credits_cast))
 
@@ -338,6 +343,7 @@ QUERIES = {
     "stg_credits_crew": stg_credits_crew,
     "genres_summary": genres_summary,
     "credits_summary": credits_summary,
+    "credits_summary_split": credits_summary_split,
     "top_cast": top_cast,
     "first_director": first_director,
     "credits_keys": credits_keys,

@@ -120,3 +120,31 @@ def test_single_scan_summary_equals_two_scan_form(spark):
         b = I.credits_summary_from_raw(r)
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_names_of_a_hot_title_are_aggregated_in_ranges(spark, monkeypatch):
+    """A third of all rows on one title: spread over tasks, and the same strings; NULL names and orders included."""
+    from pyspark.sql import functions as F
+    from snapreel.functions import aggregates as A
+    rows = [(1, "m", None if k % 50 == 0 else f"N{k % 700:03d}", None if k % 31 == 0 else k % 3) for k in range(3000)]
+    rows += [(k, "m", f"P{k % 7}" if k % 5 else None, k % 3) for k in range(2, 5000)] + [(0, "m", None, 1), (None, "m", "X", 0)]
+    people = spark.createDataFrame(rows, "tmdb_id int, media_type string, person_name string, cast_order int")
+    key, order = ["tmdb_id", "media_type"], ["cast_order", "person_name"]
+    want = people.groupBy(*key).agg(A.ordered_listagg("person_name", order).alias("s"))
+    got = A.split_listagg(people, key, "person_name", order, "s", pieces=16)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    dealt = people.repartitionByRange(16, *key, *[F.asc_nulls_last(c) for c in order]).withColumn("p", F.spark_partition_id())
+    assert dealt.where("tmdb_id = 1").select("p").distinct().count() >= 4
+
+
+def test_summary_of_titles_of_many_pages(spark, monkeypatch):
+    from snapreel.plans import intermediate as I
+    from snapreel.sources.raw_loaders import load_credits_raw
+    page = lambda t, p, of: {**keyed_env(t, "tv", {"cast": [{"id": p, "name": f"N{9 - p}", "order": p % 4}, {"id": 50, "name": None, "order": 0}],
+                                                   "crew": [{"id": 1, "name": f"D{p}", "job": "Director"}]}), "page": p, "pages": of}
+    raw = load_credits_raw(docs(spark, *[page(1, p, 6) for p in range(1, 7)], page(2, 1, 1), keyed_env(3, "tv", {"crew": [{"id": 1, "name": "W", "job": "Writer"}]})))
+    monkeypatch.setattr(I, "HOT_PAGES", 2)
+    got, want = I.credits_summary_of_any(raw), I.credits_summary_from_raw(raw)
+    assert got.count() == want.count() == 3 and got.select(want.columns).exceptAll(want).count() == 0
+    split = I.credits_summary_split(raw, 4)
+    assert split.count() == 3 and split.select(want.columns).exceptAll(want).count() == 0
