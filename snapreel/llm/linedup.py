@@ -95,11 +95,12 @@ def _prefix(n: Column, similarity: int) -> Column:
     return n - F.expr(f"({similarity} * n + 99) div 100") + 1
 
 
-def _parity(tokens: Column) -> Column:
-    """A map of 64 bits in which every token flips one."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(tokens, F.lit(0).cast("bigint"),
-                       lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))))
+def _parity(tokens: Column, half: int) -> Column:
+    """One half of a map of 128 bits in which every token flips one."""
+    def flip(bits, t):
+        mine = F.shiftright(t, 6).bitwiseAND(1)
+        return bits.bitwiseXOR(F.call_function("shiftleft", mine if half else 1 - mine, t.bitwiseAND(63).cast("int")))
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
 
 
 def _meet(similarity: int) -> Column:
@@ -107,7 +108,7 @@ def _meet(similarity: int) -> Column:
     need = _need(similarity)
     length = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * similarity)
     after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low")))
+    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
     return length & (after >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
 
 
@@ -118,7 +119,7 @@ def _meet_packed(similarity: int) -> Column:
     after = {s: f"{n[s]} - ({s}.np & 4294967295L)" for s in "xy"}
     return F.expr(
         f"least({n['x']}, {n['y']}) * 100 >= greatest({n['x']}, {n['y']}) * {similarity} AND least({after['x']}, {after['y']}) >= {need}"
-        f" AND bit_count(x.low ^ y.low) <= {n['x']} + {n['y']} - 2 * {need}")
+        f" AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {n['x']} + {n['y']} - 2 * {need}")
 
 
 def _need(similarity: int) -> Column:
@@ -134,19 +135,19 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     lines = _lines(documents).select("doc_id", "mark", "line", _tokens(F.col("words"), ranks).alias("tokens"))
     lines = lines.select("doc_id", "mark", "line", F.size("tokens").alias("n"), "tokens",
                          F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"),
-                         _parity(F.col("tokens")).alias("low"))
-    whole = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "low",
+                         _parity(F.col("tokens"), 0).alias("low"), _parity(F.col("tokens"), 1).alias("high"))
+    whole = staged(lines.select("doc_id", "mark", "line", "n", "k1", "k2", "low", "high",
                                 F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity)).alias("prefix")).where(F.col("n") >= min_tokens), "lines")
-    first = F.min(F.struct(*ORDER, "n", "low", "prefix")).alias("first")
+    first = F.min(F.struct(*ORDER, "n", "low", "high", "prefix")).alias("first")
     classes = whole.withColumn("none", F.col("doc_id").isNull()).groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("size"))
     classes = staged(classes.select("k1", "k2", "size", "first.*"), "line-classes")
     lines = staged(whole.select("doc_id", "mark", "line", "k1", "k2"), "line-keys")
     dropped(whole)
     # a set that another size could match at all: n words against n + 1
     postings = classes.where(F.col("n") * 100 >= (F.col("n") + 1) * similarity)
-    postings = postings.select("k1", "low", "n", F.posexplode_outer("prefix").alias("pos", "token"))
+    postings = postings.select("k1", "low", "high", "n", F.posexplode_outer("prefix").alias("pos", "token"))
     # the postings are the widest thing this operator shuffles: size and place are one number, tokens cut short
-    postings = postings.select(F.shiftright("token", 63 - TOKEN_BITS).alias("token"), "k1", "low",
+    postings = postings.select(F.shiftright("token", 63 - TOKEN_BITS).alias("token"), "k1", "low", "high",
                                (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("np"))
     x, y = postings.alias("x"), postings.alias("y")
     meet = _meet_packed(similarity)
@@ -162,10 +163,10 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     wanted = chosen.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct()
     wanted = counted(staged(wanted, "line-wanted"))
     texts = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
-    own = chosen.select("k1", "k2", "none", "n", "low", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
+    own = chosen.select("k1", "k2", "none", "n", "low", "high", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
     own = counted(own)
     full = _lines(texts).join(own, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark")) & (F.col("line") == F.col("c_line")))
-    full = staged(full.select("k1", "k2", *ORDER, "n", "low", _tokens(F.col("words"), ranks).alias("tokens"))
+    full = staged(full.select("k1", "k2", *ORDER, "n", "low", "high", _tokens(F.col("words"), ranks).alias("tokens"))
                   .dropDuplicates(["k1", "k2"]), "line-tokens")       # repeated rows bring their line again
     # in a meeting, the first line has no earlier one to match and the last is earlier than none
     placed = meetings.join(full.select("k1", F.struct(*ORDER).alias("at")), "k1")
@@ -173,7 +174,7 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     placed = placed.join(ends, ["m", "n1", "n2"]).select("k1", "m", "n1", "n2", (F.col("at") > F.col("lo")).alias("later"),
                                                          (F.col("at") < F.col("hi")).alias("earlier"))
     placed = staged(placed, "line-places")
-    body = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "low", "tokens", F.lit(0).alias("pos"))
+    body = full.select("k1", "k2", F.struct(*ORDER).alias("at"), "n", "low", "high", "tokens", F.lit(0).alias("pos"))
     x = body.join(placed.where("later"), "k1").alias("x")
     y = body.join(placed.where("earlier"), "k1").alias("y")
     one = (F.col("x.n1") == F.col("y.n1")) & (F.col("x.n2") == F.col("y.n2")) & (F.col("x.m") == F.col("y.m"))
