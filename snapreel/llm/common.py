@@ -35,6 +35,13 @@ def dropped(table: DataFrame) -> None:
         folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def settled(table: DataFrame) -> DataFrame:
+    """``table``, a staged one, after the driver has let go of the plan it came from: Spark's cleaner
+    removes a step's shuffle files once its plan is collected, which otherwise may take half an hour."""
+    table.sparkSession.sparkContext._jvm.System.gc()
+    return table
+
+
 BROADCAST_ROWS = 500_000      # rows of a few numbers each that go to every task at most
 
 

@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import BROADCAST_ROWS, ascii_lower, counted, dropped, staged
+from snapreel.llm.common import BROADCAST_ROWS, ascii_lower, counted, dropped, settled, staged
 
 RANK_BITS = 14
 HASH_BITS = 63 - RANK_BITS
@@ -140,7 +140,7 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
                                 F.slice("tokens", F.lit(1), _prefix(F.col("n"), similarity)).alias("prefix")).where(F.col("n") >= min_tokens), "lines")
     first = F.min(F.struct(*ORDER, "n", "low", "high", "prefix")).alias("first")
     classes = whole.withColumn("none", F.col("doc_id").isNull()).groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("size"))
-    classes = staged(classes.select("k1", "k2", "size", "first.*"), "line-classes")
+    classes = settled(staged(classes.select("k1", "k2", "size", "first.*"), "line-classes"))
     lines = staged(whole.select("doc_id", "mark", "line", "k1", "k2"), "line-keys")
     dropped(whole)
     # a set that another size could match at all: n words against n + 1
@@ -152,13 +152,13 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     x, y = postings.alias("x"), postings.alias("y")
     meet = _meet_packed(similarity)
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k1") != F.col("y.k1")) & meet, "left_semi").select("token", "k1")
-    met = staged(met, "line-meetings")
+    met = settled(staged(met, "line-meetings"))
     # tokens on which the same classes meet are one meeting: it is named by its members
     names = met.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.expr("bit_xor(xxhash64(k1))").alias("n1"),
                                      F.expr("bit_xor(xxhash64(k1, 1))").alias("n2"))
     meetings = staged(met.join(names, "token").select("k1", "m", "n1", "n2").distinct(), "line-named-meetings")
     dropped(met)
-    chosen = staged(classes.drop("prefix", "size").join(meetings.select("k1").distinct(), "k1"), "line-candidates")
+    chosen = settled(staged(classes.drop("prefix", "size").join(meetings.select("k1").distinct(), "k1"), "line-candidates"))
 
     wanted = chosen.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct()
     wanted = counted(staged(wanted, "line-wanted"))
@@ -166,8 +166,8 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     own = chosen.select("k1", "k2", "none", "n", "low", "high", F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), F.col("line").alias("c_line"))
     own = counted(own)
     full = _lines(texts).join(own, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark")) & (F.col("line") == F.col("c_line")))
-    full = staged(full.select("k1", "k2", *ORDER, "n", "low", "high", _tokens(F.col("words"), ranks).alias("tokens"))
-                  .dropDuplicates(["k1", "k2"]), "line-tokens")       # repeated rows bring their line again
+    full = settled(staged(full.select("k1", "k2", *ORDER, "n", "low", "high", _tokens(F.col("words"), ranks).alias("tokens"))
+                  .dropDuplicates(["k1", "k2"]), "line-tokens"))      # repeated rows bring their line again
     # in a meeting, the first line has no earlier one to match and the last is earlier than none
     placed = meetings.join(full.select("k1", F.struct(*ORDER).alias("at")), "k1")
     ends = placed.groupBy("m", "n1", "n2").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
@@ -183,7 +183,7 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
 
     heads = classes.select("k1", "k2", "size", *[F.col(c).alias(f"h_{c}") for c in ORDER])
     heads = heads.join(matched.withColumn("matched", F.lit(True)), ["k1", "k2"], "left")
-    heads = staged(heads.where((F.col("size") > 1) | F.col("matched")), "line-heads")       # the others lose nothing
+    heads = settled(staged(heads.where((F.col("size") > 1) | F.col("matched")), "line-heads"))      # the others lose nothing
     head = F.col("doc_id").eqNullSafe(F.col("h_doc_id")) & (F.col("mark") == F.col("h_mark")) & (F.col("line") == F.col("h_line"))
     hot, rest = staged(heads.where(F.col("size") > HOT_LINES), "line-hot-heads"), heads.where(F.col("size") <= HOT_LINES)
     known = lines.join(counted(hot), ["k1", "k2"]).unionByName(

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapreel.llm.common import counted, dropped, staged
+from snapreel.llm.common import counted, dropped, settled, staged
 from snapreel.llm.components import components
 
 COORDINATES, MATCHES = 48, 24
@@ -214,9 +214,9 @@ def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: i
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
     classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(
         first.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    classes = staged(classes.select("key", "rep.doc_id", "rep.mark", "n_shingles", "signature"), "dedup-classes")
+    classes = settled(staged(classes.select("key", "rep.doc_id", "rep.mark", "n_shingles", "signature"), "dedup-classes"))
     found, used = _components(own, classes, words, similarity, coordinates, matches)
-    found = staged(found, "dedup-components")
+    found = settled(staged(found, "dedup-components"))
     for table in used:
         dropped(table)
     named = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
@@ -238,17 +238,17 @@ def _components(docs, classes, words, similarity, coordinates, matches) -> tuple
         F.sort_array(F.collect_list(F.struct("n", "posting", "weight"))).alias("lists"))     # at most ``coordinates``
     shared = shared.where(F.size("lists") >= matches)
     prefix = F.slice("lists", F.lit(1), F.size("lists") - (matches - 1))
-    shared = staged(shared.select("key", prefix.alias("lists")), "dedup-prefixes")
+    shared = settled(staged(shared.select("key", prefix.alias("lists")), "dedup-prefixes"))
     # full sets of the classes that are left, from one row of each
     wanted = classes.join(shared.select("key"), "key").select("key", "doc_id", "mark", "signature")
     first_rows = staged(wanted.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct(), "dedup-wanted")
     rows = docs.join(counted(first_rows),
                      F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
     sets = shingle_sets(rows.select("doc_id", "mark", "text"), words).dropDuplicates(["key"])
-    sets = staged(sets.join(wanted.select("key", "signature"), "key"), "dedup-sets")
+    sets = settled(staged(sets.join(wanted.select("key", "signature"), "key"), "dedup-sets"))
     longest = shared.select("key", F.element_at("lists", -1).alias("l"))
     longest = longest.select("l.posting", "l.n", "l.weight", "key", F.col("key").alias("grp"))
-    near = components(_links(_counted(longest), sets, similarity, matches))
+    near = settled(components(_links(_counted(longest), sets, similarity, matches)))
     grouped = shared.join(near.withColumnRenamed("node", "key"), "key", "left")
     grouped = grouped.select(F.explode("lists").alias("l"), "key", F.coalesce("component", "key").alias("grp"))
     grouped = staged(grouped.select("l.posting", "l.n", "l.weight", "key", "grp"), "dedup-lists")
