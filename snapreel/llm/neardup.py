@@ -121,7 +121,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 def _forest(keys, groups, sets, signs, similarity: int, matches: int) -> list[tuple]:
     """Links between different groups that join them, each confirmed on full sets."""
     m = len(keys)
-    names, group = np.unique(np.array(groups, dtype=object).astype("S32"), return_inverse=True)
+    names, group = np.unique(np.array(groups), return_inverse=True)
     if len(names) < 2:
         return []
     sizes = np.array([len(s) for s in sets])
@@ -196,13 +196,13 @@ def _links(members: DataFrame, sets: DataFrame, similarity: int, matches: int) -
                     found += piece() if rows else []
                     held, rows = at, []
                 rows.append((key[r], grp[r], batch.column(5)[r].values.to_numpy(), batch.column(6)[r].values.to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], ["a", "b"])
         if rows:
             found = piece()
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     dealt = full.repartition("posting", "i", "j").sortWithinPartitions("posting", "i", "j")
-    return dealt.mapInArrow(merge, "a binary, b binary").distinct()
+    return dealt.mapInArrow(merge, "a bigint, b bigint").distinct()
 
 
 def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: int = COORDINATES,
@@ -214,13 +214,15 @@ def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: i
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
     classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(
         first.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    classes = settled(staged(classes.select("key", "rep.doc_id", "rep.mark", "n_shingles", "signature"), "dedup-classes"))
+    # a class goes by a number from here on: postings and lists are what this operator shuffles most
+    classes = settled(staged(classes.select(F.monotonically_increasing_id().alias("cid"), "key", "rep.doc_id", "rep.mark", "n_shingles",
+                                            "signature"), "dedup-classes"))
     found, used = _components(own, classes, words, similarity, coordinates, matches)
     found = settled(staged(found, "dedup-components"))
     for table in used:
         dropped(table)
-    named = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
-    named = named.select("key", "doc_id", F.coalesce("component", "key").alias("component"))
+    named = classes.join(found.withColumnRenamed("node", "cid"), "cid", "left")
+    named = named.select("key", "doc_id", F.coalesce("component", "cid").alias("component"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     answer = named.join(ids, "component").select("key", "component_id")
     out = signed.join(answer, "key", "left")
@@ -230,7 +232,8 @@ def groups(docs: DataFrame, words: int = 5, similarity: int = 80, coordinates: i
 
 
 def _components(docs, classes, words, similarity, coordinates, matches) -> tuple[DataFrame, list[DataFrame]]:
-    """``node`` (class key), ``component``; and the staged tables it was made from."""
+    """``node`` (class number), ``component``; and the staged tables it was made from."""
+    classes = classes.withColumnRenamed("key", "digest").withColumnRenamed("cid", "key")
     postings = classes.select("key", "n_shingles", F.posexplode("signature").alias("c", "v"))
     postings = postings.select("key", "n_shingles", F.xxhash64("c", "v").alias("posting"))
     lists = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
@@ -240,12 +243,12 @@ def _components(docs, classes, words, similarity, coordinates, matches) -> tuple
     prefix = F.slice("lists", F.lit(1), F.size("lists") - (matches - 1))
     shared = settled(staged(shared.select("key", prefix.alias("lists")), "dedup-prefixes"))
     # full sets of the classes that are left, from one row of each
-    wanted = classes.join(shared.select("key"), "key").select("key", "doc_id", "mark", "signature")
+    wanted = classes.join(shared.select("key"), "key").select("key", "digest", "doc_id", "mark", "signature")
     first_rows = staged(wanted.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct(), "dedup-wanted")
     rows = docs.join(counted(first_rows),
                      F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("mark") == F.col("w_mark")), "left_semi")
-    sets = shingle_sets(rows.select("doc_id", "mark", "text"), words).dropDuplicates(["key"])
-    sets = settled(staged(sets.join(wanted.select("key", "signature"), "key"), "dedup-sets"))
+    sets = shingle_sets(rows.select("doc_id", "mark", "text"), words).withColumnRenamed("key", "digest").dropDuplicates(["digest"])
+    sets = settled(staged(sets.join(wanted.select("key", "digest", "signature"), "digest").drop("digest"), "dedup-sets"))
     longest = shared.select("key", F.element_at("lists", -1).alias("l"))
     longest = longest.select("l.posting", "l.n", "l.weight", "key", F.col("key").alias("grp"))
     near = settled(components(_links(_counted(longest), sets, similarity, matches)))
