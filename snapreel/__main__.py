@@ -57,6 +57,7 @@ def main(argv=None) -> int:
     d.add_argument("--scoped-checks", action="store_true", help="check only what the run changed")
     d.add_argument("--allow-incomplete", action="store_true",
                    help="build the marts although latest keys lack details or credits")
+    d.add_argument("--database", default=None, help="schema in which the run names its tables (default: one of the marts folder's own)")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--marts", required=True)
@@ -86,8 +87,11 @@ def main(argv=None) -> int:
         routes.show(routes.count(), truncate=False)
         return 1 if routes.where(F.col("action") == "fail").first() else 0
     if args.cmd in ("test", "sql"):
-        raw = {s: D.read_raw(spark, args.raw, s) for s in ("trending", "details", "credits")}
+        by_name = "raw" if args.cmd == "sql" else None          # raw.tmdb_trending_raw and the others resolve in SQL
+        raw = {s: D.read_raw(spark, args.raw, s, by_name) for s in ("trending", "details", "credits")}
         models = D.build_models(raw["trending"], raw["details"], raw["credits"], args.media_type_from)
+        if args.marts and args.cmd == "sql":
+            D.attach_marts(spark, args.marts, "marts")
         if args.marts:
             for name in D.MART_MODELS:
                 path = f"{args.marts.rstrip('/')}/{name}"
@@ -114,7 +118,7 @@ def main(argv=None) -> int:
     try:
         res = D.run_daily(spark, args.store, args.raw, args.marts, run_date, args.today or utc_today(),
                           land["trending"], land["details"], land["credits"], args.media_type_from,
-                          scoped_checks=args.scoped_checks, allow_incomplete=args.allow_incomplete)
+                          scoped_checks=args.scoped_checks, allow_incomplete=args.allow_incomplete, database=args.database)
     except (SnapshotMissingError, D.RawIncompleteError) as e:
         print(str(e), file=sys.stderr)
         return 1

@@ -10,7 +10,7 @@ from snapreel.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", shuffle_partitions=8, app_name="snapreel-tests")
+    s = build_session("local[*]", shuffle_partitions=4, app_name="snapreel-tests")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

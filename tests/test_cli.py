@@ -51,6 +51,7 @@ def test_cli_test_and_sql(spark, capsys):
                  "--today", "2024-03-02", "--allow-incomplete"]) == 0
     assert main(["test", *common]) == 0
     assert main(["sql", *common, "SELECT count(*) AS n FROM dim_content JOIN fct_trending_daily USING (tmdb_id)"]) == 0
+    assert main(["sql", *common, "SELECT count(*) AS n FROM raw.tmdb_trending_raw WHERE (SELECT count(*) FROM marts.dim_content) = 1"]) == 0
     assert "|1  |" in capsys.readouterr().out
 
 
