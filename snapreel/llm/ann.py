@@ -36,7 +36,7 @@ from snapreel.llm.common import staged
 
 DIMENSIONS, CONFIDENCE = 8, 0.97
 SAMPLE, MAX_BLOCKS, PIECE_ROWS, LEAF_ROWS, STEP_LEAVES = 20_000, 4096, 8192, 32, 8
-POINTS = "piece bigint, kind int, id bigint, vector array<float>, bound double, mark bigint"
+POINTS = "piece bigint, kind int, id bigint, vector {vector}, bound double, mark bigint"
 
 
 def chi_square_quantile(p: float, dimensions: int) -> float:
@@ -161,20 +161,23 @@ def _search(rows: DataFrame, k: int, length: int, dimensions: int, reach: float)
     return dealt.mapInArrow(answer, "query_id bigint, vec_id bigint, score double, mark bigint")
 
 
-def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int, str]:
     v = F.col("vector")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
+    # single precision stays as it is; any other number is measured in double precision
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(kind).alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine & F.exists(v, lambda x: x != 0))
     common = rows.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").first()
     length = common["n"] if common else 1
-    return rows.where(F.size(v) == length), length
+    return rows.where(F.size(v) == length), length, kind
 
 
 def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding",
                dimensions: int = DIMENSIONS, confidence: float = CONFIDENCE, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows whose id is divisible by ``every``."""
-    rows, length = _valid(vectors, id_col, vector_col)
+    rows, length, kind = _valid(vectors, id_col, vector_col)
     reach = chi_square_quantile(confidence, dimensions)
     taken = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()     # at most SAMPLE vectors
     sample = np.array(taken.column(0).to_pylist(), dtype=np.float64).reshape(-1, length) @ directions(length, dimensions)
@@ -188,7 +191,7 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str =
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, length).astype(np.float64) @ basis
             at = [int(np.flatnonzero(((low <= q) & (q < high)).all(axis=1))[0]) for q in flat]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.int32())], ["id", "vector", "block"])
-    placed = staged(rows.mapInArrow(assign, "id bigint, vector array<float>, block int"), "ann-placed")
+    placed = staged(rows.mapInArrow(assign, f"id bigint, vector {kind}, block int"), "ann-placed")
     sizes = {r["block"]: r["count"] for r in placed.groupBy("block").count().collect()}       # at most MAX_BLOCKS numbers
     parts = np.array([max(1, -(-sizes.get(b, 0) // piece_rows)) for b in range(blocks)], dtype=np.int64)
     first = np.concatenate([[0], np.cumsum(parts)[:-1]])
@@ -220,7 +223,7 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str =
                 [pa.array(pieces, pa.int64()), pa.array(np.ones(len(pieces)), pa.int32()), batch.column(1).take(take),
                  vectors_.take(take), batch.column(3).take(take), batch.column(4).take(take)],
                 ["piece", "kind", "id", "vector", "bound", "mark"])
-    sent = asked.mapInArrow(route, POINTS)
+    sent = asked.mapInArrow(route, POINTS.format(vector=kind))
     far = _search(points.union(sent), k, length, dimensions, reach)
     best = Window.partitionBy("query_id", "mark").orderBy("score", "vec_id")
     ranked = near.union(far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -335,6 +335,14 @@ def test_neighbours(spark):
     assert ann.neighbours(spark.createDataFrame(rows[:4], "vec_id bigint, embedding array<float>"), every=2).count() == 6
 
 
+def test_neighbours_in_double_precision(spark):
+    """Vectors that are equal in single precision are told apart, and scores are those of the doubles."""
+    x = [[1.0 + k * 1e-12, 2.0, 3.0, 4.0] for k in range(30)]
+    found = ann.neighbours(spark.createDataFrame(list(enumerate(x)), "vec_id bigint, embedding array<double>"), k=5, every=30).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank)] == [1, 2, 3, 4, 5]
+    assert all(r.score == abs(x[r.vec_id][0] - x[0][0]) for r in found)
+
+
 def test_neighbours_of_repeated_queries(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(60, 12)).astype(np.float32)
