@@ -143,7 +143,7 @@ def main() -> None:
             samples.append(time.perf_counter() - t)
         timings[name] = round(statistics.median(samples), 4)
 
-    total = round(sum(timings.values()), 4)
+    total = round(sum(v for k, v in timings.items() if k != "dq_all"), 4)      # the baseline's entries; dq_all does both checks at once
     # end to end from the driver tables (documents built on the fly), reported separately
     e2e = cat.dim_content(media_type_from="item")
     _noop(e2e)
