@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 
 from samples import SF_SMALL
 from snapreel.operators import enrich as E
+from snapreel.operators import keyindex as KI
 from snapreel.plans.catalog import Catalog
+from snapreel.session import scratch_path
+from snapreel.sources import versions as VT
 
 
 def _builds(df):
@@ -18,3 +21,31 @@ def test_filters_on_fields_do_not_build_the_document_again(spark):
         rows = E.as_of(raw, cut).where(F.col("tmdb_id").isNotNull() & (F.col("media_type") == "movie"))
         assert _builds(rows) == 1
     assert _builds(E.latest_snapshot(c.raw_trending())) == 1
+
+
+def test_kept_documents_and_rows_are_written_once(spark):
+    plain, documents, raw = (Catalog(spark, SF_SMALL, keep=k) for k in (None, "documents", "raw"))
+    texts = lambda df: sorted(r[0] for r in df.select(F.to_json("doc")).collect())
+    assert texts(documents.details_documents()) == texts(plain.details_documents())
+    assert documents.credits_documents() is documents.credits_documents() and raw.raw_trending() is raw.raw_trending()
+    assert [_builds(df) for df in (documents.credits_documents(), documents.raw_credits, raw.raw_credits, raw.raw_trending())] == [0] * 4
+    keys = lambda c: sorted(map(tuple, c.raw_credits.select("tmdb_id", "media_type", "load_ts", "page", "pages").collect()))
+    assert keys(raw) == keys(plain)
+
+
+def test_a_load_computes_its_rows_once(spark):
+    root, calls = scratch_path(spark, "once"), spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(n):
+        calls.add(1)
+        return n
+
+    for load in (1, 2):
+        rows = spark.range(40 * load).select(counted("id").cast("decimal(38,0)").alias("tmdb_id"), F.lit("movie").alias("media_type"),
+                                             F.parse_json(F.lit("{}")).alias("payload"), F.lit("2024-01-01").cast("timestamp_ntz").alias("load_ts"))
+        before = calls.value
+        KI.load(spark, root, "details", rows)
+        assert calls.value - before == 40 * load
+        held = [sorted(int(r[0]) for r in df.select("tmdb_id").collect()) for df in (VT.read(spark, f"{root}/details"), KI.loaded_keys(spark, root, "details"))]
+        assert held[0] == held[1] == list(range(40 * load))
