@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from samples import SF_SMALL
 from snapreel.operators import enrich as E
 from snapreel.operators import keyindex as KI
+from snapreel.plans import intermediate as I
+from snapreel.plans import queries
+from snapreel.plans import staging as S
 from snapreel.plans.catalog import Catalog
 from snapreel.session import scratch_path
 from snapreel.sources import versions as VT
@@ -49,3 +52,31 @@ def test_a_load_computes_its_rows_once(spark):
         assert calls.value - before == 40 * load
         held = [sorted(int(r[0]) for r in df.select("tmdb_id").collect()) for df in (VT.read(spark, f"{root}/details"), KI.loaded_keys(spark, root, "details"))]
         assert held[0] == held[1] == list(range(40 * load))
+
+
+def test_split_summary_builds_its_people_once(spark):
+    raw = Catalog(spark, SF_SMALL).raw_credits
+    split = I.credits_summary_split(raw, 4)
+    assert _builds(split) == 0                                             # read back, not built for each of its uses
+    assert sorted(map(str, split.collect())) == sorted(map(str, I.credits_summary_from_raw(raw).collect()))
+
+
+def test_checks_and_missing_keys_build_documents_once(spark):
+    assert _builds(queries.dq_all(spark, SF_SMALL)) == 0
+    assert _builds(queries.missing_keys_credits(spark, SF_SMALL)) <= 2     # the credits, semi join side included; no trending
+
+
+def test_summary_reads_only_the_people_it_needs(spark):
+    payloads = ['{"cast": [{"name": "B", "order": 0}, {"name": "X", "order": 9}, {"name": "A", "order": 2}], "crew": [{"name": "D", "job": "Director"}, {"name": "W", "job": "Writer"}]}',
+                '{"cast": [], "crew": [{"name": "W", "job": "Writer"}, {"name": "V", "job": "Writer"}]}', '{"crew": [{"name": "D", "job": null}]}',
+                '{"cast": [null, {"name": "Y", "order": 7}], "crew": [{"name": "W", "job": "Writer"}]}', '{"cast": {"a": {"name": "C", "order": 1}}}',
+                '{"cast": [], "crew": []}', '{}', '{"cast": null, "crew": null}']
+    rows = spark.createDataFrame([(k, p) for k, p in enumerate(payloads)], "k int, p string").select(
+        F.col("k").cast("decimal(38,0)").alias("tmdb_id"), F.lit("movie").alias("media_type"), F.parse_json("p").alias("payload"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("load_ts"))
+    whole = I.credits_summary(S.stg_credits_cast(rows), S.stg_credits_crew(rows))
+    texts = lambda df: sorted(map(str, df.collect()))
+    assert texts(I.credits_summary_from_raw(rows)) == texts(whole) == texts(I.credits_summary_split(rows, 3))
+    assert whole.count() == 5
+    names = sorted(str(r[0]) for r in I.people_from_raw(rows).select("person_name").collect())
+    assert "X" not in names and "V" not in names and {"A", "B", "C", "D", "W"} <= set(names)
