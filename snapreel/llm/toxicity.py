@@ -31,7 +31,7 @@ toxic labels; repeated rows score alike; texts and words of any length are
 whole; an empty table gives no rows; other columns are ignored.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,11 +54,31 @@ PENALTY, ROUNDS, CLEAN_WEIGHT = 3.0, 4, 100.0
 NO_CHUNK = -3.0
 JOINS = {2: 4, 3: 3, 4: 2}      # so many neighbouring words are joined when each has at most so many letters
 FRAGMENT = max(JOINS.values())
+TOGETHER, LEARNT = 50_000, 4096  # words of texts that are looked up, chunks that are learnt at once
 
 
 def fold(word: str) -> bytes:
     """Letter classes 1-30 of the word's letters: a-z are 1-26, other letters share four."""
-    return bytes(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 4 for c in word if c.isalpha())
+    if word.isascii():
+        return word.encode("ascii").translate(ASCII_CLASSES, NO_LETTERS)
+    return word.translate(CLASSES).encode("ascii")
+
+
+def _letter_class(letter: str) -> int:
+    return ord(letter) - 96 if "a" <= letter <= "z" else 27 + ord(letter) % 4
+
+
+class _Classes(dict):
+    """A translation table of all characters, filled as they come: what is no letter is left out."""
+
+    def __missing__(self, code: int) -> str | None:
+        self[code] = chr(_letter_class(chr(code))) if chr(code).isalpha() else None
+        return self[code]
+
+
+CLASSES = _Classes()
+ASCII_CLASSES = bytes(_letter_class(chr(c)) if chr(c).isalpha() else 0 for c in range(128)) + bytes(128)
+NO_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
 
 
 def windows(letters: bytes) -> list[bytes]:
@@ -71,12 +91,14 @@ def windows(letters: bytes) -> list[bytes]:
 
 def subsequences(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``row, code, weight`` of each chunk's distinct letter triples (chunks of at most WIDTH)."""
-    grid = np.zeros((len(chunks), WIDTH), dtype=np.int64)
-    for row, c in zip(grid, chunks):
-        row[:len(c)] = np.frombuffer(c, dtype=np.uint8)
-    keys = []
-    rows = np.arange(len(chunks), dtype=np.int64)[:, None] << (3 * LETTER_BITS + 3)
+    width = max(map(len, chunks), default=0)
+    whole = np.int32 if len(chunks) <= 1 << (31 - 3 * LETTER_BITS - 3) else np.int64       # of a triple's key
+    grid = np.frombuffer(b"".join([c.ljust(width, b"\0") for c in chunks]), dtype=np.uint8).reshape(len(chunks), width).astype(whole)
+    keys = [np.zeros(0, dtype=whole)]
+    rows = np.arange(len(chunks), dtype=whole)[:, None] << (3 * LETTER_BITS + 3)
     for a, b in GAPS:
+        if a + b >= width:
+            continue
         last = grid[:, a + b:]
         n = last.shape[1]
         code = (grid[:, :n] << (2 * LETTER_BITS)) | (grid[:, a:a + n] << LETTER_BITS) | last
@@ -99,56 +121,93 @@ def margins(chunks: list[bytes], table: np.ndarray, offset: float) -> np.ndarray
     return np.where(norm > 0, value / np.sqrt(np.maximum(norm, 1e-12)) + offset, NO_CHUNK)
 
 
+class Recent:
+    """Values by key, made when first asked for. ``size`` bounds the entries: a full dictionary becomes
+    the older one, from which entries still in use come back, and the one before it is dropped."""
+
+    def __init__(self, make: Callable[[list[str]], list], size: int):
+        self.make, self.size = make, size
+        self.new: dict[str, object] = {}
+        self.older: dict[str, object] = {}
+
+    def find(self, keys: list[str]) -> list:
+        found = list(map(self.new.get, keys))
+        if None in found:
+            unseen = {k for k, v in zip(keys, found) if v is None}
+            fresh = {k: self.older[k] for k in unseen if k in self.older}
+            made = [k for k in unseen if k not in fresh]
+            fresh.update(zip(made, self.make(made)))
+            if len(self.new) + len(fresh) > self.size:
+                self.older, self.new = self.new, {}
+            self.new.update(fresh)
+            found = [fresh[k] if v is None else v for k, v in zip(keys, found)]
+        return found
+
+
 class Scorer:
-    """``score(text)``: the highest margin of its chunks, with a bounded cache of words."""
+    """``scores(texts)``: the highest margin of each text's chunks, with bounded caches of words and of their joins.
+
+    New words are learnt for many texts at once, the shorter ones apart from the longer ones."""
 
     def __init__(self, table: np.ndarray, offset: float, cache_size: int = 300_000):
         self.table, self.offset, self.cache_size = table, offset, cache_size
-        self.cache: dict[str, float] = {}
-        self.sizes: dict[str, int] = {}          # letters of the cached words, up to one more than a fragment has
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > self.cache_size:
-            self.cache.clear()
-            self.sizes.clear()
-        for at in range(0, len(words), 20_000):
-            part = words[at:at + 20_000]
-            owners, chunks = [], []
-            for k, w in enumerate(part):
-                letters = fold(w)
-                self.sizes[w] = min(len(letters), FRAGMENT + 1)
-                if len(letters) < 2:
-                    continue                                             # a lone letter or none
-                for c in windows(letters):
-                    owners.append(k)
-                    chunks.append(c)
-            best = np.full(len(part), NO_CHUNK)
-            if owners:
-                np.maximum.at(best, np.array(owners), margins(chunks, self.table, self.offset))
-            self.cache.update(zip(part, best.tolist()))
-
-    def look_up(self, words: list[str]) -> tuple[list[float], list[int]]:
-        """Margin and number of letters of each word, of which the cache can hold all."""
-        values, sizes = list(map(self.cache.get, words)), list(map(self.sizes.get, words))
-        if None in values:
-            self.learn(list({w for w, v in zip(words, values) if v is None}))
-            values = [self.cache[w] if v is None else v for w, v in zip(words, values)]
-            sizes = [self.sizes[w] if n is None else n for w, n in zip(words, sizes)]
-        return values, sizes
+        self.words = Recent(self.learn, cache_size // 2)       # margin and letters, up to one more than a fragment has
+        self.joins = Recent(lambda joined: [margin for margin, _ in self.learn(joined)], cache_size // 2)
+
+    def learn(self, words: list[str]) -> list[tuple[float, int]]:
+        """Margin and number of letters (see ``words``) of each word."""
+        owners, chunks, sizes = [], [], []
+        for k, w in enumerate(words):
+            letters = fold(w)
+            sizes.append(min(len(letters), FRAGMENT + 1))
+            if len(letters) < 2:                                         # a lone letter or none
+                continue
+            found = windows(letters)
+            chunks += found
+            owners += [k] * len(found)
+        best = np.full(len(words), NO_CHUNK)
+        owners = np.array(owners, dtype=np.int64)
+        order = np.argsort(np.fromiter(map(len, chunks), np.int64, len(chunks)), kind="stable")
+        for at in range(0, len(order), LEARNT):
+            part = order[at:at + LEARNT]
+            np.maximum.at(best, owners[part], margins([chunks[k] for k in part.tolist()], self.table, self.offset))
+        return list(zip(best.tolist(), sizes))
 
     def score(self, text: str | None) -> float:
-        words = (text or "").lower().split()
-        if len(words) > self.cache_size and len(words) > 100_000:        # a text of more words than the cache holds
-            return max(self.score(" ".join(words[k:k + 100_000])) for k in range(0, len(words), 99_900))
-        values, sizes = self.look_up(words)
-        best = max([NO_CHUNK, *values])
-        words, sizes = lettered(words, sizes)
-        joined = list(fragments(words, sizes))
-        for at in range(0, len(joined), 100_000):
-            best = max(best, *self.look_up(joined[at:at + 100_000])[0])
-        for run in lone_runs(words, sizes == 1):
-            best = max(best, float(margins(windows(run), self.table, self.offset).max()))
-        return best
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        out, group, size = [], [], 0
+        for text in texts:
+            words = (text or "").lower().split()
+            if len(words) > self.cache_size and len(words) > 100_000:    # a text of more words than the cache holds
+                out += self._scored(group)
+                out.append(max(self._scored([words[k:k + 100_000]])[0] for k in range(0, len(words), 99_900)))
+                group, size = [], 0
+                continue
+            group.append(words)
+            size += len(words)
+            if size >= TOGETHER:
+                out += self._scored(group)
+                group, size = [], 0
+        return out + self._scored(group)
+
+    def _scored(self, texts: list[list[str]]) -> list[float]:
+        """The highest margin of each of a few texts, given as their words."""
+        found = self.words.find([w for words in texts for w in words])
+        best, joined, ends, at = [], [], [], 0
+        for words in texts:
+            values, sizes = zip(*found[at:at + len(words)]) if words else ((), ())
+            at += len(words)
+            top = max([NO_CHUNK, *values])
+            words, sizes = lettered(words, sizes)
+            joined += fragments(words, sizes)
+            ends.append(len(joined))
+            for run in lone_runs(words, sizes == 1):
+                top = max(top, float(margins(windows(run), self.table, self.offset).max()))
+            best.append(top)
+        found = self.joins.find(joined)
+        return [max([top, *found[a:b]]) for top, a, b in zip(best, [0, *ends], ends)]
 
 
 def lettered(words: list[str], sizes) -> tuple[list[str], np.ndarray]:
@@ -321,7 +380,7 @@ def scored(docs: DataFrame, model, text_col: str = "text", out: str = "score") -
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = made_once(kept, "scorer", lambda: Scorer(table, offset))
         for batch in texts:
-            top = np.array([scorer.score(t) for t in batch], dtype=float)
+            top = np.array(scorer.scores(batch.tolist()), dtype=float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(slope * top + level, -30, 30))))
 
     return docs.withColumn(out, F.pandas_udf(run, "double")(F.col(text_col)))

@@ -219,3 +219,21 @@ def test_what_is_no_phone():
         assert pii.find(text) == []
     for text in ("+49 1234-5678-9012", "(030) 1234 5678", "555-123-4567", "138-1234-5678"):
         assert [m[2] for m in pii.find(text)] == ["phone"], text
+
+
+def test_toxicity_learns_the_words_of_many_texts_at_once():
+    bad = toxicity.windows(toxicity.fold("idiot"))
+    table, texts = toxicity._unit(bad)[0].astype(float), [f"word{k} idi ot{k} some body i d i o t" for k in range(40)] + [None, "", "Ünï çode"]
+    single, whole = (toxicity.Scorer(table, 0.0, cache_size=n) for n in (50, 10_000))
+    calls = []
+    for kept in (whole.words, whole.joins):
+        kept.make = lambda words, make=kept.make: calls.append(len(words)) or make(words)
+    assert whole.scores(texts) == [single.score(t) for t in texts]
+    assert len(calls) == 2 and min(calls) > 40                     # not once a text
+    assert len(single.words.new) + len(single.words.older) <= 2 * 25 + 50
+
+
+def test_folding_goes_letter_by_letter():
+    for word in ("", "idiot", "I-d1o_t!", "naïve", "ÅngstrÖm", "日本語x", "٣ab", "\x00\x7f", "ß²ªz", "𝒜b"):
+        slow = bytes(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 4 for c in word if c.isalpha())
+        assert toxicity.fold(word) == slow
