@@ -80,3 +80,19 @@ def test_summary_reads_only_the_people_it_needs(spark):
     assert whole.count() == 5
     names = sorted(str(r[0]) for r in I.people_from_raw(rows).select("person_name").collect())
     assert "X" not in names and "V" not in names and {"A", "B", "C", "D", "W"} <= set(names)
+
+
+def test_raw_documents_are_stored_whole(spark):
+    path = scratch_path(spark, "whole-documents")
+    rows = Catalog(spark, SF_SMALL).raw_trending()
+    VT.publish(rows, path, ["snapshot_date"])
+    found = VT.read(spark, path)
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(found.inputFiles()[0]), spark.sparkContext._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+    layout = reader.getFooter().getFileMetaData().getSchema().toString()
+    reader.close()
+    assert "payload" in layout and "typed_value" not in layout
+    texts = lambda df: sorted(r[0] for r in df.select(F.to_json("payload")).collect())
+    assert texts(found) == texts(rows)
