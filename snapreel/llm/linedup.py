@@ -51,8 +51,7 @@ ORDER = ["none", "doc_id", "mark", "line"]
 
 
 def _words(line: Column) -> Column:
-    plain = ~(F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
-              | F.contains(line, F.lit("\n")))
+    plain = ~(F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c")))
     # a split at one character needs no pattern
     return F.array_remove(F.when(plain, F.split(ascii_lower(line), " ")).otherwise(F.split(ascii_lower(line), SPACES)), "")
 
@@ -70,8 +69,9 @@ def _lines(documents: DataFrame) -> DataFrame:
 def token_ranks(documents: DataFrame) -> list[int]:
     """Rank of each hash bucket by the number of words in it, all documents counted."""
     size = 1 << RANK_BITS
-    bucket = F.pmod(F.xxhash64("word"), F.lit(size))
-    words = documents.select(F.explode_outer(_words(F.col("text"))).alias("word"))
+    bucket = F.xxhash64("word").bitwiseAND(F.lit(size - 1))
+    # line by line: few lines need a pattern to be cut into words, but every text of several lines would
+    words = _lines(documents).select(F.explode_outer(_words(F.col("words"))).alias("word"))
     counts = words.groupBy(bucket.alias("bucket")).count().collect()      # one number per bucket at most
     count = dict((r["bucket"], r["count"]) for r in counts)
     ranks = [0] * size
@@ -82,13 +82,14 @@ def token_ranks(documents: DataFrame) -> list[int]:
 
 def _tokens(line: Column, ranks: list[int]) -> Column:
     """Sorted distinct tokens, rarest first."""
-    known = F.lit(ranks)
+    known = F.lit([rank << HASH_BITS for rank in ranks])
 
-    def token(word):
-        h = F.xxhash64(word)
-        rank = F.get(known, F.pmod(h, F.lit(1 << RANK_BITS)).cast("int")).cast("bigint")
-        return F.shiftleft(rank, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
-    return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
+    def token(h):
+        # never null, which lets Spark sort plain numbers; the place is always in the list
+        rank = F.coalesce(F.get(known, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int")), F.lit(0).cast("bigint"))
+        return rank.bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
+    hashes = F.transform(_words(line), lambda word: F.xxhash64(word))        # a function's argument is computed once
+    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
 
 
 def _prefix(n: Column, similarity: int) -> Column:
@@ -97,9 +98,11 @@ def _prefix(n: Column, similarity: int) -> Column:
 
 def _parity(tokens: Column, half: int) -> Column:
     """One half of a map of 128 bits in which every token flips one."""
-    def flip(bits, t):
-        mine = F.shiftright(t, 6).bitwiseAND(1)
-        return bits.bitwiseXOR(F.call_function("shiftleft", mine if half else 1 - mine, t.bitwiseAND(63).cast("int")))
+    bits = [1 << i if i < 63 else -1 << 63 for i in range(64)]
+    flips = F.lit([0] * 64 + bits if half else bits + [0] * 64)
+
+    def flip(map_, t):
+        return map_.bitwiseXOR(F.get(flips, t.bitwiseAND(127).cast("int")))
     return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
 
 
@@ -132,7 +135,8 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     """``doc_id, mark, removed``: numbers of the lines to remove, for documents that have any."""
     documents = _documents(docs, id_col, text_col)
     ranks = token_ranks(documents)
-    lines = _lines(documents).select("doc_id", "mark", "line", _tokens(F.col("words"), ranks).alias("tokens"))
+    # a generator of one row keeps the filter on the number of tokens above it: below, it would compute the tokens twice
+    lines = _lines(documents).select("doc_id", "mark", "line", F.explode_outer(F.array(_tokens(F.col("words"), ranks))).alias("tokens"))
     lines = lines.select("doc_id", "mark", "line", F.size("tokens").alias("n"), "tokens",
                          F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"),
                          _parity(F.col("tokens"), 0).alias("low"), _parity(F.col("tokens"), 1).alias("high"))
