@@ -80,9 +80,15 @@ def token_ranks(documents: DataFrame) -> list[int]:
     return ranks
 
 
+def _constant(numbers: list[int]) -> Column:
+    """A list as one constant: a literal of each number would be a tree of thousands of nodes on the
+    driver, made by as many calls and copied by every step of planning."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
 def _tokens(line: Column, ranks: list[int]) -> Column:
     """Sorted distinct tokens, rarest first."""
-    known = F.lit([rank << HASH_BITS for rank in ranks])
+    known = _constant([rank << HASH_BITS for rank in ranks])
 
     def token(h):
         # never null, which lets Spark sort plain numbers; the place is always in the list
@@ -99,7 +105,7 @@ def _prefix(n: Column, similarity: int) -> Column:
 def _parity(tokens: Column, half: int) -> Column:
     """One half of a map of 128 bits in which every token flips one."""
     bits = [1 << i if i < 63 else -1 << 63 for i in range(64)]
-    flips = F.lit([0] * 64 + bits if half else bits + [0] * 64)
+    flips = _constant([0] * 64 + bits if half else bits + [0] * 64)
 
     def flip(map_, t):
         return map_.bitwiseXOR(F.get(flips, t.bitwiseAND(127).cast("int")))

@@ -1,6 +1,7 @@
 """Every operator against brute force on a small table that holds the awkward cases."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -203,6 +204,12 @@ def test_line_tokens_are_computed_once(spark, monkeypatch):
     assert [r.n for r in stored[0].orderBy("doc_id", "line").select("n").collect()] == [3, 2, 2]
 
 
+def test_line_ranks_are_one_constant(spark):
+    """The driver's plan of the tokens does not grow by a node for each rank."""
+    tokens = linedup._tokens(F.lit("b a"), list(range(1 << linedup.RANK_BITS)))
+    assert not re.search(r"\barray\(", spark.range(1).select(tokens)._jdf.queryExecution().analyzed().toString())
+
+
 def test_short_lines_and_hot_classes(spark, monkeypatch):
     """Lines of one to five words, unspaced ones, and a class of more lines than one task gathers."""
     monkeypatch.setattr(linedup, "HOT_LINES", 3)
