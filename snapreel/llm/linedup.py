@@ -95,7 +95,7 @@ def _tokens(line: Column, ranks: list[int]) -> Column:
         rank = F.coalesce(F.get(known, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int")), F.lit(0).cast("bigint"))
         return rank.bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
     hashes = F.transform(_words(line), lambda word: F.xxhash64(word))        # a function's argument is computed once
-    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
+    return F.sort_array(F.transform(F.array_distinct(hashes), token))
 
 
 def _prefix(n: Column, similarity: int) -> Column:
@@ -168,7 +168,10 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
                                      F.expr("bit_xor(xxhash64(k1, 1))").alias("n2"))
     meetings = staged(met.join(names, "token").select("k1", "m", "n1", "n2").distinct(), "line-named-meetings")
     dropped(met)
-    chosen = settled(staged(classes.drop("prefix", "size").join(meetings.select("k1").distinct(), "k1"), "line-candidates"))
+    chosen = settled(staged(classes.drop("prefix").join(meetings.select("k1").distinct(), "k1"), "line-candidates"))
+    # of the other classes only those of several lines are needed any more, and no prefix
+    several = staged(classes.where(F.col("size") > 1).select("k1", "k2", "size", *ORDER), "line-repeated")
+    dropped(classes)
 
     wanted = chosen.select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark")).distinct()
     wanted = counted(staged(wanted, "line-wanted"))
@@ -191,9 +194,13 @@ def removed_lines(docs: DataFrame, similarity: int = 80, min_tokens: int = MIN_T
     same = F.size(F.array_intersect("x.tokens", "y.tokens")) >= _need(similarity)
     matched = x.join(y, one & _meet(similarity) & (F.col("y.at") < F.col("x.at")) & same, "left_semi").select("k1", "k2").distinct()
 
-    heads = classes.select("k1", "k2", "size", *[F.col(c).alias(f"h_{c}") for c in ORDER])
-    heads = heads.join(matched.withColumn("matched", F.lit(True)), ["k1", "k2"], "left")
-    heads = settled(staged(heads.where((F.col("size") > 1) | F.col("matched")), "line-heads"))      # the others lose nothing
+    matched = staged(matched, "line-matched")
+    single = chosen.where(F.col("size") == 1).select("k1", "k2", "size", *ORDER).join(matched, ["k1", "k2"], "left_semi")
+    heads = several.join(matched.withColumn("matched", F.lit(True)), ["k1", "k2"], "left").unionByName(single.withColumn("matched", F.lit(True)))
+    heads = heads.select("k1", "k2", "size", "matched", *[F.col(c).alias(f"h_{c}") for c in ORDER])
+    heads = settled(staged(heads, "line-heads"))                                                    # the other classes lose nothing
+    for table in (meetings, full, placed):
+        dropped(table)
     head = F.col("doc_id").eqNullSafe(F.col("h_doc_id")) & (F.col("mark") == F.col("h_mark")) & (F.col("line") == F.col("h_line"))
     hot, rest = staged(heads.where(F.col("size") > HOT_LINES), "line-hot-heads"), heads.where(F.col("size") <= HOT_LINES)
     known = lines.join(counted(hot), ["k1", "k2"]).unionByName(

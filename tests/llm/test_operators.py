@@ -210,6 +210,26 @@ def test_line_ranks_are_one_constant(spark):
     assert not re.search(r"\barray\(", spark.range(1).select(tokens)._jdf.queryExecution().analyzed().toString())
 
 
+def test_long_similar_lines_and_dropped_tables(spark, monkeypatch):
+    """Similar lines of 100 to 268 words; tables of no further use are gone."""
+    stored, stage = {}, linedup.staged
+    monkeypatch.setattr(linedup, "staged", lambda df, name: stored.setdefault(name, stage(df, name)))
+    words = [f"w{k}" for k in range(300)]
+    n = 100
+    texts = [" ".join(words[:n]), " ".join(words[:n + 20]), " ".join(words[5:n + 15]), " ".join(words[40:n + 40]), " ".join(words[40:n + 61]),
+             " ".join(words[:260]), " ".join(words[30:290]), " ".join(words[32:300])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    seen, want = [], []
+    for text in texts:
+        t = set(text.split())
+        want.append("" if any(100 * len(t & s) >= 80 * len(t | s) for s in seen) else text)
+        seen.append(t)
+    gone = linedup.removed_lines(docs)
+    assert {r.doc_id for r in gone.collect()} == {k for k, w in enumerate(want) if not w} and "" in want[:3] and "" in want[5:]
+    for name in ("lines", "line-classes", "line-meetings", "line-tokens"):
+        assert not os.path.exists(os.path.dirname(stored[name]._jdf.inputFiles()[0].removeprefix("file://")) + "/_SUCCESS"), name
+
+
 def test_short_lines_and_hot_classes(spark, monkeypatch):
     """Lines of one to five words, unspaced ones, and a class of more lines than one task gathers."""
     monkeypatch.setattr(linedup, "HOT_LINES", 3)
