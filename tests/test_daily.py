@@ -343,3 +343,18 @@ def test_keyed_table_layout_comes_first_and_buckets_grow(spark, monkeypatch):
     RP.upsert_keyed_table(spark, path, rows)
     assert RP.table_buckets(spark, path) > 8
     assert RP.read_keyed(spark, path).count() == 20
+
+
+def test_only_pages_of_the_latest_keys_are_counted(spark, tmp_path, monkeypatch):
+    """The search for missing documents groups the loaded pages of the latest keys, not those of all history."""
+    from snapreel.operators import enrich as E
+    from snapreel.operators import keyindex as KI
+    raw, counted, existing = str(tmp_path), [], E.existing_keys
+    rows = docs(spark, *[{**keyed_env(k, "tv", {}), "page": p, "pages": 2} for k in range(1, 9) for p in (1, 2)][:-1])
+    KI.load(spark, raw, "credits", D.RAW_LOADERS["credits"](rows))
+    monkeypatch.setattr(E, "existing_keys", lambda df: counted.append(df.count()) or existing(df))
+    latest = spark.createDataFrame([(3, "tv"), (8, "tv"), (9, "tv"), (3, "movie"), (None, "tv")], "tmdb_id int, media_type string")
+    latest = latest.withColumn("tmdb_id", F.col("tmdb_id").cast("decimal(38,0)"))
+    missing, _ = D.enrich_source(spark, f"{raw}/store", raw, "credits", docs(spark, keyed_env(1, "tv", {})), latest)
+    assert counted == [3]
+    assert {tuple(r) for r in missing.collect()} == {(8, "tv"), (9, "tv"), (3, "movie"), (None, "tv")}

@@ -53,3 +53,28 @@ def test_one_pass_checks_equal_the_single_ones(spark):
     assert sum(n for *_, n in told(Q.checked_not_null(checks))) > 15
     plan = Q.credits_checks(raw["credits"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_credits_entries_of_any_kind_are_counted_where_they_lie(spark):
+    """Lists that are objects, entries that are null or no objects, ids of other types: counted as the models see them, without a row an entry."""
+    import pytest
+    from pyspark.sql import functions as F
+    from snapreel.plans import staging as S
+
+    def raw(*payloads):
+        rows = spark.createDataFrame([(k % 3 or None, "tv" if k % 2 else None, p) for k, p in enumerate(payloads)], "k int, mt string, p string")
+        return rows.select(F.col("k").cast("decimal(38,0)").alias("tmdb_id"), F.col("mt").alias("media_type"), F.parse_json("p").alias("payload"),
+                           F.lit("2024-01-01").cast("timestamp_ntz").alias("load_ts"), F.lit(1).cast("decimal(38,0)").alias("page"))
+
+    credits = raw('{"cast": [null, 5, "x", [1], {"id": "12", "name": 3}, {"id": 1.5}, {"id": 99999999999999999999999, "name": "N"}]}',
+                  '{"cast": {"a": {"id": 1, "name": "A"}, "b": {"name": null}}, "crew": {"c": {"id": 1, "job": "J"}}}', '{"cast": 7, "crew": null}', '[1]', '{}',
+                  '{"cast": [], "crew": [{"id": 1, "name": "A", "job": "J"}, {"id": 2, "name": "B", "job": null}]}', '{"crew": [{"id": 3, "name": "C", "job": "K"}]}')
+    models = {"stg_tmdb_credits_cast": S.stg_credits_cast(credits), "stg_tmdb_credits_crew": S.stg_credits_crew(credits), "tmdb_credits_raw": credits.drop("payload")}
+    told = lambda df: sorted(map(tuple, df.collect()))
+    checks = Q.credits_checks(credits)
+    assert told(Q.checked_not_null(checks)) == told(Q.run_not_null(models, {m: Q.NOT_NULL_TESTS[m] for m in list(models)[:2]}))
+    assert told(Q.checked_unique(checks)) == told(Q.run_unique(models, {"tmdb_credits_raw": Q.RAW_KEY_TESTS["tmdb_credits_raw"]}))
+    assert sum(n for *_, n in told(Q.checked_not_null(checks))) > 15
+    assert "variant_explode" not in checks._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        Q.credits_checks(raw('{"cast": [{"id": "none", "name": "A"}]}')).collect()

@@ -148,3 +148,19 @@ def test_summary_of_titles_of_many_pages(spark, monkeypatch):
     assert got.count() == want.count() == 3 and got.select(want.columns).exceptAll(want).count() == 0
     split = I.credits_summary_split(raw, 4)
     assert split.count() == 3 and split.select(want.columns).exceptAll(want).count() == 0
+
+
+def test_many_pages_of_few_people_are_not_a_hot_title(spark, monkeypatch):
+    from snapreel.plans import intermediate as I
+    page = lambda t, p, of, n: {**keyed_env(t, "tv", {"cast": [{"id": k, "name": f"N{p}{k}", "order": k % 3} for k in range(n)],
+                                                      "crew": [{"id": 1, "name": f"D{p}", "job": "Director"}]}), "page": p, "pages": of}
+    raw = load_credits_raw(docs(spark, *[page(1, p, 4, 1) for p in range(1, 5)], *[page(2, p, 4, 9) for p in range(1, 5)], *[page(None, p, 4, 9) for p in range(1, 5)]))
+    want = I.credits_summary_from_raw(raw)
+    ranged, split = [], I._split_people
+    monkeypatch.setattr(I, "HOT_PAGES", 2)
+    monkeypatch.setattr(I, "_split_people", lambda people, n: ranged.append(people) or split(people, n))
+    for most, titles in ((100, None), (20, {2, None})):                   # nothing is hot; the titles of 40 people are
+        monkeypatch.setattr(I, "HOT_PEOPLE", most)
+        got = I.credits_summary_of_any(raw)
+        assert got.count() == want.count() == 3 and got.select(want.columns).exceptAll(want).count() == 0
+        assert (ranged == []) if titles is None else ({r[0] for r in ranged[0].select("tmdb_id").collect()} == titles)
