@@ -101,3 +101,15 @@ def test_missing_keys_filters_loaded_keys_before_shuffling(spark):
     exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
     # below the only shuffle, the loaded keys already went through the broadcast semi join
     assert any("BroadcastHashJoin" in l and "LeftSemi" in l for l in lines[exchange:]), plan
+
+
+def test_details_are_broadcast_only_when_measured_small(spark):
+    """The estimate of documents built from a small file says nothing of their size: under the threshold they came whole to the driver.
+    Dealt out by key first, their size is measured before adaptive execution may broadcast them."""
+    plan = Catalog(spark, SF_SMALL).dim_content(envelope="all", media_type_from="item")._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scans = [k for k, line in enumerate(lines) if "FileScan" in line and "p_partkey" in line]
+    assert len(scans) == 2                                               # details and genres
+    for k in scans:
+        above = [line for line in lines[:k] if "Exchange" in line]
+        assert "hashpartitioning" in above[-1] and "tmdb_id" in above[-1]
